@@ -416,3 +416,24 @@ UNION ALL
 SELECT user_id, end_us // 1000, CASE WHEN n = 1 THEN 'first' ELSE 'update' END, n
 FROM kept WHERE NOT in_time""",
 }
+
+# A stream replayed to its end gives what the batch query gives.
+ORACLES |= {
+    "w3_hot_items_stream": ORACLES["q1_hot_items_top3"],
+    "a11_uv_two_stage_stream": ORACLES["q8_uv_two_stage"],
+    "p4_order_attempts_stream": order_pairs(
+        f"""order_id,
+       CASE WHEN next_us - us < {DAY} THEN 'matched' ELSE 'timeout' END AS outcome,
+       us AS create_us, CASE WHEN next_us - us < {DAY} THEN next_us END AS pay_us""",
+        f"(next_us IS NULL OR next_us - us >= {DAY} OR next_type = 'pay')",
+    ),
+    "st2_jumps_stream": ORACLES["q15_jump_alert_skip_first"],
+    "st3_rising_run_stream": ORACLES["q15_rising_run"],
+    "st4_timers_stream": ORACLES["st4_timers"],
+    "st5_tumbling_stream": ORACLES["st5_tumbling_close"],
+    "st7_order_timeout_stream": ORACLES["q12_order_timeout_state"],
+    "st8_recon_stream": ORACLES["q13_recon_matched"],
+    "st9_gate_stream": f"SELECT event_id, user_id FROM ({ORACLES['q15_gate']})",
+    "st10_login_fail_stream": ORACLES["q11_login_fail_state"],
+    "st12_changelog_stream": ORACLES["st12_changelog"],
+}

@@ -7,7 +7,8 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.plans import apps, primitives as p, oracles
+from tidemark.plans import apps, oracles, streams
+from tidemark.plans import primitives as p
 from tidemark.session import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -95,6 +96,21 @@ PRIMITIVES: dict[str, Query] = {
     "st15_allowed_lateness": p.allowed_lateness,
 }
 
+STREAMS: dict[str, Query] = {
+    "w3_hot_items_stream": streams.hot_items,
+    "a11_uv_two_stage_stream": streams.visitors,
+    "p4_order_attempts_stream": streams.order_attempts,
+    "st2_jumps_stream": streams.jumps,
+    "st3_rising_run_stream": streams.rising_runs,
+    "st4_timers_stream": streams.timers,
+    "st5_tumbling_stream": streams.tumbling,
+    "st7_order_timeout_stream": streams.order_timeouts,
+    "st8_recon_stream": streams.reconciled,
+    "st9_gate_stream": streams.gate,
+    "st10_login_fail_stream": streams.login_failures,
+    "st12_changelog_stream": streams.change_log,
+}
+
 
 def _prepared(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -104,7 +120,7 @@ def _prepared(query: Query) -> Query:
 
 
 def queries() -> dict[str, Query]:
-    return {n: _prepared(q) for n, q in {**APPLICATIONS, **PRIMITIVES}.items()}
+    return {n: _prepared(q) for n, q in {**APPLICATIONS, **PRIMITIVES, **STREAMS}.items()}
 
 
 def oracle_sql() -> dict[str, str]:

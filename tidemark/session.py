@@ -5,8 +5,11 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 
+import tidemark
+
 ROCKSDB_PROVIDER = (
     "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 )
@@ -41,8 +44,10 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session somebody else created.
 
     Event times are UTC throughout, and ``transformWithState`` needs the
-    RocksDB state store.
+    RocksDB state store. Functions of this package travel to the workers by
+    value, so the package need not be installed on them.
     """
+    cloudpickle.register_pickle_by_value(tidemark)
     for key, value in RUNTIME_CONF.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)

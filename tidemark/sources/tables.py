@@ -24,7 +24,7 @@ def stream_table(
     schema: T.StructType,
     *,
     max_files: int | None = None,
-    max_bytes: str | None = None,
+    max_bytes: int | None = None,
 ) -> DataFrame:
     """A parquet folder as a stream, with bounded micro-batches."""
     reader = spark.readStream.schema(schema)
