@@ -15,7 +15,9 @@ def split_trimmed(text: Column, pattern: str) -> Column:
     last = F.array_max(
         F.transform(parts, lambda p, i: F.when(p != "", i + 1).otherwise(0))
     )
-    return F.when(F.size(parts) == 1, parts).otherwise(F.slice(parts, 1, last))
+    # texts that do not end in a separator, nearly all, skip the search
+    whole = (F.size(parts) == 1) | (F.element_at(parts, -1) != "")
+    return F.when(whole, parts).otherwise(F.slice(parts, 1, last))
 
 
 def words(df: DataFrame, column: str, pattern: str = r"\s", name: str = "word") -> DataFrame:

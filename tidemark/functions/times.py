@@ -35,3 +35,13 @@ def micros(duration: str) -> int:
     }
     number, unit = duration.split()
     return int(number) * units[unit.rstrip("s")]
+
+
+def floor_to(us: Column, width: int) -> Column:
+    """The last multiple of ``width`` that is not after a time in microseconds."""
+    return us - F.pmod(us, F.lit(width))
+
+
+def us_to_ms(us: Column) -> Column:
+    """Microseconds to milliseconds, rounding down, without leaving longs."""
+    return ((us - F.pmod(us, F.lit(1000))) / 1000).cast("long")

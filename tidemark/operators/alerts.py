@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,13 +36,13 @@ def _anchor_rows(df: DataFrame, group: list[str], length: int) -> DataFrame:
     """
     schema = T.StructType([*df.schema.fields, T.StructField(_ANCHOR, T.LongType())])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last_group, anchor = None, 0
         for batch in batches:
-            if batch.empty:
+            if not batch.num_rows:
                 continue
-            t = batch[_T].to_numpy()
-            ids = list(batch[group].itertuples(index=False, name=None))
+            t = batch.column(_T).to_numpy()
+            ids = list(zip(*(batch.column(g).to_pylist() for g in group)))
             starts = [i for i in range(len(ids)) if i == 0 or ids[i] != ids[i - 1]]
             anchors = np.empty(len(t), dtype="int64")
             for start, end in zip(starts, starts[1:] + [len(t)]):
@@ -56,12 +56,12 @@ def _anchor_rows(df: DataFrame, group: list[str], length: int) -> DataFrame:
                     anchors[at:upto] = anchor
                     at = upto
                 last_group = ids[start]
-            yield batch.assign(**{_ANCHOR: anchors})
+            yield batch.append_column(_ANCHOR, pa.array(anchors))
 
     return (
         df.repartition(*group)
         .sortWithinPartitions(*group, _T)
-        .mapInPandas(run, schema)
+        .mapInArrow(run, schema)
     )
 
 

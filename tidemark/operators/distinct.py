@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.hashing import bit_offset
-from tidemark.functions.times import micros
+from tidemark.functions.times import floor_to, micros, us_to_ms
 from tidemark.operators.ordered import Running, running
 from tidemark.operators.skew import DEFAULT_POLICY, SkewPolicy
 from tidemark.operators.windows import WINDOW_END, aggregate, window_end_ms
@@ -57,7 +57,7 @@ def bitmap(
     step = micros(slide) if slide else length
     if length % step:
         raise ValueError("window size must be a multiple of the slide")
-    pane = (F.floor(F.unix_micros(ts) / F.lit(step)) * step).cast("long")
+    pane = floor_to(F.unix_micros(ts), step)
     panes = df.groupBy(pane.alias("_pane"), visitor).agg(F.count(F.lit(1)).alias("_n"))
     bits = panes.select("_pane", bit_offset(F.col(visitor).cast("string")).alias("_bit"))
     if step == length:
@@ -66,7 +66,7 @@ def bitmap(
         ends = F.sequence(F.col("_pane") + step, F.col("_pane") + length, F.lit(step))
         windows = bits.select(F.explode(ends).alias("_end"), "_bit")
     return windows.groupBy("_end").agg(F.count_distinct("_bit").alias(name)).select(
-        F.floor(F.col("_end") / 1000).alias(WINDOW_END), name
+        us_to_ms(F.col("_end")).alias(WINDOW_END), name
     )
 
 

@@ -119,7 +119,6 @@ def reconcile(
     both = orders.withColumn(_SIDE, F.lit("order")).unionByName(
         pays.select(*columns).withColumn(_SIDE, F.lit("pay"))
     )
-    record = F.struct(*columns)
     sort = [*order_by, _SIDE]
     near = neighbours(
         both,
@@ -129,7 +128,8 @@ def reconcile(
             Neighbour("_prev_side", _SIDE, -1),
             Neighbour("_prev_ts", ts, -1),
             Neighbour("_next_side", _SIDE, 1),
-            Neighbour("_next", record, 1),
+            # column by column: those a query does not use are pruned
+            *[Neighbour(f"_next_{c}", c, 1) for c in columns],
         ],
         hot=hot,
         policy=policy,
@@ -152,17 +152,18 @@ def reconcile(
         hot=hot,
         policy=policy,
     )
-    next_in_time = in_time(F.col(ts), F.col(f"_next.{ts}"))
+    next_in_time = in_time(F.col(ts), F.col(f"_next_{ts}"))
     taken = F.coalesce(
         (F.col("_next_side") != F.col(_SIDE)) & next_in_time, F.lit(False)
     )
     superseded = F.coalesce(
         (F.col("_next_side") == F.col(_SIDE)) & next_in_time, F.lit(False)
     )
+    second = F.struct(*[F.col(f"_next_{c}").alias(c) for c in columns])
     return runs.filter(F.col(_SIDE) == F.col("_start_side")).select(
         F.col(key),
         F.when(taken, "matched").otherwise(F.col(_SIDE)).alias("side"),
         superseded.alias("superseded"),
-        record.alias("first"),
-        F.when(taken, F.col("_next")).alias("second"),
+        F.struct(*columns).alias("first"),
+        F.when(taken, second).alias("second"),
     )

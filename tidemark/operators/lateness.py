@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.times import micros
-from tidemark.operators.ordered import Running, running
-from tidemark.operators.skew import DEFAULT_POLICY, SkewPolicy
+from tidemark.operators.ordered import Neighbour, Running, neighbours, running
+from tidemark.operators.skew import DEFAULT_POLICY, SkewPolicy, find_hot
 from tidemark.operators.windows import WINDOW_END, window_end_ms
 
 ON_TIME, UPDATE, DROPPED = "on_time", "update", "dropped"
@@ -25,12 +25,14 @@ def with_watermark_before(
     ts: str,
     delay: str,
     *,
+    seen_us: int | None = None,
     policy: SkewPolicy = DEFAULT_POLICY,
 ) -> DataFrame:
     """Add ``watermark_us``, the watermark at a row's arrival; null for the first.
 
     The running maximum spans the whole table. Large tables are cut into
     slices of arrival time, each starting from the maximum before it.
+    ``seen_us`` is the greatest event time of earlier inputs, if there were any.
     """
     out = running(
         df,
@@ -39,7 +41,8 @@ def with_watermark_before(
         [Running("_max", "max", F.unix_micros(ts), previous="_max_before")],
         policy=policy,
     )
-    return out.withColumn("watermark_us", F.col("_max_before") - micros(delay)).drop(
+    seen = F.greatest(F.col("_max_before"), F.lit(seen_us).cast("long"))
+    return out.withColumn("watermark_us", seen - micros(delay)).drop(
         "_max", "_max_before"
     )
 
@@ -106,21 +109,18 @@ def allowed_lateness_results(
     rows = classify_lateness(
         df, arrival, ts, size, delay=delay, allowed=allowed, policy=policy
     ).filter(F.col("lateness") != DROPPED)
-    closing = (
-        rows.filter(F.col("lateness") == ON_TIME)
-        .groupBy(key, WINDOW_END)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select(key, WINDOW_END, F.lit("first").alias("kind"), "n")
-    )
+    group = [key, WINDOW_END]
+    rows = rows.select(*group, *arrival, "lateness")
+    hot = find_hot(rows, group, arrival[0], policy)
     counted = running(
-        rows.select(key, WINDOW_END, *arrival, "lateness"),
-        [key, WINDOW_END],
-        arrival,
-        [Running("n", "count", F.lit(1))],
-        policy=policy,
+        rows, group, arrival, [Running("n", "count", F.lit(1))], hot=hot, policy=policy
     )
-    kind = F.when(F.col("n") == 1, "first").otherwise("update")
-    late = counted.filter(F.col("lateness") == UPDATE).select(
-        key, WINDOW_END, kind.alias("kind"), "n"
+    # on-time rows all come before late ones: the last of them has the count
+    # that the window closed with
+    counted = neighbours(
+        counted, group, arrival, [Neighbour("_next", "lateness", 1)], hot=hot, policy=policy
     )
-    return closing.unionByName(late)
+    is_update = F.col("lateness") == UPDATE
+    closes = ~is_update & F.coalesce(F.col("_next") == UPDATE, F.lit(True))
+    kind = F.when(is_update & (F.col("n") > 1), "update").otherwise("first")
+    return counted.filter(is_update | closes).select(*group, kind.alias("kind"), "n")

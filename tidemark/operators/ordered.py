@@ -1,7 +1,7 @@
 """Skew-safe ordered operators: running aggregates and neighbouring rows.
 
-Both cost one shuffle on (key, slice). Without a hot key the slice is the
-constant 0 and the plan is the plain window plan.
+Without a hot key this is the plain window plan: one shuffle on the key, shared
+by consecutive operators. With hot keys each operator shuffles on (key, slice).
 """
 
 from __future__ import annotations
@@ -108,7 +108,7 @@ def running(
     rows = with_slice(df, order[0], hot).withColumns(
         {n: a.contribution() for n, a in zip(names, aggs)}
     )
-    group = [*keys, SLICE]
+    group = [*keys, SLICE] if hot else keys
     sort = _sorted(order, descending)
     if hot:
         position = F.struct(*order).alias("p")
@@ -178,7 +178,7 @@ def neighbours(
     order = list(order)
     hot = _hot_keys(df, keys, order, hot, policy)
     rows = with_slice(df, order[0], hot)
-    group = [*keys, SLICE]
+    group = [*keys, SLICE] if hot else keys
     if hot:
         rows = rows.withColumn(_SEED, F.lit(False))
         ahead = max([w.offset for w in wanted if w.offset > 0], default=0)

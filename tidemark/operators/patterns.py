@@ -37,13 +37,11 @@ def match_sequence(
     names = [n for n, _ in steps]
     fits = {f"_fit_{i}": F.coalesce(p, F.lit(False)) for i, (_, p) in enumerate(steps)}
     columns = df.columns
-    record = F.struct(*columns)
     wanted = []
     for i in range(1, len(steps)):
-        wanted += [
-            Neighbour(f"_row_{i}", record, i),
-            Neighbour(f"_ok_{i}", f"_fit_{i}", i),
-        ]
+        # column by column: those a query does not use are pruned
+        wanted += [Neighbour(f"_{i}_{c}", c, i) for c in columns]
+        wanted.append(Neighbour(f"_ok_{i}", f"_fit_{i}", i))
     rows = neighbours(df.withColumns(fits), [key], order, wanted, hot=hot, policy=policy)
 
     def row_ok(i: int) -> Column:
@@ -53,8 +51,8 @@ def match_sequence(
 
     def in_time(i: int) -> Column:
         if within is None:
-            return F.col(f"_row_{i}").isNotNull()
-        gap = F.unix_micros(F.col(f"_row_{i}.{ts}")) - F.unix_micros(F.col(ts))
+            return F.col(f"_ok_{i}").isNotNull()
+        gap = F.unix_micros(F.col(f"_{i}_{ts}")) - F.unix_micros(F.col(ts))
         return F.coalesce(gap < micros(within), F.lit(False))
 
     matched = row_ok(0)
@@ -69,8 +67,8 @@ def match_sequence(
         {"outcome": outcome, "_reached": reached}
     )
     keep = ["matched", "timeout"] if on_timeout else ["matched"]
-    structs = [record.alias(names[0])] + [
-        F.when(F.col("_reached") > i, F.col(f"_row_{i}")).alias(names[i])
-        for i in range(1, len(steps))
-    ]
+    structs = [F.struct(*columns).alias(names[0])]
+    for i in range(1, len(steps)):
+        row = F.struct(*[F.col(f"_{i}_{c}").alias(c) for c in columns])
+        structs.append(F.when(F.col("_reached") > i, row).alias(names[i]))
     return out.filter(F.col("outcome").isin(keep)).select(key, "outcome", *structs)

@@ -21,6 +21,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.times import floor_to
+
 SLICE = "_slice"
 HOT = "_hot"
 
@@ -105,13 +107,17 @@ def find_hot(
 
 
 def with_slice(df: DataFrame, order: str, hot: HotKeys) -> DataFrame:
-    """Add the slice number (0 for keys that are not split) and the hot flag."""
+    """Add the slice start (0 for keys that are not split) and the hot flag.
+
+    Without hot keys nothing is added, so consecutive operators on a key share
+    one shuffle.
+    """
     if not hot:
-        return df.withColumn(SLICE, F.lit(0).cast("long")).withColumn(HOT, F.lit(False))
+        return df
     pos = position(order, df.schema[order].dataType)
     if not hot.keys:
         lo, width = hot.rows[0]
-        number = F.floor((pos - F.lit(lo)) / F.lit(width)).cast("long")
+        number = floor_to(pos - F.lit(lo), width)
         return df.withColumn(
             SLICE, F.coalesce(number, F.lit(0).cast("long"))
         ).withColumn(HOT, F.lit(True))
@@ -124,7 +130,8 @@ def with_slice(df: DataFrame, order: str, hot: HotKeys) -> DataFrame:
         match = match & F.col(k).eqNullSafe(F.col(f"_hot_{i}"))
     # hot.rows is bounded by SkewPolicy.max_hot, see find_hot
     joined = df.join(F.broadcast(table), match, "left")
-    number = F.floor((pos - F.col("_lo")) / F.col("_width")).cast("long")
+    offset = pos - F.col("_lo")
+    number = offset - F.pmod(offset, F.col("_width"))
     return joined.select(
         *df.columns,
         F.coalesce(number, F.lit(0).cast("long")).alias(SLICE),

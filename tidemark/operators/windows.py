@@ -10,10 +10,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.times import micros
+from tidemark.functions.times import floor_to, micros, us_to_ms
 
 WINDOW_END = "window_end"
 
@@ -22,8 +22,7 @@ def window_end_ms(ts: str | Column, size: str) -> Column:
     """End of the tumbling window a timestamp falls in, without grouping on it."""
     width = micros(size)
     col = F.col(ts) if isinstance(ts, str) else ts
-    pane = F.floor(F.unix_micros(col) / F.lit(width)) + 1
-    return F.floor(pane * width / 1000).cast("long")
+    return us_to_ms(floor_to(F.unix_micros(col), width) + width)
 
 
 def aggregate(
@@ -75,8 +74,8 @@ def sliding_count(
     length, step = micros(size), micros(slide)
     if length % step:
         raise ValueError("window size must be a multiple of the slide")
-    start = F.floor(F.unix_micros(F.col(ts)) / F.lit(step)) * step
-    panes = df.groupBy(*keys, start.cast("long").alias("_pane")).agg(
+    start = floor_to(F.unix_micros(ts), step)
+    panes = df.groupBy(*keys, start.alias("_pane")).agg(
         F.count(F.lit(1)).alias("_n")
     )
     ends = F.sequence(F.col("_pane") + step, F.col("_pane") + length, F.lit(step))
@@ -84,7 +83,7 @@ def sliding_count(
         panes.select(*keys, F.explode(ends).alias("_end"), "_n")
         .groupBy(*keys, "_end")
         .agg(F.sum("_n").alias(name))
-        .select(*keys, F.floor(F.col("_end") / 1000).alias(WINDOW_END), name)
+        .select(*keys, us_to_ms(F.col("_end")).alias(WINDOW_END), name)
     )
 
 
@@ -126,16 +125,12 @@ def early_counts(
     reduced to one count per ``every``-long pane first, so the ordered part
     sees at most ``size / every`` rows per key and window.
     """
-    from pyspark.sql import Window
-
     length, step = micros(size), micros(every)
     if length % step:
         raise ValueError("window size must be a multiple of the firing interval")
-    pane = (F.floor(F.unix_micros(ts) / F.lit(step)) * step).cast("long")
+    pane = floor_to(F.unix_micros(ts), step)
     panes = df.groupBy(*keys, pane.alias("_pane")).agg(F.count(F.lit(1)).alias("_n"))
-    panes = panes.withColumn(
-        "_end", (F.floor(F.col("_pane") / F.lit(length)) + 1) * length
-    )
+    panes = panes.withColumn("_end", floor_to(F.col("_pane"), length) + length)
     along = Window.partitionBy(*keys, "_end").orderBy("_pane")
     so_far = F.sum("_n").over(
         along.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -147,7 +142,7 @@ def early_counts(
     )
     return fires.select(
         *keys,
-        F.floor(F.col("_end") / 1000).alias(WINDOW_END),
+        us_to_ms(F.col("_end")).alias(WINDOW_END),
         F.explode(F.sequence("_first", "_last", F.lit(step))).alias("_at"),
         "n",
-    ).select(*keys, WINDOW_END, F.floor(F.col("_at") / 1000).alias("fire_at"), "n")
+    ).select(*keys, WINDOW_END, us_to_ms(F.col("_at")).alias("fire_at"), "n")
