@@ -436,4 +436,7 @@ ORACLES |= {
     "st9_gate_stream": f"SELECT event_id, user_id FROM ({ORACLES['q15_gate']})",
     "st10_login_fail_stream": ORACLES["q11_login_fail_state"],
     "st12_changelog_stream": ORACLES["st12_changelog"],
+    "st13_late_rows_stream": f"""SELECT event_id,
+       CASE lateness WHEN 'dropped' THEN 'late' ELSE 'on_time' END AS side
+FROM ({ORACLES["st13_late"]})""",
 }

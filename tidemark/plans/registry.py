@@ -109,6 +109,7 @@ STREAMS: dict[str, Query] = {
     "st9_gate_stream": streams.gate,
     "st10_login_fail_stream": streams.login_failures,
     "st12_changelog_stream": streams.change_log,
+    "st13_late_rows_stream": streams.late_rows,
 }
 
 

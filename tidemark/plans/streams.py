@@ -9,6 +9,7 @@ from tidemark.operators import distinct, topn, windows
 from tidemark.session import scratch_path
 from tidemark.sources import views
 from tidemark.streaming import stateful
+from tidemark.streaming.late import batch_folders, split_late
 from tidemark.streaming.run import drain, drain_batches, is_end, replay_events
 
 WINDOW_END = windows.WINDOW_END
@@ -168,13 +169,39 @@ def hot_items(spark: SparkSession, d: str) -> DataFrame:
         "ts", "1 hour", ["item_id"], slide="5 minutes",
     )
     path = scratch_path(spark, "hot-items")
+    write = batch_folders(path)
 
     def rank(batch: DataFrame, batch_id: int) -> None:
-        top = topn.top_n(
-            batch.filter(F.col("item_id").isNotNull()), [WINDOW_END], "n", 3, ["item_id"]
-        )
-        # one folder per batch: writing a replayed batch again replaces it
-        top.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        counted = batch.filter(F.col("item_id").isNotNull())
+        write(topn.top_n(counted, [WINDOW_END], "n", 3, ["item_id"]), batch_id)
 
     drain_batches(counts, "hot-items", rank, finish=finish)
     return spark.read.parquet(path).drop("batch")
+
+
+def late_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Rows whose hourly window had closed, to a side output of the stream."""
+    rows, _ = replay_events(spark, d)
+    rows = rows.select(
+        "event_id",
+        "user_id",
+        "ts",
+        views.arrival_time().alias("arrival"),
+    )
+    path = scratch_path(spark, "late-rows")
+    route = split_late(
+        ["arrival", "event_id"],
+        "ts",
+        f"{path}/state",
+        batch_folders(f"{path}/on_time"),
+        batch_folders(f"{path}/late"),
+        delay="1 hour",
+        size="1 hour",
+        allowed="1 hour",
+    )
+    drain_batches(rows, "late-rows", route)
+    parts = [
+        spark.read.parquet(f"{path}/{side}").select("event_id", F.lit(side).alias("side"))
+        for side in ("on_time", "late")
+    ]
+    return parts[0].unionByName(parts[1])

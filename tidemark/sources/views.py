@@ -110,14 +110,16 @@ def access_lines(spark: SparkSession, directory: str) -> DataFrame:
     )
 
 
-def arrivals(spark: SparkSession, directory: str) -> DataFrame:
-    """event_id, user_id, ts, arrival: rows delayed by a time-based jitter."""
+def arrival_time():
+    """Event time plus a jitter that depends on the event only."""
     jitter = (F.col("event_id") * ARRIVAL_PRIME % ARRIVAL_SPREAD) * (
         ARRIVAL_STEP_MINUTES * 60_000_000
     )
+    return F.timestamp_micros(F.unix_micros("ts") + jitter)
+
+
+def arrivals(spark: SparkSession, directory: str) -> DataFrame:
+    """event_id, user_id, ts, arrival: rows that come late and out of order."""
     return events(spark, directory).select(
-        "event_id",
-        "user_id",
-        "ts",
-        F.timestamp_micros(F.unix_micros("ts") + jitter).alias("arrival"),
+        "event_id", "user_id", "ts", arrival_time().alias("arrival")
     )

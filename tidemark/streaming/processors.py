@@ -400,6 +400,10 @@ class LateWindow(Keyed):
         if n == 0:
             self.handle.registerTimer(end - self.lag)
             self.handle.registerTimer(end + self.allowed - self.lag)
+        elif watermark >= end and not fired:
+            # closed since the last batch; its timer runs after these rows
+            yield self.row(key[0], end, "first", n)
+            fired = True
         for _ in rows:
             n += 1
             if watermark >= end:
