@@ -1,7 +1,9 @@
 """Stream forms of the stateful operators: DataFrame in, DataFrame out.
 
 Inputs are streams with a watermark on ``ts``. ``tie`` is a long column that
-orders rows of equal time. Event times leave as ``*_us`` microseconds.
+orders rows of equal time. Event times leave as ``*_us`` microseconds. A
+``ttl_ms`` drops state of quiet keys by the clock; such a stream always has
+another batch to run, so it is for continuous triggers, not ``availableNow``.
 """
 
 from __future__ import annotations
