@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.times import micros
-from tidemark.operators.ordered import Neighbour, Running, neighbours, running
+from tidemark.operators.ordered import Neighbour, Running, hot_keys, neighbours, running, settle
 from tidemark.operators.skew import DEFAULT_POLICY, HotKeys, SkewPolicy
 
 _T, _CHAIN, _ANCHOR = "_t", "_chain", "_anchor"
@@ -86,6 +86,7 @@ def armed_alerts(
     length = micros(hold)
     ts = order[0]
     place = F.struct(*order)
+    hot = hot_keys(df, [key], order, hot, policy)
     rows = df.select(
         key,
         *order,
@@ -105,7 +106,7 @@ def armed_alerts(
         policy=policy,
     )
     both = running(
-        back,
+        settle(back, hot),
         [key],
         order,
         [Running("_reset_after", "min", F.when(F.col("_resets"), F.col(_T)))],
@@ -122,7 +123,7 @@ def armed_alerts(
     # between rows further apart than ``hold`` no window can reach across, so
     # the fold below runs over short chains instead of whole keys
     chains = running(
-        both.filter("_arms"),
+        settle(both.filter("_arms"), hot),
         [key],
         order,
         [Running(_CHAIN, "count", F.when(fresh, 1))],
@@ -158,6 +159,7 @@ def rising_runs(
 
     An equal value changes nothing. A previous value of 0.0 counts as none.
     """
+    hot = hot_keys(df, [key], order, hot, policy)
     rows = neighbours(
         df.select(key, *order, value),
         [key],
@@ -166,6 +168,7 @@ def rising_runs(
         hot=hot,
         policy=policy,
     )
+    rows = settle(rows, hot)
     fresh = F.coalesce(F.col("_prev") == 0.0, F.lit(True))
     drops = fresh | (F.col(value) < F.col("_prev"))
     rises = ~fresh & (F.col(value) > F.col("_prev"))

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.hashing import bit_offset
 from tidemark.functions.times import floor_to, micros, us_to_ms
-from tidemark.operators.ordered import Running, running
-from tidemark.operators.skew import DEFAULT_POLICY, SkewPolicy
+from tidemark.operators.ordered import Running, running, settle
+from tidemark.operators.skew import DEFAULT_POLICY, SkewPolicy, find_hot
 from tidemark.operators.windows import WINDOW_END, aggregate, window_end_ms
 
 
@@ -108,6 +108,7 @@ def running_bitmap(
         window_end_ms(ts, size).alias(WINDOW_END),
         bit_offset(F.col(visitor).cast("string")).alias("_bit"),
     )
+    hot = find_hot(rows, [WINDOW_END], order[0], policy)
     seen = running(
         rows,
         [WINDOW_END, "_bit"],
@@ -117,6 +118,6 @@ def running_bitmap(
     )
     fresh: Column = F.when(F.col("_times") == 1, 1).otherwise(0).cast("long")
     counted = running(
-        seen, [WINDOW_END], order, [Running(name, "sum", fresh)], policy=policy
+        settle(seen, hot), [WINDOW_END], order, [Running(name, "sum", fresh)], hot=hot
     )
     return counted.select(*keep, WINDOW_END, name)

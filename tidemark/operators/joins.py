@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.times import micros
-from tidemark.operators.ordered import Neighbour, Running, neighbours, running
+from tidemark.operators.ordered import Neighbour, Running, hot_keys, neighbours, running, settle
 from tidemark.operators.skew import DEFAULT_POLICY, HotKeys, SkewPolicy
 
 _SIDE = "_side"
@@ -72,12 +72,13 @@ def without_partner(
         ),
         allowMissingColumns=True,
     )
+    hot = hot_keys(both, [key], [ts], hot, policy)
     back = running(
         both, [key], [ts, _SIDE], [Running("_before", "max", F.col("_other"))],
         hot=hot, policy=policy,
     )
     ahead = running(
-        back, [key], [ts, _SIDE], [Running("_after", "min", F.col("_other"))],
+        settle(back, hot), [key], [ts, _SIDE], [Running("_after", "min", F.col("_other"))],
         descending=True, hot=hot, policy=policy,
     )
     limit = micros(bound)
@@ -120,6 +121,7 @@ def reconcile(
         pays.select(*columns).withColumn(_SIDE, F.lit("pay"))
     )
     sort = [*order_by, _SIDE]
+    hot = hot_keys(both, [key], sort, hot, policy)
     near = neighbours(
         both,
         [key],
@@ -145,7 +147,7 @@ def reconcile(
         F.lit(False),
     )
     runs = running(
-        near,
+        settle(near, hot),
         [key],
         sort,
         [Running("_start_side", "last", F.when(~linked, F.col(_SIDE)))],

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.times import micros
-from tidemark.operators.ordered import Neighbour, Running, neighbours, running
+from tidemark.operators.ordered import Neighbour, Running, neighbours, running, settle
 from tidemark.operators.skew import DEFAULT_POLICY, SkewPolicy, find_hot
 from tidemark.operators.windows import WINDOW_END, window_end_ms
 
@@ -106,19 +106,20 @@ def allowed_lateness_results(
     count for each late row. A window whose first row is itself late has that
     row's result as its first. Output: key, window_end, kind, n.
     """
+    group = [key, WINDOW_END]
+    placed = df.withColumn(WINDOW_END, window_end_ms(ts, size))
+    hot = find_hot(placed, group, arrival[0], policy)
     rows = classify_lateness(
         df, arrival, ts, size, delay=delay, allowed=allowed, policy=policy
     ).filter(F.col("lateness") != DROPPED)
-    group = [key, WINDOW_END]
     rows = rows.select(*group, *arrival, "lateness")
-    hot = find_hot(rows, group, arrival[0], policy)
     counted = running(
-        rows, group, arrival, [Running("n", "count", F.lit(1))], hot=hot, policy=policy
+        settle(rows, hot), group, arrival, [Running("n", "count", F.lit(1))], hot=hot, policy=policy
     )
     # on-time rows all come before late ones: the last of them has the count
     # that the window closed with
     counted = neighbours(
-        counted, group, arrival, [Neighbour("_next", "lateness", 1)], hot=hot, policy=policy
+        settle(counted, hot), group, arrival, [Neighbour("_next", "lateness", 1)], hot=hot, policy=policy
     )
     is_update = F.col("lateness") == UPDATE
     closes = ~is_update & F.coalesce(F.col("_next") == UPDATE, F.lit(True))

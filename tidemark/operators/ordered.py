@@ -21,6 +21,7 @@ from tidemark.operators.skew import (
     find_hot,
     with_slice,
 )
+from tidemark.session import scratch_path
 
 _SEED = "_seed"
 
@@ -67,13 +68,14 @@ class Running:
         return self.fold(col)
 
 
-def _hot_keys(
+def hot_keys(
     df: DataFrame,
     keys: list[str],
     order: Sequence[str],
     hot: HotKeys | None,
     policy: SkewPolicy,
 ) -> HotKeys:
+    """``hot`` if given, else measured: operators made of several steps ask once."""
     if hot is None:
         return find_hot(df, keys, order[0], policy)
     if tuple(hot.keys) != tuple(keys):
@@ -103,7 +105,7 @@ def running(
     seed row that carries the aggregate of everything before them.
     """
     order = list(order)
-    hot = _hot_keys(df, keys, order, hot, policy)
+    hot = hot_keys(df, keys, order, hot, policy)
     names = [f"_in_{i}" for i in range(len(aggs))]
     rows = with_slice(df, order[0], hot).withColumns(
         {n: a.contribution() for n, a in zip(names, aggs)}
@@ -152,6 +154,21 @@ def running(
     return rows.select(*[c for c in df.columns if c not in added], *added)
 
 
+def settle(df: DataFrame, hot: HotKeys) -> DataFrame:
+    """The input of a further ordered step, written once if keys are split.
+
+    A step over split keys reads its input two or three times; without this a
+    chain of steps would recompute the first ones again and again. The table is
+    in the shared folder, so a lost executor costs nothing. Without hot keys
+    steps stay in one plan and share their shuffle.
+    """
+    if not hot:
+        return df
+    path = scratch_path(df.sparkSession, "step")
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 @dataclass(frozen=True)
 class Neighbour:
     """A value of the row ``offset`` places after (before, if negative) a row."""
@@ -176,7 +193,7 @@ def neighbours(
     own rows can reach, so each lookup stays inside the slice's task.
     """
     order = list(order)
-    hot = _hot_keys(df, keys, order, hot, policy)
+    hot = hot_keys(df, keys, order, hot, policy)
     rows = with_slice(df, order[0], hot)
     group = [*keys, SLICE] if hot else keys
     if hot:

@@ -61,11 +61,10 @@ def shared_dir(spark: SparkSession) -> str:
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
-        set_dir = spark.sparkContext.getCheckpointDir()
-        if set_dir:
-            return set_dir
+        named = spark.sparkContext.getCheckpointDir()
+    if not named:
         named = tempfile.mkdtemp(prefix="tidemark-")
-    spark.sparkContext.setCheckpointDir(named)
+        spark.sparkContext.setCheckpointDir(named)
     return named
 
 
