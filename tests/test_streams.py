@@ -135,8 +135,8 @@ def test_gate(stream, batch, rows, mode):
 
 
 def test_sliding_counts_and_top_n(stream, batch):
-    counts = windows.count(
-        stream.filter("kind <> 'c'"), "ts", "60 seconds", ["k"], slide="20 seconds"
+    counts = windows.sliding_count(
+        stream.filter("kind <> 'c'"), "ts", "60 seconds", "20 seconds", ["k"]
     )
     path = scratch_path(stream.sparkSession, "top")
     write = batch_folders(path)

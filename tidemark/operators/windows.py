@@ -56,37 +56,60 @@ def count(
     return aggregate(df, ts, size, keys, {name: F.count(F.lit(1))}, slide=slide)
 
 
-def sliding_count(
+# Aggregates whose partial results merge: how panes combine into windows.
+_MERGE = {"count": F.sum, "sum": F.sum, "min": F.min, "max": F.max}
+_PANE = {"count": F.count, "sum": F.sum, "min": F.min, "max": F.max}
+
+
+def sliding(
     df: DataFrame,
     ts: str,
     size: str,
     slide: str,
-    keys: Sequence[str] = (),
-    *,
-    name: str = "n",
+    keys: Sequence[str],
+    aggs: Mapping[str, tuple[str, str | Column]],
 ) -> DataFrame:
-    """Batch sliding counts by way of panes.
+    """Sliding aggregates by way of panes; ``aggs`` maps a name to (kind, value).
 
-    Rows are counted once per slide-long pane, and only the pane counts are
-    copied into the ``size / slide`` windows that contain them. The row-level
-    work and the first shuffle do not grow with that ratio.
+    Rows are aggregated once per slide-long pane, and only the pane results are
+    copied into the ``size / slide`` windows that contain them. Neither the
+    row-level work nor the first shuffle grows with that ratio. On a stream the
+    panes are a first windowed aggregation and the windows a second one over
+    it, so a row touches one state entry instead of one per window.
     """
     length, step = micros(size), micros(slide)
     if length % step:
         raise ValueError("window size must be a multiple of the slide")
+    first = [_PANE[kind](value).alias(n) for n, (kind, value) in aggs.items()]
+    second = [_MERGE[kind](n).alias(n) for n, (kind, _) in aggs.items()]
+    if df.isStreaming:
+        panes = df.groupBy(F.window(ts, slide).alias("_p"), *keys).agg(*first)
+        window = F.window(F.window_time("_p"), size, slide).alias("_w")
+        merged = panes.groupBy(window, *keys).agg(*second)
+        return merged.select(*keys, F.unix_millis("_w.end").alias(WINDOW_END), *aggs)
     start = floor_to(F.unix_micros(ts), step)
-    panes = df.groupBy(*keys, start.alias("_pane")).agg(
-        F.count(F.lit(1)).alias("_n")
-    )
+    panes = df.groupBy(*keys, start.alias("_pane")).agg(*first)
     ends = F.sequence(F.col("_pane") + step, F.col("_pane") + length, F.lit(step))
     return (
-        panes.select(*keys, F.explode(ends).alias("_end"), "_n")
+        panes.select(*keys, F.explode(ends).alias("_end"), *aggs)
         .groupBy(*keys, "_end")
-        .agg(F.sum("_n").alias(name))
-        .select(*keys, us_to_ms(F.col("_end")).alias(WINDOW_END), name)
+        .agg(*second)
+        .select(*keys, us_to_ms(F.col("_end")).alias(WINDOW_END), *aggs)
     )
 
 
+def sliding_count(
+    df: DataFrame,
+    ts: str,
+    size: str,
+    slide: str,
+    keys: Sequence[str] = (),
+    *,
+    name: str = "n",
+) -> DataFrame:
+    return sliding(df, ts, size, slide, keys, {name: ("count", F.lit(1))})
+
+
 def min_max(
     df: DataFrame, ts: str, size: str, key: str, value: str
 ) -> DataFrame:

@@ -429,7 +429,8 @@ ORACLES |= {
     ),
     "st2_jumps_stream": ORACLES["q15_jump_alert_skip_first"],
     "st3_rising_run_stream": ORACLES["q15_rising_run"],
-    "st4_timers_stream": ORACLES["st4_timers"],
+    "st4_timers_stream": f"""WITH {SENSOR}
+SELECT DISTINCT id, (us + 5000000) // 1000 AS fires_ms FROM sensor""",
     "st5_tumbling_stream": ORACLES["st5_tumbling_close"],
     "st7_order_timeout_stream": ORACLES["q12_order_timeout_state"],
     "st8_recon_stream": ORACLES["q13_recon_matched"],

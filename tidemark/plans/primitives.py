@@ -230,13 +230,13 @@ def windowed_sum(spark: SparkSession, d: str) -> DataFrame:
 
 
 def sliding_min(spark: SparkSession, d: str) -> DataFrame:
-    return windows.aggregate(
+    return windows.sliding(
         views.sensor(spark, d),
         "ts",
         "2 days",
+        "1 day",
         ["id"],
-        {"lowest": F.min("temperature")},
-        slide="1 day",
+        {"lowest": ("min", "temperature")},
     )
 
 

@@ -164,9 +164,9 @@ def hot_items(spark: SparkSession, d: str) -> DataFrame:
     the batch is complete.
     """
     rows, finish = _events(spark, d, views.PAGE_VIEW)
-    counts = windows.count(
+    counts = windows.sliding_count(
         rows.select(views.item_id().alias("item_id"), "ts"),
-        "ts", "1 hour", ["item_id"], slide="5 minutes",
+        "ts", "1 hour", "5 minutes", ["item_id"],
     )
     path = scratch_path(spark, "hot-items")
     write = batch_folders(path)

@@ -83,28 +83,24 @@ class Jumps(Keyed):
 
 
 class Callbacks(Emitting):
-    """A callback ``after`` each distinct event time of a key."""
+    """A callback ``after`` each distinct event time of a key, in milliseconds.
+
+    The pending timers are the whole state.
+    """
 
     def __init__(self, after_us: int):
         self.after_us = after_us
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        # a timer has millisecond precision: keep the exact times due at it
-        self.due = handle.getMapState("due", "at_us long", "seen boolean")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        for t in sorted({r["_t"] for r in rows}):
-            self.due.updateValue((t + self.after_us,), (True,))
-            self.handle.registerTimer(timer_ms(t + self.after_us))
+        for ms in sorted({(r["_t"] + self.after_us) // 1000 for r in rows}):
+            self.handle.registerTimer(ms)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        now = expiredTimerInfo.getExpiryTimeInMs()
-        for (at,) in list(self.due.keys()):
-            if timer_ms(at) <= now:
-                self.due.removeKey((at,))
-                yield self.row(key[0], at)
+        yield self.row(key[0], expiredTimerInfo.getExpiryTimeInMs())
 
 
 class Armed(Keyed):

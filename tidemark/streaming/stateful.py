@@ -63,7 +63,7 @@ def jumps(
 
 def timers(df: DataFrame, key: str, ts: str, tie: str, after: str) -> DataFrame:
     rows = _prepare(df, key, ts, tie)
-    return _run(rows, [key], P.Callbacks(micros(after)), "fires_us long", True)
+    return _run(rows, [key], P.Callbacks(micros(after)), "fires_ms long", True)
 
 
 ARMED = "opened_us long, fires_us long, n long"
