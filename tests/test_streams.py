@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import alerts, distinct, joins, topn, windows
 from tidemark.session import scratch_path
+from tidemark.sources.tables import register
 from tidemark.streaming import stateful
 from tidemark.streaming.late import batch_folders, split_late
 from tidemark.streaming.run import drain, drain_batches
@@ -155,6 +156,17 @@ def test_sliding_counts_and_top_n(stream, batch):
     assert bag(got, *cols) == bag(want, *cols)
 
 
+def test_sql_over_a_registered_stream(stream, batch):
+    register(stream, "t_stream")
+    out = stream.sparkSession.sql(
+        "SELECT k, unix_millis(window.end) AS window_end, count(*) AS n FROM t_stream "
+        "GROUP BY k, window(ts, '60 seconds', '20 seconds')"
+    )
+    want = windows.count(batch, "ts", "60 seconds", ["k"], slide="20 seconds")
+    cols = ["k", "window_end", "n"]
+    assert bag(drain(out, "sql"), *cols) == bag(want, *cols)
+
+
 def test_two_stage_visitors(stream, batch):
     got = drain(distinct.two_stage(stream, "ts", "60 seconds", "k"), "t")
     want = distinct.exact(batch, "ts", "60 seconds", "k")

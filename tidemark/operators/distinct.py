@@ -50,8 +50,8 @@ def bitmap(
 ) -> DataFrame:
     """Distinct bits of a 2^29-bit map per window: collisions count once.
 
-    Visitors are deduplicated per slide-long pane before hashing, and a pane's
-    bits are deduplicated before they are copied into the windows it is in.
+    Visitors are deduplicated per slide-long pane before they are hashed and
+    copied into the windows the pane is in.
     """
     length = micros(size)
     step = micros(slide) if slide else length
