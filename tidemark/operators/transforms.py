@@ -106,6 +106,6 @@ def shrink(df: DataFrame, partitions: int) -> DataFrame:
 
 def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
     """Mark for broadcast only after checking that the row count allows it."""
-    if len(df.select(F.lit(1)).head(max_rows + 1)) > max_rows:
+    if df.select(F.lit(1)).limit(max_rows + 1).count() > max_rows:
         return df
     return F.broadcast(df)

@@ -15,14 +15,13 @@ based forms in ``tidemark.operators``. Conventions:
 
 from __future__ import annotations
 
+from bisect import insort
 from collections.abc import Iterator
 from typing import Any
 
 from pyspark.sql import Row
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-BY_TIME = ("_t", "_tie")
-
 
 def in_order(rows: Iterator[Row]) -> list[Row]:
     return sorted(rows, key=lambda r: (r["_t"], r["_tie"]))
@@ -180,7 +179,7 @@ class OrderSlot(Keyed):
                 slot_t = slot_tie = created = None
             if slot_t is None or not r["created"]:
                 slot_t, slot_tie, created = t, r["_tie"], r["created"]
-            due.append(t + self.wait)
+            insort(due, t + self.wait)
             fresh.append(t + self.wait)
         waiting = set(due)
         for at in sorted({timer_ms(a) for a in fresh if a in waiting}):
