@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark import cloudpickle
@@ -57,13 +56,15 @@ def prepare(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
 
-    Only a session that names none (a local test run) gets a folder of its own.
+    A session that names none gets a folder below the warehouse, which is
+    shared storage on a cluster; never a machine's own temporary folder.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
         named = spark.sparkContext.getCheckpointDir()
     if not named:
-        named = tempfile.mkdtemp(prefix="tidemark-")
+        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        named = f"{warehouse}/_checkpoints"
         spark.sparkContext.setCheckpointDir(named)
     return named
 
