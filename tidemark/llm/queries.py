@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate
+from tidemark.llm import decontaminate, huffman, packing
 from tidemark.llm.shared import load, ready
 
+TOKENIZER = "word_bpe_49k.json"
+END = 1
+
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     ready(spark)
@@ -24,8 +28,22 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ready(spark)
+    documents = load(spark, sf_dir, "documents")
+    return packing.pack_documents(documents, public_tokenizers.path(TOKENIZER), END)
+
+
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ready(spark)
+    documents = load(spark, sf_dir, "documents")
+    return huffman.read(huffman.write(documents, public_tokenizers.path(TOKENIZER), END))
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
+    "op2_pack": op2_pack,
+    "op6_token_files": op6_token_files,
 }
 
 OP1_SQL = r"""
