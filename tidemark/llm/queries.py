@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, huffman, packing
+from tidemark.llm import decontaminate, huffman, packing, simhash, warc
 from tidemark.llm.shared import load, ready
 
 TOKENIZER = "word_bpe_49k.json"
@@ -34,16 +34,31 @@ def op2_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents, public_tokenizers.path(TOKENIZER), END)
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ready(spark)
+    records = warc.read(warc.write(load(spark, sf_dir, "pages")), payloads=False)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     ready(spark)
     documents = load(spark, sf_dir, "documents")
     return huffman.read(huffman.write(documents, public_tokenizers.path(TOKENIZER), END))
 
 
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ready(spark)
+    found = simhash.groups(load(spark, sf_dir, "documents"))
+    digits = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
+    return found.select("doc_id", digits, "component_id")
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_pack": op2_pack,
+    "op3_warc": op3_warc,
     "op6_token_files": op6_token_files,
+    "op9_simhash": op9_simhash,
 }
 
 OP1_SQL = r"""
@@ -70,6 +85,23 @@ SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hi
 FROM d LEFT JOIN n USING (r) LEFT JOIN s USING (r)
 """
 
+OP3_SQL = r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages),
+b AS (
+  SELECT *, list_transform(string_split(regexp_replace(hex, '(.)', '\1 ', 'g'), ' ')[1:40],
+    lambda c: strpos('0123456789abcdef', c) - 1) AS n FROM p),
+e AS (
+  SELECT *, list_aggregate(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + (((n[5 * i // 4 + 1] * 16 + coalesce(n[5 * i // 4 + 2], 0)) >> (3 - 5 * i % 4)) & 31)::INT, 1)),
+    'string_agg', '') AS digest FROM b),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY html) AS first FROM e)
+SELECT page_id, strlen(html)::BIGINT AS payload_bytes, digest AS payload_digest,
+  CASE WHEN page_id IS NOT DISTINCT FROM first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id IS NOT DISTINCT FROM first THEN NULL ELSE first END AS refers_to
+FROM f
+"""
+
 ORACLES = {
     "op1_decontaminate": OP1_SQL,
+    "op3_warc": OP3_SQL,
 }
