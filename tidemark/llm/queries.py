@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, huffman, packing, simhash, warc
+from tidemark.llm import decontaminate, huffman, line_dedup, packing, simhash, warc
 from tidemark.llm.shared import load, ready
 
 TOKENIZER = "word_bpe_49k.json"
@@ -46,6 +46,12 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return huffman.read(huffman.write(documents, public_tokenizers.path(TOKENIZER), END))
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ready(spark)
+    documents = load(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.deduplicated(documents, counted=("n_lines", "n_removed"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     ready(spark)
     found = simhash.groups(load(spark, sf_dir, "documents"))
@@ -58,6 +64,7 @@ QUERIES = {
     "op2_pack": op2_pack,
     "op3_warc": op3_warc,
     "op6_token_files": op6_token_files,
+    "op8_line_dedup": op8_line_dedup,
     "op9_simhash": op9_simhash,
 }
 
@@ -101,7 +108,35 @@ SELECT page_id, strlen(html)::BIGINT AS payload_bytes, digest AS payload_digest,
 FROM f
 """
 
+OP8_SQL = r"""
+WITH l AS (
+  SELECT doc_id, i, lines[i] AS line, regexp_extract_all(lines[i], '[^\x20\x09-\x0D]+') AS words
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+    unnest(range(1, len(lines) + 1)) AS t(i)),
+c AS (
+  SELECT *, sum(len(words)) OVER (PARTITION BY doc_id ORDER BY i) AS upto,
+    array_to_string(words, ' ') AS content FROM l),
+e AS (
+  SELECT a.doc_id, a.i AS first, min(b.i) AS last FROM c a JOIN c b
+  ON a.doc_id = b.doc_id AND b.i >= a.i AND b.upto - a.upto + len(a.words) >= 50 GROUP BY ALL
+  UNION
+  SELECT b.doc_id, max(a.i) AS first, b.i AS last FROM c a JOIN c b
+  ON a.doc_id = b.doc_id AND b.i >= a.i AND b.upto - a.upto + len(a.words) >= 50 GROUP BY ALL),
+w AS (
+  SELECT e.doc_id, first, last, string_agg(content, chr(10) ORDER BY i) AS part
+  FROM e JOIN c ON e.doc_id = c.doc_id AND c.i BETWEEN first AND last GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY part ORDER BY doc_id, first) AS nth FROM w),
+g AS (SELECT DISTINCT doc_id, i FROM r, unnest(range(first, last + 1)) AS t(i) WHERE nth > 1),
+k AS (
+  SELECT c.doc_id, count(*) AS n_lines, count(g.i) AS n_removed,
+    string_agg(line, chr(10) ORDER BY c.i) FILTER (WHERE g.i IS NULL) AS text
+  FROM c LEFT JOIN g ON c.doc_id = g.doc_id AND c.i = g.i GROUP BY c.doc_id)
+SELECT d.doc_id, CASE WHEN d.text IS NOT NULL THEN coalesce(k.text, '') END AS text, n_lines, n_removed
+FROM documents d JOIN k USING (doc_id)
+"""
+
 ORACLES = {
     "op1_decontaminate": OP1_SQL,
     "op3_warc": OP3_SQL,
+    "op8_line_dedup": OP8_SQL,
 }
