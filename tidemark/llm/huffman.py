@@ -397,6 +397,7 @@ def read(manifest: DataFrame) -> DataFrame:
     within = within.rowsBetween(Window.unboundedPreceding, -1)
     return (
         docs.withColumn("ahead", F.coalesce(F.sum("n_tokens").over(within), F.lit(0)))
+        .hint("merge")  # the manifest's size says nothing about the documents in it
         .join(blocks, ["part", "block"])
         .select(
             "doc_id",

@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, huffman, line_dedup, packing, simhash, warc
+from tidemark.llm import decontaminate, huffman, language, line_dedup, packing, simhash, warc
 from tidemark.llm.shared import load, ready
 
 TOKENIZER = "word_bpe_49k.json"
@@ -46,6 +46,21 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return huffman.read(huffman.write(documents, public_tokenizers.path(TOKENIZER), END))
 
 
+def remainder(documents: DataFrame, base: int) -> Column:
+    return F.crc32(F.coalesce(documents["doc_id"].cast("string"), F.lit("")).cast("binary")) % base
+
+
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ready(spark)
+    documents = load(spark, sf_dir, "documents")
+    held_out = remainder(documents, 4) == 2
+    model = language.learn(documents, where=~held_out)
+    found = language.identified(documents["text"], model, spark)
+    return documents.select(
+        "doc_id", held_out.alias("held_out"), found.alias("found")
+    ).select("doc_id", "held_out", "found.*")
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     ready(spark)
     documents = load(spark, sf_dir, "documents").select("doc_id", "text")
@@ -64,6 +79,7 @@ QUERIES = {
     "op2_pack": op2_pack,
     "op3_warc": op3_warc,
     "op6_token_files": op6_token_files,
+    "op7_language": op7_language,
     "op8_line_dedup": op8_line_dedup,
     "op9_simhash": op9_simhash,
 }

@@ -119,8 +119,10 @@ def links(prints: DataFrame) -> DataFrame:
         "buckets",
     )
     twos = buckets.where("n = 2").where(_near(F.col("u"), F.col("v"))).select("u", "v")
+    # Variants are far more rows than the table they come from: never to be broadcast.
     members = settle(
-        variants.join(buckets.where("n > 2").select("key", "n"), "key"), "bucket-members"
+        variants.hint("merge").join(buckets.where("n > 2").select("key", "n"), "key"),
+        "bucket-members",
     )
     lists = (
         members.where(F.col("n") <= PAIRED)
