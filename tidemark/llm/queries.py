@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, huffman, language, line_dedup, packing, simhash, warc
+from tidemark.llm import decontaminate, huffman, language, line_dedup, packing, quality, simhash, warc
 from tidemark.llm.shared import load, ready
 
 TOKENIZER = "word_bpe_49k.json"
@@ -40,6 +40,20 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ready(spark)
+    documents = load(spark, sf_dir, "documents")
+    model = quality.learn(documents, load(spark, sf_dir, "labels"))
+    found = quality.assessed(documents["text"], model, spark)
+    counted = documents.select("doc_id", found.alias("found")).select("doc_id", "found.*")
+    failed = quality.base_failed()
+    content = F.col("content_share") >= quality.CONTENT_SHARE
+    return counted.select(
+        "doc_id", *quality.BASE, failed.alias("base_failed"), (~failed & content).alias("kept"),
+        "content_share",
+    )
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     ready(spark)
     documents = load(spark, sf_dir, "documents")
@@ -78,6 +92,7 @@ QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_pack": op2_pack,
     "op3_warc": op3_warc,
+    "op5_quality": op5_quality,
     "op6_token_files": op6_token_files,
     "op7_language": op7_language,
     "op8_line_dedup": op8_line_dedup,
