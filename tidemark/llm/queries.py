@@ -6,13 +6,17 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, huffman, language, line_dedup, packing, quality, simhash, warc
+from tidemark.llm import decontaminate, huffman, language, line_dedup, packing, quality, simhash, toxicity, warc
 from tidemark.llm.shared import load, ready
 
 TOKENIZER = "word_bpe_49k.json"
 END = 1
 
 
+def remainder(rows: DataFrame, base: int) -> Column:
+    return F.crc32(F.coalesce(rows["doc_id"].cast("string"), F.lit("")).cast("binary")) % base
+
+
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     ready(spark)
     found = decontaminate.contamination(
@@ -40,6 +44,16 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ready(spark)
+    documents, labels = load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels")
+    model = toxicity.learn(documents, labels, where=remainder(labels, 5) != 0)
+    score = toxicity.scored(documents["text"], model, spark)
+    return documents.select(
+        "doc_id", (remainder(documents, 5) == 0).alias("held_out"), score.alias("score")
+    ).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     ready(spark)
     documents = load(spark, sf_dir, "documents")
@@ -60,10 +74,6 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return huffman.read(huffman.write(documents, public_tokenizers.path(TOKENIZER), END))
 
 
-def remainder(documents: DataFrame, base: int) -> Column:
-    return F.crc32(F.coalesce(documents["doc_id"].cast("string"), F.lit("")).cast("binary")) % base
-
-
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     ready(spark)
     documents = load(spark, sf_dir, "documents")
@@ -92,6 +102,7 @@ QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_pack": op2_pack,
     "op3_warc": op3_warc,
+    "op4_toxicity": op4_toxicity,
     "op5_quality": op5_quality,
     "op6_token_files": op6_token_files,
     "op7_language": op7_language,
