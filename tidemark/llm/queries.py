@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, huffman, language, line_dedup, packing, quality, simhash, toxicity, warc
+from tidemark.llm import decontaminate, huffman, language, licenses, line_dedup, packing, quality, simhash, toxicity, warc
 from tidemark.llm.shared import load, ready
 
 TOKENIZER = "word_bpe_49k.json"
@@ -98,6 +98,11 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", digits, "component_id")
 
 
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ready(spark)
+    return licenses.scan(load(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_pack": op2_pack,
@@ -108,6 +113,7 @@ QUERIES = {
     "op7_language": op7_language,
     "op8_line_dedup": op8_line_dedup,
     "op9_simhash": op9_simhash,
+    "op10_licenses": op10_licenses,
 }
 
 OP1_SQL = r"""
