@@ -184,17 +184,22 @@ def deduplicated(
     ``doc_id`` and text are one place: neither is later than the other.
     """
     found = later_runs(documents, min_words).distinct()
-    key, runs, n_lines = (fresh(documents, x) for x in ("key", "runs", "n_lines"))
+    names = ("key", "id", "text_key", "runs", "n_lines")
+    key, its_id, its_key, runs, n_lines = (fresh(documents, x) for x in names)
     found = settle(
-        found.select(F.col("doc_id").alias("id"), F.col("key").alias("k"),
-                     F.col("runs").alias(runs), F.col("n_lines").alias(n_lines)),
+        found.select(
+            F.col("doc_id").alias(its_id),
+            F.col("key").alias(its_key),
+            F.col("runs").alias(runs),
+            F.col("n_lines").alias(n_lines),
+        ),
         "removed-lines",
     )
     if counted is None:
         found = found.where(F.col(runs).isNotNull())
     keyed = documents.withColumn(key, text_key(text_of(documents)))
     joined = keyed.join(
-        found, keyed["doc_id"].eqNullSafe(found["id"]) & (keyed[key] == found["k"]), "left"
+        found, keyed["doc_id"].eqNullSafe(found[its_id]) & (keyed[key] == found[its_key]), "left"
     )
     text = _removal()(F.col("text").cast("string"), F.col(runs))
     new = joined.withColumn("text", text)
