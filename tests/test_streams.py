@@ -42,7 +42,14 @@ def feed(spark, batches):
     return spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(path)
 
 
-END = [(-1, 7_000_000_000, -1, "end", 0.0, 0)]
+END = [[(-1, t, -1, "end", 0.0, 0)] for t in (7_000_000_000, 8_000_000_000)]
+
+
+def run(df):
+    """Results of a keyed operator; nothing may have come too late."""
+    out = drain(df, "t")
+    assert stateful.late_rows(out, "k").isEmpty()
+    return stateful.results(out)
 
 
 def cut(rows, parts=3):
@@ -57,7 +64,8 @@ def rows():
 
 @pytest.fixture(scope="module")
 def stream(spark, rows):
-    return feed(spark, [*cut(rows), END]).withWatermark("ts", "0 seconds")
+    shuffled = random.Random(9).sample(rows, len(rows))
+    return feed(spark, [*cut(shuffled), *END]).withWatermark("ts", "100000 seconds")
 
 
 @pytest.fixture(scope="module")
@@ -71,7 +79,7 @@ def bag(df, *cols):
 
 def test_order_timeouts(stream, batch):
     created = F.col("kind") == "a"
-    got = drain(stateful.order_timeouts(stream, "k", "ts", "id", created, "6 seconds"), "t")
+    got = run(stateful.order_timeouts(stream, "k", "ts", "id", created, "6 seconds"))
     want = alerts.order_timeouts(batch, "k", ["ts", "id"], created, "6 seconds")
     assert bag(got, "k", "tie", "fires_us") == bag(
         want, "k", "id", F.unix_micros("fires_at")
@@ -80,19 +88,17 @@ def test_order_timeouts(stream, batch):
 
 
 def test_rising_runs(stream, batch):
-    got = drain(stateful.rising_runs(stream, "k", "ts", "id", "v", "3 seconds"), "t")
+    got = run(stateful.rising_runs(stream, "k", "ts", "id", "v", "3 seconds"))
     want = alerts.rising_runs(batch, "k", ["ts", "id"], "v", "3 seconds")
     assert bag(got, "k", "opened_us", "n") == bag(want, "k", F.unix_micros("opened_at"), "n")
 
 
 def test_reconcile(stream, batch):
     is_pay = F.col("kind") == "c"
-    got = drain(
-        stateful.reconcile(
-            stream.filter(~is_pay), stream.filter(is_pay), "k", "ts", "id", "5 seconds"
-        ),
-        "t",
-    )
+    is_end = F.col("ts") > F.timestamp_seconds(F.lit(6_000_000_000))
+    pays = stream.filter(F.when(is_end, True).otherwise(is_pay))
+    orders = stream.filter(F.when(is_end, True).otherwise(~is_pay))
+    got = run(stateful.reconcile(orders, pays, "k", "ts", "id", "5 seconds"))
     want = joins.reconcile(
         batch.filter(~is_pay), batch.filter(is_pay), "k", ["ts", "id"], wait="5 seconds"
     )
@@ -120,13 +126,10 @@ def gate_simulation(rows, first_close):
 @pytest.mark.parametrize("mode", ["union", "first_close"])
 def test_gate(stream, batch, rows, mode):
     is_switch = F.col("kind") == "a"
-    got = drain(
-        stateful.gate(
-            stream.filter(~is_switch), stream.filter(is_switch), "k", "ts", "id", "len",
-            mode=mode,
-        ),
-        "t",
-    )
+    is_end = F.col("ts") > F.timestamp_seconds(F.lit(6_000_000_000))
+    readings = stream.filter(F.when(is_end, True).otherwise(~is_switch))
+    switches = stream.filter(F.when(is_end, True).otherwise(is_switch))
+    got = run(stateful.gate(readings, switches, "k", "ts", "id", "len", mode=mode))
     ids = {r["tie"] for r in got.filter("k > 0").collect()}
     assert ids == gate_simulation(rows, mode == "first_close")
     if mode == "union":
@@ -138,7 +141,7 @@ def test_gate(stream, batch, rows, mode):
 def test_sliding_counts_and_top_n(stream, batch):
     counts = windows.sliding_count(
         stream.filter("kind <> 'c'"), "ts", "60 seconds", "20 seconds", ["k"]
-    )
+    )  # the end rows are of kind "end"
     path = scratch_path(stream.sparkSession, "top")
     write = batch_folders(path)
     drain_batches(
@@ -170,7 +173,7 @@ def test_sql_over_a_registered_stream(stream, batch):
 def test_two_stage_visitors(stream, batch):
     got = drain(distinct.two_stage(stream, "ts", "60 seconds", "k"), "t")
     want = distinct.exact(batch, "ts", "60 seconds", "k")
-    rows = sorted(tuple(r) for r in got.collect())
+    rows = sorted(tuple(r) for r in got.filter("window_end < 6000000000000").collect())
     assert rows == sorted(tuple(r) for r in want.select("window_end", "uv").collect())
 
 
@@ -272,3 +275,37 @@ def test_state_with_ttl_is_planned(stream):
         stream, "k", "ts", "id", "v", 4.0, first_is_zero=False, ttl_ms=3_600_000
     )
     assert out.isStreaming and out.columns == ["k", "ts_us", "tie", "previous", "value"]
+
+
+def test_rows_behind_the_watermark_come_out_as_late(spark):
+    t = 1_700_000_000
+    batches = [[(1, t + 50, 0, "a", 1.0, 0)], [(1, t + 45, 1, "a", 9.0, 0), (1, t + 10, 2, "a", 5.0, 0)], *END]
+    stream = feed(spark, batches).withWatermark("ts", "10 seconds")
+    out = drain(stateful.jumps(stream, "k", "ts", "id", "v", 4.0, first_is_zero=False), "late")
+    assert [tuple(r) for r in stateful.late_rows(out, "k").collect()] == [(1, (t + 10) * 1_000_000, 2)]
+    assert [r["tie"] for r in stateful.results(out).filter("k > 0").collect()] == [0]
+
+
+def test_a_stopped_stream_goes_on_where_it_was(spark, rows):
+    """Half of the input, a stop, then the rest from the same checkpoint."""
+    path = scratch_path(spark, "restart")
+    parts = [*cut(rows, 4), *END]
+    for some in (parts[:2], parts[2:]):
+        for part in some:
+            frame(spark, part).coalesce(1).write.mode("append").parquet(f"{path}/in")
+        stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
+        out = stateful.jumps(
+            stream.withWatermark("ts", "0 seconds"), "k", "ts", "id", "v", 4.0, first_is_zero=False
+        )
+        writer = out.writeStream.format("parquet").option("path", f"{path}/out")
+        writer = writer.option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True)
+        writer.start().awaitTermination()
+    got = spark.read.schema(out.schema).parquet(f"{path}/out").filter("k > 0")
+    last, want = {}, set()
+    for k, t, i, _, v, _ in sorted(rows, key=lambda r: (r[1], r[2])):
+        if k in last and abs(v - last[k]) > 4.0:
+            want.add((k, i))
+        last[k] = v
+    late = {(r["k"], r["late_tie"]) for r in got.filter("late_us is not null").collect()}
+    assert not late
+    assert {(r["k"], r["tie"]) for r in got.collect()} == want

@@ -26,7 +26,10 @@ def exact(df: DataFrame, ts: str, size: str, visitor: str, name: str = "uv") ->
 def two_stage(
     df: DataFrame, ts: str, size: str, visitor: str, name: str = "uv"
 ) -> DataFrame:
-    """One row per (window, visitor), then a count per window; batch or stream."""
+    """One row per (window, visitor), then a count per window; batch or stream.
+
+    A null is no visitor, but its window is listed.
+    """
     seen = df.groupBy(F.window(ts, size).alias("_w"), visitor).agg(
         F.count(F.lit(1)).alias("_n")
     )
@@ -34,7 +37,7 @@ def two_stage(
         seen = seen.groupBy(F.window("_w", size).alias("_w2"))
     else:
         seen = seen.groupBy(F.col("_w").alias("_w2"))
-    return seen.agg(F.count(F.lit(1)).alias(name)).select(
+    return seen.agg(F.count(visitor).alias(name)).select(
         F.unix_millis("_w2.end").alias(WINDOW_END), name
     )
 

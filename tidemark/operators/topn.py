@@ -19,24 +19,20 @@ def top_n(
     *,
     rank: str = "rank",
 ) -> DataFrame:
-    """The ``n`` rows of each group with the greatest ``by``, ties by ``tie``.
+    """The ``n`` rows of each group with the greatest ``by``, ties by ``tie``, nulls last.
 
     Catalyst turns the filter into a group limit below the shuffle: each map
     task sends at most ``n`` rows per group.
     """
-    w = Window.partitionBy(*group).orderBy(F.desc(by), *tie)
+    w = Window.partitionBy(*group).orderBy(F.desc(by), *(F.asc_nulls_last(c) for c in tie))
     return df.withColumn(rank, F.row_number().over(w)).filter(F.col(rank) <= n)
 
 
 def top_values(
     df: DataFrame, key: str, value: str, n: int, tie: Sequence[str]
 ) -> DataFrame:
-    """Up to ``n`` greatest values per key with their rank, duplicates kept.
-
-    The least 32-bit value stands for "no value" and is never returned.
-    """
-    empty = -(1 << 31)
-    ranked = top_n(df.filter(F.col(value) > empty), [key], value, n, tie)
+    """Up to ``n`` greatest values per key with their rank, duplicates kept, nulls left out."""
+    ranked = top_n(df.filter(F.col(value).isNotNull()), [key], value, n, tie)
     return ranked.select(key, value, "rank")
 
 

@@ -93,13 +93,14 @@ opened AS (
   UNION ALL
   SELECT o.{key}, o.island,
          (SELECT min(a.us) FROM arming a
-          WHERE a.{key} = o.{key} AND a.island = o.island AND a.us > o.at_us + {hold})
+          WHERE a.{key} IS NOT DISTINCT FROM o.{key} AND a.island = o.island
+            AND a.us > o.at_us + {hold})
   FROM opened o WHERE o.at_us IS NOT NULL)
 SELECT o.{key}, o.at_us AS opened_us, count(*) AS n
 FROM opened o
-JOIN arming a ON a.{key} = o.{key} AND a.island = o.island
+JOIN arming a ON a.{key} IS NOT DISTINCT FROM o.{key} AND a.island = o.island
              AND a.us BETWEEN o.at_us AND o.at_us + {hold}
-LEFT JOIN ends e ON e.{key} = o.{key} AND e.island = o.island
+LEFT JOIN ends e ON e.{key} IS NOT DISTINCT FROM o.{key} AND e.island = o.island
 WHERE e.reset_us IS NULL OR e.reset_us > o.at_us + {hold}
 GROUP BY o.{key}, o.at_us, o.island HAVING count(*) >= {at_least}"""
 
@@ -247,7 +248,8 @@ SELECT event_id, 'freezing alarm: ' || id AS message FROM sensor
 WHERE temperature < 32.0""",
     "q15_gate": f"""SELECT r.event_id, r.user_id, r.value FROM events r
 WHERE r.event_type <> 'signup' AND EXISTS (
-  SELECT 1 FROM events s WHERE s.event_type = 'signup' AND s.user_id = r.user_id
+  SELECT 1 FROM events s WHERE s.event_type = 'signup'
+    AND s.user_id IS NOT DISTINCT FROM r.user_id
     AND epoch_us(r.ts) >= epoch_us(s.ts) AND epoch_us(r.ts) < epoch_us(s.ts) + {6 * HOUR})""",
     "q16_word_count": r"""WITH t AS (
   SELECT regexp_replace(text, '(\s)+$', '') AS text FROM documents
@@ -389,13 +391,14 @@ SELECT event_id, window_end,
   FROM money WINDOW w AS (PARTITION BY user_id ORDER BY us, event_id
                           ROWS UNBOUNDED PRECEDING)),
 changes AS (
-  SELECT *, lag(lo) OVER w AS old_lo, lag(hi) OVER w AS old_hi
+  SELECT *, lag(lo) OVER w AS old_lo, lag(hi) OVER w AS old_hi,
+    row_number() OVER w > 1 AS again
   FROM versions WINDOW w AS (PARTITION BY user_id ORDER BY us, event_id))
 SELECT user_id, event_id, true AS is_add, lo, hi FROM changes
-WHERE old_lo IS NULL OR lo <> old_lo OR hi <> old_hi
+WHERE NOT again OR lo IS DISTINCT FROM old_lo OR hi IS DISTINCT FROM old_hi
 UNION ALL
 SELECT user_id, event_id, false, old_lo, old_hi FROM changes
-WHERE lo <> old_lo OR hi <> old_hi""",
+WHERE again AND (lo IS DISTINCT FROM old_lo OR hi IS DISTINCT FROM old_hi)""",
     "st13_late": f"""WITH {ARRIVALS}, ended AS (
   SELECT *, (us // {HOUR} + 1) * {HOUR} AS end_us, seen - {HOUR} AS wm FROM watermarked)
 SELECT event_id, end_us // 1000 AS window_end,

@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from tidemark.operators import distinct, topn, windows
 from tidemark.session import scratch_path
 from tidemark.sources import views
+from tidemark.sources.tables import load_table
 from tidemark.streaming import stateful
 from tidemark.streaming.late import batch_folders, split_late
-from tidemark.streaming.run import drain, drain_batches, is_end, replay_events
+from tidemark.streaming.run import drain, drain_batches, replay_events, replay_in_order
 
 WINDOW_END = windows.WINDOW_END
 
@@ -20,11 +21,15 @@ def kind(event_type: str):
 
 
 def _events(spark: SparkSession, d: str, *types: str):
-    rows, finish = replay_events(spark, d)
-    rows = rows.withWatermark("ts", "0 seconds")
-    if types:
-        rows = rows.filter(F.col("event_type").isin(*types) | is_end())
-    return rows, finish
+    replay = replay_events(spark, d)
+    wanted = F.col("event_type").isin(*types) if types else None
+    return replay.rows.filter(replay.present(wanted)), replay.finish
+
+
+def _sides(spark: SparkSession, d: str, *conditions):
+    """The stream once for each condition, all with the same watermark."""
+    replay = replay_events(spark, d)
+    return [replay.rows.filter(replay.present(c)) for c in conditions], replay.finish
 
 
 def _sensor(spark: SparkSession, d: str):
@@ -37,8 +42,8 @@ def _sensor(spark: SparkSession, d: str):
     ), finish
 
 
-def _done(out: DataFrame, label: str, finish, key: str) -> DataFrame:
-    return drain(out, label, finish=finish).filter(F.col(key).isNotNull())
+def _done(out: DataFrame, label: str, finish) -> DataFrame:
+    return stateful.results(drain(out, label, finish=finish))
 
 
 def jumps(spark: SparkSession, d: str) -> DataFrame:
@@ -46,7 +51,7 @@ def jumps(spark: SparkSession, d: str) -> DataFrame:
     out = stateful.jumps(
         rows, "id", "ts", "event_id", "temperature", 50.0, first_is_zero=False
     )
-    return _done(out, "jumps", finish, "id").select(
+    return _done(out, "jumps", finish).select(
         "id", "ts_us", "previous", F.col("value").alias("temperature")
     )
 
@@ -54,13 +59,13 @@ def jumps(spark: SparkSession, d: str) -> DataFrame:
 def rising_runs(spark: SparkSession, d: str) -> DataFrame:
     rows, finish = _sensor(spark, d)
     out = stateful.rising_runs(rows, "id", "ts", "event_id", "temperature", "6 hours")
-    return _done(out, "rising", finish, "id").select("id", "opened_us", "n")
+    return _done(out, "rising", finish).select("id", "opened_us", "n")
 
 
 def timers(spark: SparkSession, d: str) -> DataFrame:
     rows, finish = _sensor(spark, d)
     out = stateful.timers(rows, "id", "ts", "event_id", "5 seconds")
-    return _done(out, "timers", finish, "id")
+    return _done(out, "timers", finish)
 
 
 def tumbling(spark: SparkSession, d: str) -> DataFrame:
@@ -68,7 +73,7 @@ def tumbling(spark: SparkSession, d: str) -> DataFrame:
     out = windows.count(
         rows.withColumn("behavior", F.col("event_type")), "ts", "6 hours", ["behavior"]
     )
-    return _done(out, "tumbling", finish, "behavior")
+    return drain(out, "tumbling", finish=finish)
 
 
 def visitors(spark: SparkSession, d: str) -> DataFrame:
@@ -83,21 +88,19 @@ def order_timeouts(spark: SparkSession, d: str) -> DataFrame:
     out = stateful.order_timeouts(
         rows, "order_id", "ts", "event_id", kind(views.ORDER_CREATE), "1 day"
     )
-    return _done(out, "order-timeouts", finish, "order_id").select(
+    return _done(out, "order-timeouts", finish).select(
         "order_id", "create_us", "fires_us"
     )
 
 
 def reconciled(spark: SparkSession, d: str) -> DataFrame:
-    rows, finish = _events(spark, d, views.ORDER_CREATE, views.ORDER_PAY)
-    rows = rows.withColumnRenamed("user_id", "order_id")
+    sides, finish = _sides(spark, d, kind(views.ORDER_CREATE), kind(views.ORDER_PAY))
     out = stateful.reconcile(
-        rows.filter(kind(views.ORDER_CREATE) | is_end()),
-        rows.filter(kind(views.ORDER_PAY)),
+        *(s.withColumnRenamed("user_id", "order_id") for s in sides),
         "order_id", "ts", "event_id", "1 day",
     )
     return (
-        _done(out, "reconcile", finish, "order_id")
+        _done(out, "reconcile", finish)
         .filter("side = 'matched'")
         .select(
             "order_id",
@@ -108,15 +111,14 @@ def reconciled(spark: SparkSession, d: str) -> DataFrame:
 
 
 def gate(spark: SparkSession, d: str) -> DataFrame:
-    rows, finish = _events(spark, d)
+    is_switch = kind("signup")
+    (readings, switches), finish = _sides(spark, d, ~is_switch, is_switch)
     out = stateful.gate(
-        rows.filter((F.col("event_type") != "signup") | is_end()),
-        rows.filter(kind("signup")).withColumn(
-            "duration_us", F.lit(6 * 3_600_000_000)
-        ),
+        readings,
+        switches.withColumn("duration_us", F.lit(6 * 3_600_000_000)),
         "user_id", "ts", "event_id", "duration_us",
     )
-    return _done(out, "gate", finish, "user_id").select(
+    return _done(out, "gate", finish).select(
         F.col("tie").alias("event_id"), "user_id"
     )
 
@@ -127,7 +129,7 @@ def login_failures(spark: SparkSession, d: str) -> DataFrame:
         rows, "user_id", "ts", "event_id",
         kind(views.LOGIN_FAIL), kind(views.LOGIN_SUCCESS), "2 days",
     )
-    return _done(out, "login-failures", finish, "user_id").select(
+    return _done(out, "login-failures", finish).select(
         "user_id", "opened_us", "n"
     )
 
@@ -140,7 +142,7 @@ def order_attempts(spark: SparkSession, d: str) -> DataFrame:
         [kind(views.ORDER_CREATE), kind(views.ORDER_PAY)],
         within="1 day", on_timeout=True,
     )
-    return _done(out, "order-attempts", finish, "order_id").select(
+    return _done(out, "order-attempts", finish).select(
         "order_id", "outcome", F.get("times_us", F.lit(0)).alias("create_us"),
         F.get("times_us", F.lit(1)).alias("pay_us"),
     )
@@ -152,7 +154,7 @@ def change_log(spark: SparkSession, d: str) -> DataFrame:
     out = stateful.min_max_changelog(
         rows.withColumn("cents", cents), "user_id", "ts", "event_id", "cents"
     )
-    return _done(out, "changelog", finish, "user_id").select(
+    return _done(out, "changelog", finish).select(
         "user_id", F.col("tie").alias("event_id"), "is_add", "lo", "hi"
     )
 
@@ -172,8 +174,7 @@ def hot_items(spark: SparkSession, d: str) -> DataFrame:
     write = batch_folders(path)
 
     def rank(batch: DataFrame, batch_id: int) -> None:
-        counted = batch.filter(F.col("item_id").isNotNull())
-        write(topn.top_n(counted, [WINDOW_END], "n", 3, ["item_id"]), batch_id)
+        write(topn.top_n(batch, [WINDOW_END], "n", 3, ["item_id"]), batch_id)
 
     drain_batches(counts, "hot-items", rank, finish=finish)
     return spark.read.parquet(path).drop("batch")
@@ -181,13 +182,13 @@ def hot_items(spark: SparkSession, d: str) -> DataFrame:
 
 def late_rows(spark: SparkSession, d: str) -> DataFrame:
     """Rows whose hourly window had closed, to a side output of the stream."""
-    rows, _ = replay_events(spark, d)
-    rows = rows.select(
+    arrived = load_table(spark, d, "events").select(
         "event_id",
         "user_id",
         "ts",
         views.arrival_time().alias("arrival"),
     )
+    rows, steps = replay_in_order(spark, arrived, "arrival")
     path = scratch_path(spark, "late-rows")
     route = split_late(
         ["arrival", "event_id"],
@@ -199,7 +200,7 @@ def late_rows(spark: SparkSession, d: str) -> DataFrame:
         size="1 hour",
         allowed="1 hour",
     )
-    drain_batches(rows, "late-rows", route)
+    drain_batches(rows, "late-rows", route, finish=steps)
     parts = [
         spark.read.parquet(f"{path}/{side}").select("event_id", F.lit(side).alias("side"))
         for side in ("on_time", "late")

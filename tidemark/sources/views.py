@@ -27,7 +27,8 @@ def events(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def item_id():
-    return F.regexp_extract("props", r"(\d+)", 1).cast("long")
+    """The first number in ``props``; null where there is none or it is too long."""
+    return F.regexp_extract("props", r"(\d+)", 1).try_cast("long")
 
 
 def behavior(spark: SparkSession, directory: str) -> DataFrame:

@@ -3,19 +3,19 @@
 Only for streams whose semantics need state or timers; bounded data has set
 based forms in ``tidemark.operators``. Conventions:
 
-* Rows carry ``_t`` (event time in microseconds) and ``_tie``. Rows of a key are
-  put in that order within a micro-batch, so bound micro-batches at the source
-  (``maxBytesPerTrigger``, ``maxOffsetsPerTrigger``).
+* Rows carry ``_t`` (event time in microseconds) and ``_tie``. ``Held`` keeps rows
+  in state until the watermark has passed them and then hands them to a machine in
+  that order, one millisecond of a key at a time: results do not depend on how rows
+  fall into micro-batches, and no more than such a group is in memory at once.
+* A row that comes behind the watermark leaves as a late row.
 * A deadline that lies before a row is handled before that row, whether or not
-  the watermark has reached it; a row at the deadline comes first. Results thus
-  do not depend on how rows fall into micro-batches. Spark timers only flush
-  keys that have gone quiet.
-* State is read once and written once per key and micro-batch.
+  its timer has fired; a row at the deadline comes first. A timer that finds
+  nothing due does nothing.
 """
 
 from __future__ import annotations
 
-from bisect import insort
+from collections import deque
 from collections.abc import Iterator
 from typing import Any
 
@@ -24,7 +24,8 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 
 def in_order(rows: Iterator[Row]) -> list[Row]:
-    return sorted(rows, key=lambda r: (r["_t"], r["_tie"]))
+    """By time, then tie; a null tie comes first, as in Spark's ascending order."""
+    return sorted(rows, key=lambda r: (r["_t"], r["_tie"] is not None, r["_tie"] or 0))
 
 
 def timer_ms(us: int) -> int:
@@ -62,8 +63,59 @@ class Keyed(Emitting):
         return list(got) if got is not None else list(default)
 
 
+class Held(Emitting):
+    """A machine that gets a key's rows in order of time, whenever they arrive.
+
+    Rows wait in a map by the millisecond at which the watermark passes them. The
+    machine's rows leave with two more fields, null for them: time and tie of a row
+    that came too late.
+    """
+
+    def __init__(self, machine: Emitting, columns: tuple[str, ...], row_schema: str):
+        self.machine = machine
+        self.columns = columns
+        self.row_schema = row_schema
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.held = handle.getMapState("held", "ms long", f"rows array<struct<{self.row_schema}>>")
+        self.machine.fields = self.fields[:-2]
+        self.machine.init(handle)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        watermark = timerValues.getCurrentWatermarkInMs()
+        arrived: dict[int, list[tuple]] = {}
+        for r in rows:
+            ms = timer_ms(r["_t"])
+            if watermark > 0 and ms <= watermark:
+                blank = [None] * (len(self.fields) - len(key) - 2)
+                yield self.row(*key, *blank, r["_t"], r["_tie"])
+            else:
+                arrived.setdefault(ms, []).append(tuple(r[c] for c in self.columns))
+        for ms, some in arrived.items():
+            if self.held.containsKey((ms,)):
+                some = [tuple(r) for r in self.held.getValue((ms,))[0]] + some
+            else:
+                self.handle.registerTimer(ms)
+            self.held.updateValue((ms,), (some,))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        ms = expiredTimerInfo.getExpiryTimeInMs()
+        if self.held.containsKey((ms,)):
+            make = Row(*self.columns)
+            rows = [make(*r) for r in self.held.getValue((ms,))[0]]
+            self.held.removeKey((ms,))
+            for out in self.machine.handleInputRows(key, iter(rows), timerValues):
+                yield self.row(*out, None, None)
+        for out in self.machine.handleExpiredTimer(key, timerValues, expiredTimerInfo):
+            yield self.row(*out, None, None)
+
+
 class Jumps(Keyed):
-    """Rows whose value moved by more than a threshold since the key's last row."""
+    """Rows whose value moved by more than a threshold since the key's last row.
+
+    A null value never alerts, and the row after it has no previous value.
+    """
 
     state_schema = "prev double"
 
@@ -73,33 +125,36 @@ class Jumps(Keyed):
         self.ttl_ms = ttl_ms
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        (prev,) = self.load(self.first)
+        (prev,) = self.load(None)
         for r in in_order(rows):
-            if prev is not None and abs(r["value"] - prev) > self.threshold:
-                yield self.row(key[0], r["_t"], r["_tie"], prev, r["value"])
-            prev = r["value"]
+            value, before = r["value"], self.first if prev is None else prev
+            if value is not None and before is not None and abs(value - before) > self.threshold:
+                yield self.row(key[0], r["_t"], r["_tie"], before, value)
+            prev = value
         self.s.update((prev,))
 
 
 class Callbacks(Emitting):
-    """A callback ``after`` each distinct event time of a key, in milliseconds.
-
-    The pending timers are the whole state.
-    """
+    """A callback ``after`` each distinct event time of a key, in milliseconds."""
 
     def __init__(self, after_us: int):
         self.after_us = after_us
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
+        self.due = handle.getMapState("due", "ms long", "set boolean")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         for ms in sorted({(r["_t"] + self.after_us) // 1000 for r in rows}):
+            self.due.updateValue((ms,), (True,))
             self.handle.registerTimer(ms)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        yield self.row(key[0], expiredTimerInfo.getExpiryTimeInMs())
+        ms = expiredTimerInfo.getExpiryTimeInMs()
+        if self.due.containsKey((ms,)):
+            self.due.removeKey((ms,))
+            yield self.row(key[0], ms)
 
 
 class Armed(Keyed):
@@ -128,8 +183,8 @@ class Armed(Keyed):
             if self.rising:
                 value = r["value"]
                 fresh = prev is None or prev == 0.0
-                resets = fresh or value < prev
-                arms = not fresh and value > prev
+                resets = fresh or (value is not None and value < prev)
+                arms = not fresh and value is not None and value > prev
                 prev = value
             else:
                 arms, resets = r["arms"], r["resets"]
@@ -138,11 +193,8 @@ class Armed(Keyed):
             elif arms:
                 opened = t if opened is None else opened
                 n += 1
-        if opened != before:
-            if before is not None:
-                self.handle.deleteTimer(timer_ms(before + self.hold))
-            if opened is not None:
-                self.handle.registerTimer(timer_ms(opened + self.hold))
+        if opened != before and opened is not None:
+            self.handle.registerTimer(timer_ms(opened + self.hold))
         self.s.update((opened, n, prev))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
@@ -168,37 +220,37 @@ class OrderSlot(Keyed):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         slot_t, slot_tie, created, due = self.load(None, None, None, [])
-        due = list(due)
+        due = deque(due)  # rows come in order of time, so do their deadlines
         fresh = []
         for r in in_order(rows):
             t = r["_t"]
             while due and due[0] < t:
-                at = due.pop(0)
+                at = due.popleft()
                 if slot_t is not None and created:
                     yield self.row(key[0], slot_t, slot_tie, at)
                 slot_t = slot_tie = created = None
             if slot_t is None or not r["created"]:
                 slot_t, slot_tie, created = t, r["_tie"], r["created"]
-            insort(due, t + self.wait)
+            due.append(t + self.wait)
             fresh.append(t + self.wait)
         waiting = set(due)
         for at in sorted({timer_ms(a) for a in fresh if a in waiting}):
             self.handle.registerTimer(at)
-        self.s.update((slot_t, slot_tie, created, due))
+        self.s.update((slot_t, slot_tie, created, list(due)))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         slot_t, slot_tie, created, due = self.load(None, None, None, [])
-        due = list(due)
+        due = deque(due)
         now = expiredTimerInfo.getExpiryTimeInMs()
         while due and timer_ms(due[0]) <= now:
-            at = due.pop(0)
+            at = due.popleft()
             if slot_t is not None and created:
                 yield self.row(key[0], slot_t, slot_tie, at)
             slot_t = slot_tie = created = None
         if slot_t is None and not due:
             self.s.clear()
         else:
-            self.s.update((slot_t, slot_tie, created, due))
+            self.s.update((slot_t, slot_tie, created, list(due)))
 
 
 class Reconciler(Keyed):
@@ -224,11 +276,8 @@ class Reconciler(Keyed):
                 yield self.row(key[0], side, True, t, tie, None, None)
             side, t, tie = r["side"], r["_t"], r["_tie"]
         after = t if side is not None else None
-        if after != before:
-            if before is not None:
-                self.handle.deleteTimer(timer_ms(before + self.wait))
-            if after is not None:
-                self.handle.registerTimer(timer_ms(after + self.wait))
+        if after != before and after is not None:
+            self.handle.registerTimer(timer_ms(after + self.wait))
         if side is None:
             self.s.clear()
         else:
@@ -261,7 +310,7 @@ class Gate(Keyed):
         closes = sorted(closes)
         registered = set(closes)
         # a switch sorts before readings of its own instant
-        for r in sorted(rows, key=lambda r: (r["_t"], not r["is_switch"], r["_tie"])):
+        for r in sorted(rows, key=lambda r: (r["_t"], not r["is_switch"], r["_tie"] or 0)):
             t = r["_t"]
             while closes and closes[0] <= t:
                 closes.pop(0)
@@ -353,24 +402,30 @@ class Sequences(Emitting):
 
 
 class MinMaxLog(Keyed):
-    """Remove-old and add-new rows for each change of a key's (min, max)."""
+    """Remove-old and add-new rows for each change of a key's (min, max).
+
+    Nulls change nothing; a key whose rows so far are null has (null, null).
+    """
 
-    state_schema = "lo long, hi long"
+    state_schema = "lo long, hi long, seen boolean"
 
     def __init__(self, ttl_ms: int | None = None):
         self.ttl_ms = ttl_ms
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        lo, hi = self.load(None, None)
+        lo, hi, seen = self.load(None, None, False)
         for r in in_order(rows):
             v = r["value"]
-            new = (v if lo is None else min(lo, v), v if hi is None else max(hi, v))
-            if new != (lo, hi):
-                if lo is not None:
+            new = (lo, hi)
+            if v is not None:
+                new = (v if lo is None else min(lo, v), v if hi is None else max(hi, v))
+            if not seen or new != (lo, hi):
+                if seen:
                     yield self.row(key[0], r["_tie"], False, lo, hi)
                 lo, hi = new
+                seen = True
                 yield self.row(key[0], r["_tie"], True, lo, hi)
-        self.s.update((lo, hi))
+        self.s.update((lo, hi, seen))
 
 
 class LateWindow(Keyed):

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tidemark.session import scratch_path
-from tidemark.sources.tables import stream_table
+from tidemark.sources.tables import stream_table, with_instants
 
 
 def start(
@@ -24,13 +25,14 @@ def start(
     )
 
 
-def _drain(
-    writer: DataStreamWriter, checkpoint: str, finish: Callable[[], None] | None
-) -> None:
+Steps = Sequence[Callable[[], None]]
+
+
+def _drain(writer: DataStreamWriter, checkpoint: str, steps: Steps) -> None:
     writer = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True)
     writer.start().awaitTermination()
-    if finish is not None:
-        finish()
+    for step in steps:
+        step()
         writer.start().awaitTermination()
 
 
@@ -39,13 +41,13 @@ def drain(
     label: str,
     *,
     mode: str = "append",
-    finish: Callable[[], None] | None = None,
+    finish: Steps = (),
 ) -> DataFrame:
     """Run a stream over all available input into a table; return the table.
 
     Result and checkpoint live in the shared folder, so a lost executor or a
-    restart resumes from the last committed batch. ``finish`` is called when
-    the input is used up and may add more; the stream then runs on.
+    restart resumes from the last committed batch. Whenever the input is used up,
+    the next step of ``finish`` may add more, and the stream runs on.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
@@ -62,48 +64,92 @@ def drain_batches(
     each: Callable[[DataFrame, int], None],
     *,
     mode: str = "append",
-    finish: Callable[[], None] | None = None,
+    finish: Steps = (),
 ) -> None:
     """Run a stream over all available input through a batch function."""
     writer = df.writeStream.foreachBatch(each).outputMode(mode)
     _drain(writer, scratch_path(df.sparkSession, f"{label}-checkpoint"), finish)
 
 
-# Rows of one key in one micro-batch are ordered in memory, so micro-batches are
-# bounded. A backfill of a large table belongs to the batch operators.
-MICRO_BATCH_BYTES = 4 << 30
-END_OF_TIME = "2200-01-01 00:00:00"
+#: Files per micro-batch of a replay; None takes what is there.
+FILES_PER_TRIGGER: int | None = None
+
 
+@dataclass(frozen=True)
+class Replay:
+    """A table as a stream with a watermark, and the steps that end it.
 
-def replay_events(
-    spark: SparkSession, directory: str, *, max_bytes: int = MICRO_BATCH_BYTES
-) -> tuple[DataFrame, Callable[[], None]]:
-    """The events table as a stream, and a function that ends it.
+    Its files may come in any order. ``delay`` is the spread of the table's event
+    times, so no order can make a row late: a replay waits for all rows of a key, as
+    a table does. A live stream names the disorder it allows instead.
 
-    Ending adds a far-future row (event_id -1, other columns null) after
-    everything else. It lifts the watermark, so that windows and timers still
-    open at the end of the data fire; filters must let it through
-    (``is_end``), and results leave it out.
+    The steps of ``finish`` add rows far behind the last event time. They lift the
+    watermark so that what is still open fires, once for waiting rows and once more
+    for the deadlines those set. ``present`` keeps them out of results; as it names
+    the event time, Spark cannot apply it before the watermark sees the row.
     """
-    schema = spark.read.parquet(f"{directory}/events.parquet").schema
+
+    rows: DataFrame
+    last_us: int
+    finish: Steps
+
+    def present(self, condition: Column | None = None) -> Column:
+        keep = F.lit(True) if condition is None else F.coalesce(condition, F.lit(False))
+        return F.when(F.unix_micros("ts") <= F.lit(self.last_us), keep).otherwise(False)
+
+
+def replay_events(spark: SparkSession, directory: str, delay: str | None = None) -> Replay:
+    """The events table as a stream; ``delay`` replaces the measured one."""
+    table = with_instants(spark.read.parquet(f"{directory}/events.parquet"))
+    at = F.unix_micros("ts")
+    first, last = (x or 0 for x in table.agg(F.min(at), F.max(at)).first())
+    spread = (last - first) // 1000 + 1
+    # The pattern matches just this name; a stream takes a single file only as one.
     rows = stream_table(
-        spark, f"{directory}/events*.parquet", schema, max_bytes=max_bytes
+        spark,
+        f"{directory}/event[s].parquet",
+        spark.read.parquet(f"{directory}/events.parquet").schema,
+        max_files=FILES_PER_TRIGGER,
     )
     path = scratch_path(spark, "end-of-time")
-    last = spark.range(1).select(
-        *[
-            F.to_timestamp(F.lit(END_OF_TIME)).alias(f.name)
-            if f.name == "ts"
-            else F.lit(-1).cast("long").alias(f.name)
-            if f.name == "event_id"
-            else F.lit(None).cast(f.dataType).alias(f.name)
-            for f in rows.schema
-        ]
-    )
-    last.limit(0).write.parquet(path)
-    end = stream_table(spark, path, T.StructType(last.schema.fields))
-    return rows.unionByName(end), lambda: last.write.mode("append").parquet(path)
+    schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in rows.schema])
+    marker = spark.createDataFrame([], schema)
+    marker.write.parquet(path)
+    end = stream_table(spark, path, schema)
+
+    def lift(days: int) -> Callable[[], None]:
+        end_us = last + 1000 * spread + days * 86_400_000_000
+        values = {f.name: F.lit(None).cast(f.dataType) for f in schema}
+        values["ts"] = F.timestamp_micros(F.lit(end_us))
+        row = spark.range(1).select(*[c.alias(n) for n, c in values.items()])
+        return lambda: row.write.mode("append").parquet(path)
 
+    both = rows.unionByName(end).withWatermark("ts", delay or f"{spread} milliseconds")
+    return Replay(both, last, (lift(3650), lift(7300)))
 
-def is_end() -> Column:
-    return F.col("event_id") < 0
+
+def replay_in_order(
+    spark: SparkSession, df: DataFrame, column: str, slices: int = 4
+) -> tuple[DataFrame, Steps]:
+    """``df`` as a stream whose micro-batches are slices of ``column`` in order.
+
+    For operators that judge rows by their arrival. Each step adds one slice and
+    the stream takes it as one micro-batch; rows without a value are in the first.
+    """
+    at = F.unix_micros(F.col(column).cast("timestamp"))
+    shares = [i / slices for i in range(1, slices)]
+    cuts = df.agg(F.percentile_approx(at, shares, 10_000)).first()[0] or []
+    path = scratch_path(spark, "in-order")
+    df.limit(0).write.parquet(path)
+    bounds = [None, *cuts, None]
+
+    def add(low: int | None, high: int | None) -> Callable[[], None]:
+        keep = F.lit(True)
+        if low is not None:
+            keep = keep & (at > low)
+        if high is not None:
+            keep = keep & (at.isNull() | (at <= high) if low is None else at <= high)
+        return lambda: df.filter(keep).write.mode("append").parquet(path)
+
+    steps = [add(a, b) for a, b in zip(bounds, bounds[1:], strict=False)]
+    return spark.readStream.schema(df.schema).parquet(path), steps

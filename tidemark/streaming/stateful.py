@@ -1,9 +1,16 @@
 """Stream forms of the stateful operators: DataFrame in, DataFrame out.
 
-Inputs are streams with a watermark on ``ts``. ``tie`` is a long column that
-orders rows of equal time. Event times leave as ``*_us`` microseconds. A
-``ttl_ms`` drops state of quiet keys by the clock; such a stream always has
-another batch to run, so it is for continuous triggers, not ``availableNow``.
+Inputs are streams with a watermark on ``ts``, whose delay is how far rows may be
+out of order: rows wait in state until the watermark passes them and are then
+handled in order of time. ``tie`` is a long column that orders rows of equal time.
+Rows without a time are left out. Event times leave as ``*_us`` microseconds.
+
+Nothing is dropped in silence: a row behind the watermark leaves as a row with
+``late_us`` and ``late_tie``; ``results`` and ``late_rows`` part the two.
+
+A ``ttl_ms`` drops state of quiet keys by the clock. Such a stream handles rows in
+order within a micro-batch only, and always has another batch to run, so it is for
+continuous triggers, not ``availableNow``.
 """
 
 from __future__ import annotations
@@ -19,27 +26,50 @@ from tidemark.operators.windows import WINDOW_END, window_end_ms
 from tidemark.streaming import processors as P
 
 
+LATE = ("late_us", "late_tie")
+
+
+def results(out: DataFrame) -> DataFrame:
+    """An operator's results without the rows that came too late."""
+    return out.filter(F.col(LATE[0]).isNull()).drop(*LATE)
+
+
+def late_rows(out: DataFrame, key: str) -> DataFrame:
+    """Key, time and tie of the rows that came too late."""
+    return out.filter(F.col(LATE[0]).isNotNull()).select(key, *LATE)
+
+
 def _prepare(df: DataFrame, key: str, ts: str, tie: str, **columns: Column) -> DataFrame:
-    return df.select(
+    # Without the event-time column Spark passes late rows on instead of dropping them.
+    return df.filter(F.col(ts).isNotNull()).select(
         F.col(key),
-        F.col(ts),
         F.unix_micros(ts).alias("_t"),
         F.col(tie).cast("long").alias("_tie"),
         *[c.alias(n) for n, c in columns.items()],
     )
 
 
-def _run(
-    df: DataFrame, keys: Sequence[str], processor: P.Emitting, schema: str, timers: bool
-) -> DataFrame:
-    out = T.StructType([df.schema[k] for k in keys] + T.StructType.fromDDL(schema).fields)
+def _run(df: DataFrame, keys: Sequence[str], processor: P.Emitting, schema: str) -> DataFrame:
+    held = not getattr(processor, "ttl_ms", None)
+    late = f", {LATE[0]} long, {LATE[1]} long" if held else ""
+    out = T.StructType([df.schema[k] for k in keys] + T.StructType.fromDDL(schema + late).fields)
+    for f in out.fields:
+        f.nullable = True
+    if held:
+        columns = [f for f in df.schema if f.name not in keys]
+        row = ", ".join(f"`{f.name}`: {f.dataType.simpleString()}" for f in columns)
+        processor = P.Held(processor, tuple(f.name for f in columns), row)
     processor.fields = tuple(out.names)
-    mode = "EventTime" if timers else "None"
-    if getattr(processor, "ttl_ms", None):
-        mode = "ProcessingTime"
+    mode = "EventTime" if held else "ProcessingTime"
     return df.groupBy(*keys).transformWithState(processor, out, "Append", mode)
 
 
+def _run_plain(df: DataFrame, keys: Sequence[str], processor: P.Emitting, schema: str) -> DataFrame:
+    out = T.StructType([df.schema[k] for k in keys] + T.StructType.fromDDL(schema).fields)
+    processor.fields = tuple(out.names)
+    return df.groupBy(*keys).transformWithState(processor, out, "Append", "EventTime")
+
+
 def jumps(
     df: DataFrame,
     key: str,
@@ -57,13 +87,12 @@ def jumps(
         [key],
         P.Jumps(threshold, first_is_zero, ttl_ms),
         "ts_us long, tie long, previous double, value double",
-        False,
     )
 
 
 def timers(df: DataFrame, key: str, ts: str, tie: str, after: str) -> DataFrame:
     rows = _prepare(df, key, ts, tie)
-    return _run(rows, [key], P.Callbacks(micros(after)), "fires_ms long", True)
+    return _run(rows, [key], P.Callbacks(micros(after)), "fires_ms long")
 
 
 ARMED = "opened_us long, fires_us long, n long"
@@ -73,7 +102,7 @@ def rising_runs(
     df: DataFrame, key: str, ts: str, tie: str, value: str, hold: str
 ) -> DataFrame:
     rows = _prepare(df, key, ts, tie, value=F.col(value).cast("double"))
-    return _run(rows, [key], P.Armed(micros(hold), rising=True), ARMED, True)
+    return _run(rows, [key], P.Armed(micros(hold), rising=True), ARMED)
 
 
 def repeated_failures(
@@ -90,7 +119,7 @@ def repeated_failures(
     """Rows that are neither failure nor success change nothing: filter them out."""
     arms, resets = (F.coalesce(c, F.lit(False)) for c in (failed, succeeded))
     rows = _prepare(df, key, ts, tie, arms=arms, resets=resets)
-    return _run(rows, [key], P.Armed(micros(hold), at_least), ARMED, True)
+    return _run(rows, [key], P.Armed(micros(hold), at_least), ARMED)
 
 
 def order_timeouts(
@@ -102,7 +131,6 @@ def order_timeouts(
         [key],
         P.OrderSlot(micros(wait)),
         "create_us long, tie long, fires_us long",
-        True,
     )
 
 
@@ -119,7 +147,6 @@ def reconcile(
         P.Reconciler(micros(wait)),
         "side string, superseded boolean, first_us long, first_tie long, "
         "second_us long, second_tie long",
-        True,
     )
 
 
@@ -166,7 +193,7 @@ def gate(
             duration_us=F.col(duration_us).cast("long"),
         )
     )
-    return _run(both, [key], P.Gate(mode), "ts_us long, tie long", True)
+    return _run(both, [key], P.Gate(mode), "ts_us long, tie long")
 
 
 def match_sequence(
@@ -190,7 +217,6 @@ def match_sequence(
         [key],
         P.Sequences(len(steps), bound, on_timeout),
         "outcome string, times_us array<long>, ties array<long>",
-        on_timeout,
     )
 
 
@@ -199,7 +225,7 @@ def min_max_changelog(
 ) -> DataFrame:
     rows = _prepare(df, key, ts, tie, value=F.col(value).cast("long"))
     return _run(
-        rows, [key], P.MinMaxLog(ttl_ms), "tie long, is_add boolean, lo long, hi long", False
+        rows, [key], P.MinMaxLog(ttl_ms), "tie long, is_add boolean, lo long, hi long"
     )
 
 
@@ -213,10 +239,9 @@ def allowed_lateness_counts(
         df.withWatermark(ts, f"{spark_delay // 1000} milliseconds")
         .select(F.col(key), window_end_ms(ts, size).alias(WINDOW_END), F.col(ts))
     )
-    return _run(
+    return _run_plain(
         rows,
         [key, WINDOW_END],
         P.LateWindow(lag_us // 1000, micros(allowed) // 1000),
         "kind string, n long",
-        True,
     )
