@@ -7,7 +7,7 @@ from tidemark.functions import hashing, text, times, udfs
 from tidemark.operators import alerts, joins, patterns, rolling, topn, transforms, windows
 from tidemark.sources.tables import as_table, from_rows, register
 
-BASE = 1_558_430_000
+BASE = 1_600_000_000
 
 
 def tuples(df, *cols):
@@ -37,8 +37,8 @@ def test_rolling_concat(spark):
 
 
 def test_row_wise(spark):
-    pairs = from_rows(spark, [("admin", 17), ("zhong", 9)], "n string, v int")
-    assert tuples(pairs.filter(F.col("v") > 10), "n", "v") == [("admin", 17)]
+    pairs = from_rows(spark, [("north", 17), ("south", 9)], "n string, v int")
+    assert tuples(pairs.filter(F.col("v") > 10), "n", "v") == [("north", 17)]
     colors = from_rows(spark, [("white",), ("black",), ("gray",)], "c string", arrival=None)
     copies = F.when(F.col("c") == "white", 1).when(F.col("c") == "black", 2)
     assert tuples(transforms.repeat_rows(colors, copies), "c") == [
@@ -64,16 +64,16 @@ def test_not_equal_and_nulls(spark):
 
 
 def test_connect_drops_sentinel(spark):
-    first = from_rows(spark, [(1, "huo"), (2, "yan")], "k int, w string")
-    second = from_rows(spark, [(1, "shui"), (2, "shui")], "k int, w string")
+    first = from_rows(spark, [(1, "oak"), (2, "elm")], "k int, w string")
+    second = from_rows(spark, [(1, "ivy"), (2, "ivy")], "k int, w string")
 
     def side(label):
-        return lambda df: df.filter("w <> 'shui'").select(
+        return lambda df: df.filter("w <> 'ivy'").select(
             F.concat(F.lit(label), "w").alias("w"), "k"
         )
 
     out = transforms.connect(first, second, side("1:"), side("2:"))
-    assert tuples(out, "w", "k") == [("1:huo", 1), ("1:yan", 2)]
+    assert tuples(out, "w", "k") == [("1:oak", 1), ("1:elm", 2)]
 
 
 def test_union_and_lifecycle(spark):
@@ -87,14 +87,6 @@ def test_union_and_lifecycle(spark):
     assert "task" in transforms.with_task_index(both).columns
 
 
-def test_broadcast_only_when_small(spark):
-    def hinted(df):
-        return "broadcast" in df._jdf.queryExecution().logical().toString().lower()
-
-    assert hinted(transforms.broadcast_if_small(spark.range(10), 10))
-    assert not hinted(transforms.broadcast_if_small(spark.range(11), 10))
-
-
 def test_freezing_is_strict(spark):
     df = from_rows(spark, [("a", 32.0), ("b", 31.9)], "id string, t double")
     main, side = transforms.with_side_output(df, F.col("t") < 32.0, {"id": F.col("id")})
@@ -116,8 +108,11 @@ def test_top_two(spark):
     df = from_rows(spark, [(1, v) for v in (-1, 2, 0, 5, 4)] + [(2, 5), (2, 5)], "k int, v int")
     out = topn.top_values(df, "k", "v", 2, ["arrival"])
     assert tuples(out, "k", "v", "rank") == [(1, 4, 2), (1, 5, 1), (2, 5, 1), (2, 5, 2)]
-    least = from_rows(spark, [(1, -(1 << 31))], "k int, v int")
-    assert topn.top_values(least, "k", "v", 2, ["arrival"]).count() == 0
+    low = from_rows(spark, [(1, -3_000_000_000), (1, None), (1, -(1 << 31)), (1, -(1 << 63))], "k int, v long")
+    out = topn.top_values(low, "k", "v", 2, ["arrival"])
+    assert tuples(out, "v", "rank") == [(-3_000_000_000, 2), (-(1 << 31), 1)]
+    halves = from_rows(spark, [(1, -0.5), (1, -1.5), (1, -1.25)], "k int, v double")
+    assert tuples(topn.top_values(halves, "k", "v", 1, ["arrival"]), "v") == [(-0.5,)]
 
 
 def test_report(spark):

@@ -25,6 +25,9 @@ def write_lines(spark, lines):
     return path
 
 
+BROKEN = ["1,2,3,pv,4", "1,2,3,pv", "x,2,3,pv,4", "no commas", "1,2,3,pv,later", ""]
+
+
 def test_behavior_file_batch_and_stream(spark):
     path = write_lines(spark, ["543462,1715,1464116,pv,1511658000", "662867,2244074,1575622,buy,1511658001"])
     want = [(543462, 1715, 1464116, "pv", 1511658000), (662867, 2244074, 1575622, "buy", 1511658001)]
@@ -35,7 +38,9 @@ def test_behavior_file_batch_and_stream(spark):
 
     assert shown(files.read_behavior(spark, path)) == want
     assert shown(drain(files.read_behavior(spark, path, streaming=True), "s1")) == want
-    assert shown(files.parse_behavior(files.read_lines(spark, path))) == want
+    parsed = files.parse_behavior(files.read_lines(spark, write_lines(spark, BROKEN)))
+    assert files.accepted(parsed, files.BEHAVIOR_REQUIRED).count() == 1
+    assert {r["line"] for r in files.rejected(parsed, files.BEHAVIOR_REQUIRED).collect()} == set(BROKEN[1:])
 
 
 def test_access_log_keeps_rejects(spark):

@@ -9,15 +9,13 @@ from pyspark.sql import functions as F
 def split_trimmed(text: Column, pattern: str) -> Column:
     """Split, dropping trailing empty parts but keeping leading and inner ones.
 
-    A text without any match stays whole, even when it is empty.
+    A text without any match stays whole, even when it is empty. ``pattern`` matches
+    one separator of bounded length. Separators at the end go first, so that the
+    text is split only once.
     """
-    parts = F.split(text, pattern)
-    last = F.array_max(
-        F.transform(parts, lambda p, i: F.when(p != "", i + 1).otherwise(0))
-    )
-    # texts that do not end in a separator, nearly all, skip the search
-    whole = (F.size(parts) == 1) | (F.element_at(parts, -1) != "")
-    return F.when(whole, parts).otherwise(F.slice(parts, 1, last))
+    trimmed = F.regexp_replace(text, f"(?<!{pattern})(?:{pattern})+$", "")
+    none = F.array().cast("array<string>")
+    return F.when(text.rlike(f"^(?:{pattern})+$"), none).otherwise(F.split(trimmed, pattern))
 
 
 def words(df: DataFrame, column: str, pattern: str = r"\s", name: str = "word") -> DataFrame:

@@ -1,52 +1,41 @@
-"""User functions that need a name in SQL."""
+"""Named functions for SQL, as SQL functions: their plans hold built-in expressions only."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from tidemark.functions.hashing import STRING_HASH_SEED
 
 
 def register_string_hash(spark: SparkSession, name: str, factor: int) -> None:
     """A scalar hash function for SQL, parameterised when it is registered.
 
-    Arrow-batched. DataFrame code should use ``hashing.string_hash``, which
-    stays inside the JVM.
+    The same value as ``hashing.string_hash``.
     """
-
-    def one(text: str | None) -> int | None:
-        if text is None:
-            return None
-        raw = text.encode("utf-16-be")
-        value = 0
-        for i in range(0, len(raw), 2):
-            value = (value * 31 + (raw[i] << 8 | raw[i + 1])) & 0xFFFFFFFF
-        value = value * factor & 0xFFFFFFFF
-        return value - (1 << 32) if value >= 1 << 31 else value
-
-    @F.pandas_udf(T.IntegerType())
-    def string_hash_udf(texts: pd.Series) -> pd.Series:
-        return texts.map(one).astype("Int32")
-
-    spark.udf.register(name, string_hash_udf)
+    word, sign = 1 << 32, 1 << 31
+    units = """CASE WHEN length(text) = octet_length(text)
+      THEN transform(filter(split(text, ''), c -> c <> ''), c -> cast(ascii(c) AS bigint))
+      ELSE transform(regexp_extract_all(hex(encode(text, 'UTF-16BE')), '([0-9A-F]{4})', 1),
+                     u -> cast(conv(u, 16, 10) AS bigint)) END"""
+    spark.sql(
+        f"""CREATE OR REPLACE TEMPORARY FUNCTION {name}(text STRING) RETURNS INT RETURN
+        aggregate({units}, 0L, (h, unit) -> (h * {STRING_HASH_SEED} + unit) % {word}L,
+          h -> cast(pmod(cast(h AS decimal(20, 0)) * {factor % word} + {sign}, {word}L)
+                    - {sign} AS int))"""
+    )
 
 
 def register_splitter(spark: SparkSession, name: str, separator: str) -> None:
-    """A table function for SQL: text to rows of (word, length)."""
-
-    @F.udtf(returnType="word string, length int")
-    class Splitter:
-        def eval(self, text: str) -> Iterator[tuple[str, int]]:
-            if text is None:
-                return
-            parts = text.split(separator)
-            if len(parts) > 1:
-                while parts and parts[-1] == "":
-                    parts.pop()
-            for part in parts:
-                yield part, len(part)
-
-    spark.udtf.register(name, Splitter)
+    """A table function for SQL: text to rows of (word, length).
+
+    ``separator`` is plain text; trailing empty parts go, as in ``split_trimmed``.
+    """
+    one = "".join(f"\\\\{c}" if not c.isalnum() and c != " " else c for c in separator)
+    one = one.replace("'", "\\'")
+    spark.sql(
+        f"""CREATE OR REPLACE TEMPORARY FUNCTION {name}(text STRING)
+        RETURNS TABLE(word STRING, length INT) RETURN
+        SELECT part, length(part) FROM (SELECT explode(
+          CASE WHEN text RLIKE '^(?:{one})+$' THEN cast(array() AS array<string>)
+          ELSE split(regexp_replace(text, '(?<!{one})(?:{one})+$', ''), '{one}') END) AS part)"""
+    )

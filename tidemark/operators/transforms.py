@@ -102,10 +102,3 @@ def rebalance(df: DataFrame, partitions: int) -> DataFrame:
 def shrink(df: DataFrame, partitions: int) -> DataFrame:
     """Fewer partitions without a shuffle."""
     return df.coalesce(partitions)
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Mark for broadcast only after checking that the row count allows it."""
-    if df.select(F.lit(1)).limit(max_rows + 1).count() > max_rows:
-        return df
-    return F.broadcast(df)

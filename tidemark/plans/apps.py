@@ -20,8 +20,9 @@ from tidemark.operators import (
     transforms,
     windows,
 )
+from tidemark.sinks import keyed
 from tidemark.sources import files, kafka, views
-from tidemark.sources.tables import as_table, load_table, register
+from tidemark.sources.tables import as_table, load_table
 
 WINDOW_END = windows.WINDOW_END
 BY_TIME = ["ts", "event_id"]
@@ -54,19 +55,24 @@ def hot_items_sql(spark: SparkSession, d: str) -> DataFrame:
         {"item_id": "item_id", "behavior": "behavior", "ts": "ts"},
         event_time="ts",
     )
-    register(table, "tidemark_behavior")
+    # Rows are counted per slide first; only those counts are copied into windows.
     return spark.sql(
         """
         SELECT window_end, item_id, n, rank FROM (
           SELECT *, row_number() OVER
-                      (PARTITION BY window_end ORDER BY n DESC, item_id) AS rank
+                      (PARTITION BY window_end ORDER BY n DESC, item_id NULLS LAST) AS rank
           FROM (
-            SELECT unix_millis(w.end) AS window_end, item_id, count(*) AS n
-            FROM (SELECT item_id, window(ts, '1 hour', '5 minutes') AS w
-                  FROM tidemark_behavior WHERE behavior = 'view')
-            GROUP BY w, item_id))
+            SELECT window_end, item_id, sum(pane_n) AS n
+            FROM (SELECT item_id, pane_n, explode(sequence(pane_end, pane_end + 3300000, 300000))
+                           AS window_end
+                  FROM (SELECT unix_millis(w.end) AS pane_end, item_id, count(*) AS pane_n
+                        FROM (SELECT item_id, window(ts, '5 minutes') AS w
+                              FROM {behavior} WHERE behavior = 'view')
+                        GROUP BY w, item_id))
+            GROUP BY window_end, item_id))
         WHERE rank <= 3
-        """
+        """,
+        behavior=table,
     )
 
 
@@ -75,15 +81,15 @@ def hot_items_tumbling(spark: SparkSession, d: str) -> DataFrame:
     counts = windows.count(
         views.page_views(spark, d), "ts", "1 hour", ["item_id"], name="icount"
     )
-    register(counts, "tidemark_item_counts")
     return spark.sql(
         """
         SELECT window_end, item_id, icount, rank FROM (
           SELECT *, row_number() OVER
-                      (PARTITION BY window_end ORDER BY icount DESC, item_id) AS rank
-          FROM tidemark_item_counts)
+                      (PARTITION BY window_end ORDER BY icount DESC, item_id NULLS LAST) AS rank
+          FROM {counts})
         WHERE rank <= 3
-        """
+        """,
+        counts=counts,
     )
 
 
@@ -111,7 +117,8 @@ def behavior_messages(spark: SparkSession, d: str) -> DataFrame:
 
 def hot_item_documents(spark: SparkSession, d: str) -> DataFrame:
     """Messages in, one search document per window out: the top item."""
-    parsed = files.parse_behavior(kafka.decode(behavior_messages(spark, d)))
+    messages = files.parse_behavior(kafka.decode(behavior_messages(spark, d)))
+    parsed = files.accepted(messages, files.BEHAVIOR_REQUIRED)
     counts = windows.sliding_count(
         parsed.filter(F.col("behavior") == "pv"),
         "ts",
@@ -120,10 +127,7 @@ def hot_item_documents(spark: SparkSession, d: str) -> DataFrame:
         ["item_id"],
     )
     top = topn.top_n(counts, [WINDOW_END], "n", 1, ["item_id"])
-    return top.select(
-        F.col(WINDOW_END).cast("string").alias("doc_id"),
-        F.to_json(F.struct(WINDOW_END, "item_id", "n")).alias("document"),
-    )
+    return keyed.documents(top, [WINDOW_END], [WINDOW_END, "item_id", "n"])
 
 
 def hot_urls(spark: SparkSession, d: str) -> DataFrame:
@@ -331,13 +335,13 @@ def sensor_count(spark: SparkSession, d: str) -> DataFrame:
 
 
 def sensor_count_sql(spark: SparkSession, d: str) -> DataFrame:
-    register(views.sensor(spark, d), "tidemark_sensor")
     return spark.sql(
         """
         SELECT id, unix_millis(w.end) AS window_end, count(*) AS n
-        FROM (SELECT id, window(ts, '1 day') AS w FROM tidemark_sensor)
+        FROM (SELECT id, window(ts, '1 day') AS w FROM {sensor})
         GROUP BY id, w
-        """
+        """,
+        sensor=views.sensor(spark, d),
     )
 
 

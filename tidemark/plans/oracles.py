@@ -266,6 +266,9 @@ FROM behavior""",
 SELECT '10.0.0.' || item_id AS ip, user_id::VARCHAR AS user_id,
        us // 1000000 * 1000000 AS ts_us, 'GET' AS method, '/item/' || item_id AS url
 FROM behavior""",
+    "s1_behavior_rejects": f"""WITH {BEHAVIOR}
+SELECT user_id || ',' || item_id || ',1,error,unknown' AS line FROM behavior
+WHERE behavior = 'error'""",
     "s2_access_log_rejects": f"""WITH {BEHAVIOR}
 SELECT '10.0.0.' || item_id || ' - ' || user_id || ' 99/99/2024 +0000 GET /item/'
          || item_id AS line FROM behavior WHERE behavior = 'error'""",

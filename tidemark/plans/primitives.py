@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +22,7 @@ from tidemark.plans.apps import BY_TIME, us
 from tidemark.session import scratch_path
 from tidemark.sinks import keyed
 from tidemark.sources import files, kafka, views
-from tidemark.sources.tables import as_table, load_table, register
+from tidemark.sources.tables import as_table, load_table
 
 WINDOW_END = windows.WINDOW_END
 
@@ -44,6 +46,24 @@ def behavior_file(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def behavior_rejects(spark: SparkSession, d: str) -> DataFrame:
+    """Lines of a behaviour file in which every error event has no time."""
+    path = scratch_path(spark, "behavior-lines")
+    seconds = F.unix_seconds("ts").cast("string")
+    views.behavior(spark, d).select(
+        F.concat_ws(
+            ",",
+            F.col("user_id").cast("string"),
+            F.col("item_id").cast("string"),
+            F.lit("1"),
+            "behavior",
+            F.when(F.col("behavior") == "error", "unknown").otherwise(seconds),
+        )
+    ).write.text(path)
+    parsed = files.parse_behavior(files.read_lines(spark, path))
+    return files.rejected(parsed, files.BEHAVIOR_REQUIRED)
+
+
 def access_log(spark: SparkSession, d: str) -> DataFrame:
     log = files.accepted(files.parse_access_log(views.access_lines(spark, d)))
     return log.select("ip", "user_id", us().alias("ts_us"), "method", "url")
@@ -77,7 +97,8 @@ def keyed_times(spark: SparkSession, d: str) -> DataFrame:
 def kafka_decode(spark: SparkSession, d: str) -> DataFrame:
     from tidemark.plans.apps import behavior_messages
 
-    rows = files.parse_behavior(kafka.decode(behavior_messages(spark, d)))
+    parsed = files.parse_behavior(kafka.decode(behavior_messages(spark, d)))
+    rows = files.accepted(parsed, files.BEHAVIOR_REQUIRED)
     return rows.select("user_id", "item_id", "behavior", us().alias("ts_us"))
 
 
@@ -91,8 +112,9 @@ def table_subset(spark: SparkSession, d: str) -> DataFrame:
 
 
 def sql_view(spark: SparkSession, d: str) -> DataFrame:
-    register(views.sensor(spark, d), "tidemark_s7")
-    return spark.sql("SELECT id, max(temperature) AS top FROM tidemark_s7 GROUP BY id")
+    return spark.sql(
+        "SELECT id, max(temperature) AS top FROM {sensor} GROUP BY id", sensor=views.sensor(spark, d)
+    )
 
 
 # -- row-wise -----------------------------------------------------------------
@@ -252,9 +274,8 @@ def top_two(spark: SparkSession, d: str) -> DataFrame:
 
 def channel_counts(spark: SparkSession, d: str) -> DataFrame:
     """Per channel and behaviour, sliding windows as a stream would count them."""
-    return windows.count(
-        views.marketing(spark, d), "ts", "6 hours", ["channel", "behavior"],
-        slide="1 hour",
+    return windows.sliding_count(
+        views.marketing(spark, d), "ts", "6 hours", "1 hour", ["channel", "behavior"]
     )
 
 
@@ -300,19 +321,20 @@ def scalar_functions(spark: SparkSession, d: str) -> DataFrame:
 
 
 def hash_in_sql(spark: SparkSession, d: str) -> DataFrame:
-    udfs.register_string_hash(spark, "tidemark_hash", 13)
-    register(load_table(spark, d, "customer"), "tidemark_customers")
-    return spark.sql("SELECT c_custkey, tidemark_hash(c_name) AS h FROM tidemark_customers")
+    name = f"tidemark_hash_{uuid.uuid4().hex}"
+    udfs.register_string_hash(spark, name, 13)
+    return spark.sql(
+        f"SELECT c_custkey, {name}(c_name) AS h FROM {{customers}}",
+        customers=load_table(spark, d, "customer"),
+    )
 
 
 def split_in_sql(spark: SparkSession, d: str) -> DataFrame:
-    udfs.register_splitter(spark, "tidemark_split", " ")
-    register(load_table(spark, d, "part"), "tidemark_parts")
+    name = f"tidemark_split_{uuid.uuid4().hex}"
+    udfs.register_splitter(spark, name, " ")
     return spark.sql(
-        """
-        SELECT p_partkey, p_name, word, length
-        FROM tidemark_parts, LATERAL tidemark_split(p_name)
-        """
+        f"SELECT p_partkey, p_name, word, length FROM {{parts}}, LATERAL {name}(p_name)",
+        parts=load_table(spark, d, "part"),
     )
 
 

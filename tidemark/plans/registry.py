@@ -49,6 +49,7 @@ APPLICATIONS: dict[str, Query] = {
 
 PRIMITIVES: dict[str, Query] = {
     "s1_behavior_file": p.behavior_file,
+    "s1_behavior_rejects": p.behavior_rejects,
     "s2_access_log": p.access_log,
     "s2_access_log_rejects": p.access_log_rejects,
     "s3_keyed_times": p.keyed_times,

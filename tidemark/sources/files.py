@@ -16,23 +16,19 @@ BEHAVIOR_TYPES = ("long", "long", "int", "string", "long")
 ACCESS_LOG_FIELDS = {"ip": 0, "user_id": 2, "time": 3, "method": 5, "url": 6}
 ACCESS_LOG_TIME = "dd/MM/yyyy:HH:mm:ss"
 
-BEHAVIOR_SCHEMA = ", ".join(
-    f"{name} {kind}" for name, kind in zip(BEHAVIOR_FIELDS, BEHAVIOR_TYPES)
-)
+#: A line without all of these is a reject.
+BEHAVIOR_REQUIRED = ("user_id", "item_id", "category_id", "behavior", "ts")
 
 
 def read_behavior(
     spark: SparkSession, path: str, *, streaming: bool = False
 ) -> DataFrame:
-    """Behaviour CSV (user, item, category, behaviour, epoch seconds).
+    """The good lines of behaviour files (user, item, category, behaviour, epoch seconds).
 
-    Read by Spark's CSV source, so columns are pruned while parsing.
+    ``rejected`` of the parsed lines gives the others.
     """
-    reader = spark.readStream if streaming else spark.read
-    rows = reader.schema(BEHAVIOR_SCHEMA).option("mode", "PERMISSIVE").csv(path)
-    return rows.withColumn("ts", F.timestamp_seconds("epoch_seconds")).drop(
-        "epoch_seconds"
-    )
+    lines = read_lines(spark, path, streaming=streaming)
+    return accepted(parse_behavior(lines), BEHAVIOR_REQUIRED)
 
 
 def read_lines(
@@ -47,14 +43,14 @@ def _field(parts: Column, index: int) -> Column:
 
 
 def parse_behavior(df: DataFrame, column: str = "value") -> DataFrame:
-    """Behaviour lines held in a string column, e.g. message values."""
+    """Behaviour lines held in a string column, e.g. message values; keeps the line."""
     parts = F.split(F.col(column), ",")
     cols = [
         _field(parts, i).try_cast(t).alias(n)
         for i, (n, t) in enumerate(zip(BEHAVIOR_FIELDS, BEHAVIOR_TYPES))
     ]
-    return df.select(*cols).select(
-        *BEHAVIOR_FIELDS[:-1], F.timestamp_seconds("epoch_seconds").alias("ts")
+    return df.select(F.col(column).alias("line"), *cols).select(
+        "line", *BEHAVIOR_FIELDS[:-1], F.timestamp_seconds("epoch_seconds").alias("ts")
     )
 
 
