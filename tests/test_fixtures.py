@@ -64,7 +64,7 @@ def test_not_equal_and_nulls(spark):
 
 
 def test_connect_drops_sentinel(spark):
-    first = from_rows(spark, [(1, "oak"), (2, "elm")], "k int, w string")
+    first = from_rows(spark, [(1, "elm"), (2, "oak")], "k int, w string")
     second = from_rows(spark, [(1, "ivy"), (2, "ivy")], "k int, w string")
 
     def side(label):
@@ -73,7 +73,7 @@ def test_connect_drops_sentinel(spark):
         )
 
     out = transforms.connect(first, second, side("1:"), side("2:"))
-    assert tuples(out, "w", "k") == [("1:oak", 1), ("1:elm", 2)]
+    assert tuples(out, "w", "k") == [("1:elm", 1), ("1:oak", 2)]
 
 
 def test_union_and_lifecycle(spark):

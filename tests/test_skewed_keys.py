@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import alerts, distinct, joins, lateness, patterns, rolling
-from tidemark.operators.skew import SkewPolicy
+from tidemark.operators.skew import SkewPolicy, find_hot, with_slice
 
 POLICIES = {
     "whole": SkewPolicy(),
@@ -309,3 +309,19 @@ def test_running_bitmap(df, rows, policy):
         df, "ts", ORDER, "1 minute", "k", keep=["id"], policy=policy
     )
     assert {r["id"]: r["uv"] for r in got.collect()} == want
+
+
+def test_stray_times_do_not_gather_rows(spark):
+    """One row at time 0 and one far ahead: slices of the others stay small."""
+    rows = spark.range(20_000).select(
+        F.lit(1).alias("k"),
+        F.timestamp_micros(F.lit(1_700_000_000_000_000) + F.col("id") * 1_000_000).alias("ts"),
+        "id",
+    )
+    stray = spark.range(2).select(
+        F.lit(1).alias("k"), F.timestamp_micros(F.col("id") * 4_000_000_000_000_000).alias("ts"), F.lit(-1).alias("id")
+    )
+    both = rows.unionByName(stray)
+    hot = find_hot(both, ["k"], "ts", SkewPolicy(max_hot=10, min_rows=1000))
+    sizes = [r["count"] for r in with_slice(both, "ts", hot).groupBy("_slice").count().collect()]
+    assert sum(sizes) == 20_002 and max(sizes) < 1000

@@ -5,7 +5,9 @@ a key in order, and the plain ``Window.partitionBy(key)`` puts a whole key into
 one task. A key that holds a third of the table would then be one task's work.
 
 The answer used everywhere in this package: keys that hold more than
-``1 / max_hot`` of all rows are cut into equal slices of their order column.
+``1 / max_hot`` of all rows are cut into equal slices of their order column,
+between the values that leave out a thousandth of the rows at either end: rows with
+a wrong time fall into the first or last slice and cannot widen the others.
 By counting, at most ``max_hot`` keys can pass that share, so the table of hot
 keys is bounded whatever the size of the data, and may be broadcast. What has
 to cross a slice boundary (a carried total, the neighbouring rows) travels as
@@ -87,23 +89,32 @@ def find_hot(
     pos = position(order, df.schema[order].dataType)
     counts = (
         df.groupBy(*keys)
-        .agg(
-            F.count(F.lit(1)).alias("_n"),
-            F.min(pos).alias("_lo"),
-            F.max(pos).alias("_hi"),
-        )
+        .agg(F.count(F.lit(1)).alias("_n"), F.min(pos).alias("_lo"))
         .filter((F.col("_n") > piece) & F.col("_lo").isNotNull())
     )
+    found = [tuple(r[k] for k in keys) for r in counts.collect()]
+    if not found:
+        return none
+    held = [T.StructField(k, df.schema[k].dataType, True) for k in keys]
+    only = df
+    if keys:
+        table = df.sparkSession.createDataFrame(found, T.StructType(held))
+        match = F.lit(True)
+        for k in keys:
+            match = match & df[k].eqNullSafe(table[k])
+        only = df.join(F.broadcast(table), match, "left_semi")  # at most ``max_hot`` keys
+    spread = only.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.percentile_approx(pos, [0.001, 0.999], 2_000).alias("_ends"),
+    )
     rows = []
-    for r in counts.collect():
+    for r in spread.collect():
         slices = ceil(r["_n"] / piece) * policy.oversplit
-        width = max(1, ceil((r["_hi"] - r["_lo"] + 1) / slices))
-        rows.append(tuple(r[k] for k in keys) + (r["_lo"], width))
-    schema = T.StructType(
-        [T.StructField(k, df.schema[k].dataType, True) for k in keys]
-        + [T.StructField("_lo", T.LongType()), T.StructField("_width", T.LongType())]
-    )
-    return HotKeys(tuple(keys), tuple(rows), schema)
+        lo, hi = r["_ends"]
+        width = max(1, ceil((hi - lo + 1) / slices))
+        rows.append(tuple(r[k] for k in keys) + (lo, hi, width))
+    bounds = [T.StructField(n, T.LongType()) for n in ("_lo", "_hi", "_width")]
+    return HotKeys(tuple(keys), tuple(rows), T.StructType(held + bounds))
 
 
 def with_slice(df: DataFrame, order: str, hot: HotKeys) -> DataFrame:
@@ -116,21 +127,21 @@ def with_slice(df: DataFrame, order: str, hot: HotKeys) -> DataFrame:
         return df
     pos = position(order, df.schema[order].dataType)
     if not hot.keys:
-        lo, width = hot.rows[0]
-        number = floor_to(pos - F.lit(lo), width)
+        lo, hi, width = hot.rows[0]
+        number = floor_to(F.least(F.greatest(pos, F.lit(lo)), F.lit(hi)) - F.lit(lo), width)
         return df.withColumn(
             SLICE, F.coalesce(number, F.lit(0).cast("long"))
         ).withColumn(HOT, F.lit(True))
     table = df.sparkSession.createDataFrame(list(hot.rows), hot.schema)
     table = table.select(
-        *[F.col(k).alias(f"_hot_{i}") for i, k in enumerate(hot.keys)], "_lo", "_width"
+        *[F.col(k).alias(f"_hot_{i}") for i, k in enumerate(hot.keys)], "_lo", "_hi", "_width"
     )
     match = F.lit(True)
     for i, k in enumerate(hot.keys):
         match = match & F.col(k).eqNullSafe(F.col(f"_hot_{i}"))
     # hot.rows is bounded by SkewPolicy.max_hot, see find_hot
     joined = df.join(F.broadcast(table), match, "left")
-    offset = pos - F.col("_lo")
+    offset = F.least(F.greatest(pos, F.col("_lo")), F.col("_hi")) - F.col("_lo")
     number = offset - F.pmod(offset, F.col("_width"))
     return joined.select(
         *df.columns,
