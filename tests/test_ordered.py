@@ -119,3 +119,30 @@ def test_slices_spread_a_hot_key(data):
     sizes = with_slice(df, "t", hot).filter("k = 1").groupBy(SLICE).count().collect()
     assert max(r["count"] for r in sizes) <= 3 * SPLIT.min_rows
     assert sum(r["count"] for r in sizes) == sum(1 for r in rows if r[0] == 1)
+
+
+@pytest.mark.parametrize("descending", [False, True])
+def test_running_over_a_whole_table(spark, descending):
+    """Ranges carry state, also when many rows share one time or one is far off."""
+    rng = random.Random(8)
+    rows = [(0 if i == 7 else rng.choice([50, 50, 50, 60, 61]), i, rng.choice([None, 1, 2, 9])) for i in range(500)]
+    df = spark.createDataFrame(rows, "t long, i long, v long").repartition(3)
+    kinds = ("sum", "count", "min", "max", "first", "last")
+    out = running(
+        df, [], ["t", "i"], [Running(k, k, F.col("v"), previous=f"p_{k}") for k in kinds],
+        descending=descending,
+    )
+    got = {r["i"]: r for r in out.collect()}
+    seen, before = [], dict.fromkeys(kinds)
+    for t, i, v in sorted(rows, reverse=descending):
+        if v is not None:
+            seen.append(v)
+        now = {
+            "sum": sum(seen) if seen else None, "count": len(seen), "min": min(seen, default=None),
+            "max": max(seen, default=None), "first": seen[0] if seen else None,
+            "last": seen[-1] if seen else None,
+        }
+        for k in kinds:
+            assert got[i][k] == now[k], (i, k)
+            assert got[i][f"p_{k}"] == before[k], (i, k)
+        before = now

@@ -1,4 +1,7 @@
-"""Every registered batch query against its SQL, on the smallest tables."""
+"""Every registered batch query against its SQL, on the smallest tables.
+
+Stream queries: ``test_streams_unordered``.
+"""
 
 import pytest
 
@@ -16,7 +19,9 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(registry.queries()) == set(registry.oracle_sql())
+    assert set(registry.queries()) <= set(entry.queries())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
 def test_entry(spark):

@@ -59,6 +59,16 @@ class Running:
             return F.last(col, ignorenulls=True)
         raise ValueError(f"unknown running aggregate {self.kind!r}")
 
+    def join(self, before: Column, here: Column) -> Column:
+        """The aggregate of two consecutive stretches, either of which may be null."""
+        if self.kind in ("sum", "count"):
+            return F.coalesce(before + here, here, before)
+        if self.kind == "min":
+            return F.least(before, here)
+        if self.kind == "max":
+            return F.greatest(before, here)
+        return F.coalesce(before, here) if self.kind == "first" else F.coalesce(here, before)
+
     def per_slice(self, col: Column, position: Column) -> Column:
         """The aggregate of one slice in a groupBy, where row order is not given."""
         if self.kind in ("first", "last"):
@@ -101,10 +111,12 @@ def running(
 
     ``order`` must be total (end it with a tie-break); its first column is a
     timestamp or integer and is the axis hot keys are sliced on. An empty
-    ``keys`` list runs over the whole table. A hot key's slices start from a
-    seed row that carries the aggregate of everything before them.
+    ``keys`` list runs over the whole table, see ``running_whole``. A hot key's
+    slices start from a seed row that carries the aggregate of everything before.
     """
     order = list(order)
+    if not keys:
+        return running_whole(df, order, aggs, descending=descending)
     hot = hot_keys(df, keys, order, hot, policy)
     names = [f"_in_{i}" for i in range(len(aggs))]
     rows = with_slice(df, order[0], hot).withColumns(
@@ -154,6 +166,56 @@ def running(
     return rows.select(*[c for c in df.columns if c not in added], *added)
 
 
+def running_whole(
+    df: DataFrame, order: Sequence[str], aggs: Sequence[Running], *, descending: bool = False
+) -> DataFrame:
+    """Running aggregates over the whole table, by range partitions of ``order``.
+
+    The same plan at every size: rows are dealt by ranges of all order columns and
+    written once, so that the ranges stay as they are. One row per range carries
+    what the ranges before it add up to.
+    """
+    spark = df.sparkSession
+    names = [f"_in_{i}" for i in range(len(aggs))]
+    sort = _sorted(order, descending)
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = scratch_path(spark, "ranges")
+    df.withColumns({n: a.contribution() for n, a in zip(names, aggs)}).repartitionByRange(
+        tasks, *sort
+    ).withColumn(SLICE, F.spark_partition_id()).write.parquet(path)
+    rows = spark.read.parquet(path)
+    flip = {"first": "last", "last": "first"} if descending else {}
+    position = F.struct(*order).alias("p")
+    totals = rows.groupBy(SLICE).agg(
+        *[
+            Running(a.name, flip.get(a.kind, a.kind), a.value).per_slice(F.col(n), position).alias(n)
+            for a, n in zip(aggs, names)
+        ]
+    )
+    # One row per range here, so this one window stays small, and so does its broadcast.
+    before = Window.orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    seeds = totals.select(
+        SLICE, *[a.fold(F.col(n)).over(before).alias(f"_seed{n}") for a, n in zip(aggs, names)]
+    )
+    along = Window.partitionBy(SLICE).orderBy(*sort)
+    upto = along.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    out = rows.join(F.broadcast(seeds), SLICE)
+    seed = {a.name: F.col(f"_seed{n}") for a, n in zip(aggs, names)}
+    out = out.withColumns(
+        {a.name: a.join(seed[a.name], a.fold(F.col(n)).over(upto)) for a, n in zip(aggs, names)}
+    )
+    first = F.row_number().over(along) == 1
+    back = {
+        a.previous: F.when(first, seed[a.name]).otherwise(F.lag(a.name).over(along))
+        for a in aggs
+        if a.previous
+    }
+    if back:
+        out = out.withColumns(back)
+    added = [a.name for a in aggs] + list(back)
+    return out.select(*[c for c in df.columns if c not in added], *added)
+
+
 def settle(df: DataFrame, hot: HotKeys) -> DataFrame:
     """The input of a further ordered step, written once if keys are split.
 

@@ -286,6 +286,10 @@ SELECT id AS sensor, temperature AS reading, us AS rowtime_us FROM sensor""",
   FROM sensor) SELECT id, temperature FROM n WHERE rn = 1""",
     "k8_visitor_store": f"""SELECT window_end::VARCHAR AS field, uv::VARCHAR AS stored
 FROM ({UV_BITMAP})""",
+    "k5_keyed_store": f"""WITH {SENSOR}, n AS (
+  SELECT id, temperature, row_number() OVER (PARTITION BY id
+                                             ORDER BY us DESC, event_id DESC) AS rn
+  FROM sensor) SELECT id, temperature FROM n WHERE rn = 1""",
     "t1_map": f"WITH {SENSOR} SELECT event_id, id, temperature * 2 AS doubled FROM sensor",
     "t2_filter": f"WITH {SENSOR} SELECT event_id, temperature FROM sensor WHERE id = 'sensor_1'",
     "t3_filter_greater": "SELECT event_id, value FROM events WHERE value > 10",
@@ -446,4 +450,8 @@ SELECT DISTINCT id, (us + 5000000) // 1000 AS fires_ms FROM sensor""",
     "st13_late_rows_stream": f"""SELECT event_id,
        CASE lateness WHEN 'dropped' THEN 'late' ELSE 'on_time' END AS side
 FROM ({ORACLES["st13_late"]})""",
+    "k6_document_index": ORACLES["q4_hot_item_documents"],
+    "k8_visitor_store_written": ORACLES["k8_visitor_store"],
+    "k7_two_sinks_stream": """SELECT event_id,
+  CASE WHEN event_type = 'view' THEN 'views' ELSE 'rest' END AS sink FROM events""",
 }

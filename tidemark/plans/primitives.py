@@ -18,9 +18,9 @@ from tidemark.operators import (
     windows,
 )
 from tidemark.operators import alerts
-from tidemark.plans.apps import BY_TIME, us
+from tidemark.plans.apps import BY_TIME, hot_item_documents, us
 from tidemark.session import scratch_path
-from tidemark.sinks import keyed
+from tidemark.sinks import folder, keyed
 from tidemark.sources import files, kafka, views
 from tidemark.sources.tables import as_table, load_table
 
@@ -410,6 +410,37 @@ def latest_per_key(spark: SparkSession, d: str) -> DataFrame:
     ).select("id", "temperature")
 
 
+def keyed_store(spark: SparkSession, d: str) -> DataFrame:
+    """Last readings written to a store from the tasks, and read back."""
+    path = scratch_path(spark, "keyed-store")
+    readings = views.sensor(spark, d).select(
+        "id", "temperature", F.unix_micros("ts").alias("us"), "event_id"
+    )
+    newest = keyed.latest(readings, ["id"], ["us", "event_id"])
+    keyed.write_partitions(newest, folder.writer(path))
+    schema = "id string, temperature double, us long, event_id long"
+    held = folder.stored(spark, path, schema, ["id"], ["us", "event_id"])
+    return held.select("id", "temperature")
+
+
+def document_index(spark: SparkSession, d: str) -> DataFrame:
+    """The hot-item documents written in bulk requests, twice, and read back."""
+    path = scratch_path(spark, "documents")
+    found = hot_item_documents(spark, d)
+    for _ in range(2):
+        keyed.write_partitions(found, folder.writer(path), batch_size=500)
+    return folder.stored(spark, path, "doc_id string, document string", ["doc_id"], ["document"])
+
+
+def visitor_store_written(spark: SparkSession, d: str) -> DataFrame:
+    """The visitor counts as fields of a hash, written and read back."""
+    path = scratch_path(spark, "visitors")
+    uv = distinct.bitmap(views.page_views(spark, d), "ts", "1 hour", "user_id")
+    keyed.write_partitions(keyed.hash_fields(uv, WINDOW_END, "uv"), folder.writer(path))
+    held = folder.stored(spark, path, "field string, value string", ["field"], ["value"])
+    return held.select("field", F.col("value").alias("stored"))
+
+
 def visitor_store(spark: SparkSession, d: str) -> DataFrame:
     """Hash fields and values of the visitor counts by window end."""
     uv = distinct.bitmap(views.page_views(spark, d), "ts", "1 hour", "user_id")

@@ -57,7 +57,10 @@ PRIMITIVES: dict[str, Query] = {
     "s6_table_subset": p.table_subset,
     "s7_sql_view": p.sql_view,
     "k5_latest_per_key": p.latest_per_key,
+    "k5_keyed_store": p.keyed_store,
+    "k6_document_index": p.document_index,
     "k8_visitor_store": p.visitor_store,
+    "k8_visitor_store_written": p.visitor_store_written,
     "t1_map": p.map_rows,
     "t2_filter": p.filter_rows,
     "t3_filter_greater": p.filter_greater,
@@ -111,6 +114,7 @@ STREAMS: dict[str, Query] = {
     "st10_login_fail_stream": streams.login_failures,
     "st12_changelog_stream": streams.change_log,
     "st13_late_rows_stream": streams.late_rows,
+    "k7_two_sinks_stream": streams.two_sinks,
 }
 
 

@@ -9,6 +9,7 @@ from tidemark.operators import distinct, topn, windows
 from tidemark.session import scratch_path
 from tidemark.sources import views
 from tidemark.sources.tables import load_table
+from tidemark.sinks.streams import fan_out_routed
 from tidemark.streaming import stateful
 from tidemark.streaming.late import batch_folders, split_late
 from tidemark.streaming.run import drain, drain_batches, replay_events, replay_in_order
@@ -180,6 +181,21 @@ def hot_items(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(path).drop("batch")
 
 
+def two_sinks(spark: SparkSession, d: str) -> DataFrame:
+    """One stream, two sinks: page views to one folder, all other events to another."""
+    rows, finish = _events(spark, d)
+    path = scratch_path(spark, "sinks")
+    is_view = F.coalesce(kind(views.PAGE_VIEW), F.lit(False))
+    sinks = {side: batch_folders(f"{path}/{side}") for side in ("views", "rest")}
+    route = fan_out_routed({"views": is_view, "rest": ~is_view}, sinks)
+    drain_batches(rows.select("event_id", "event_type"), "two-sinks", route, finish=finish)
+    parts = [
+        spark.read.parquet(f"{path}/{side}").select("event_id", F.lit(side).alias("sink"))
+        for side in sinks
+    ]
+    return parts[0].unionByName(parts[1])
+
+
 def late_rows(spark: SparkSession, d: str) -> DataFrame:
     """Rows whose hourly window had closed, to a side output of the stream."""
     arrived = load_table(spark, d, "events").select(
