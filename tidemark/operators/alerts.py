@@ -10,6 +10,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,6 +28,18 @@ def timers(df: DataFrame, key: str, ts: str, after: str) -> DataFrame:
     return df.groupBy(key, fires.alias("fires_at")).agg(F.count(F.lit(1)).alias("n"))
 
 
+def _group_starts(columns: list[pa.Array]) -> list[int]:
+    """Rows whose values differ from those of the row before; nulls are equal."""
+    fresh = np.zeros(len(columns[0]), dtype=bool)
+    fresh[0] = True
+    for c in columns:
+        now, before = c.slice(1), c.slice(0, len(c) - 1)
+        differs = pc.fill_null(pc.not_equal(now, before), False)
+        differs = pc.or_(differs, pc.xor(now.is_null(), before.is_null()))
+        fresh[1:] |= differs.to_numpy(zero_copy_only=False)
+    return np.flatnonzero(fresh).tolist()
+
+
 def _anchor_rows(df: DataFrame, group: list[str], length: int) -> DataFrame:
     """Assign rows to windows of ``length`` opened by the first row not covered.
 
@@ -42,12 +55,12 @@ def _anchor_rows(df: DataFrame, group: list[str], length: int) -> DataFrame:
             if not batch.num_rows:
                 continue
             t = batch.column(_T).to_numpy()
-            ids = list(zip(*(batch.column(g).to_pylist() for g in group)))
-            starts = [i for i in range(len(ids)) if i == 0 or ids[i] != ids[i - 1]]
+            columns = [batch.column(g) for g in group]
+            starts = _group_starts(columns)
             anchors = np.empty(len(t), dtype="int64")
             for start, end in zip(starts, starts[1:] + [len(t)]):
                 at = start
-                if ids[start] == last_group:
+                if start == 0 and [c[0].as_py() for c in columns] == last_group:
                     at += int(np.searchsorted(t[start:end], anchor + length, "right"))
                     anchors[start:at] = anchor
                 while at < end:
@@ -55,7 +68,7 @@ def _anchor_rows(df: DataFrame, group: list[str], length: int) -> DataFrame:
                     upto = at + int(np.searchsorted(t[at:end], anchor + length, "right"))
                     anchors[at:upto] = anchor
                     at = upto
-                last_group = ids[start]
+            last_group = [c[len(t) - 1].as_py() for c in columns]
             yield batch.append_column(_ANCHOR, pa.array(anchors))
 
     return (
