@@ -12,13 +12,16 @@ from pyspark.sql import functions as F
 
 from tidemark.session import prepare, scratch_path
 
-#: Arrow batches end at this many bytes, whatever the length of the texts.
-BATCH_BYTES = 16 << 20
+#: Arrow batches end at this many rows or bytes: whole texts are wide rows, and an
+#: executor's workers share what the JVM leaves of its memory.
+BATCH_ROWS = 1000
+BATCH_BYTES = 4 << 20
 
 
 def ready(spark: SparkSession) -> SparkSession:
     """The session with the library's settings and bounded Arrow batches."""
     prepare(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return spark
 

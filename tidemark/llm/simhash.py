@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
-from tidemark.llm.shared import fresh, ready, same, settle, text_key, text_of
+from tidemark.llm.shared import fresh, partitions, ready, same, settle, text_key, text_of
 from tidemark.llm.spans import SPACED_WORD, TextBatch, slices
 
 SHINGLE = 3
@@ -61,7 +61,7 @@ def shingle_hashes(batch: TextBatch, size: int = SHINGLE) -> tuple[np.ndarray, n
 def fingerprints(texts: pa.Array, size: int = SHINGLE) -> np.ndarray:
     """Bit i is 1 if more than half of a text's shingle hashes have it."""
     out = []
-    for part in slices(texts, 1 << 20):
+    for part in slices(texts):
         hashes, counts = shingle_hashes(TextBatch(part), size)
         value = np.zeros(len(counts), np.uint64)
         some = np.flatnonzero(counts)
@@ -111,7 +111,8 @@ def links(prints: DataFrame) -> DataFrame:
     ``prints`` is a written table of different ``fp``. Small buckets give all their
     verified pairs, larger ones a star for each point.
     """
-    variants = _variants(prints)
+    # A small file becomes 64 times as many rows: deal them out first.
+    variants = _variants(prints.repartition(partitions(prints.sparkSession)))
     buckets = settle(
         variants.groupBy("key")
         .agg(F.count("*").alias("n"), F.min("fp").alias("u"), F.max("fp").alias("v"))

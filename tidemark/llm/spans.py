@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -55,6 +55,7 @@ def slices(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[pa.Array]:
         end = min(max(end, at + 1), n)
         yield texts.slice(at, end - at)
         at = end
+    pa.default_memory_pool().release_unused()  # workers stay, and idle ones hold memory
 
 
 def text_offsets(texts: pa.Array) -> np.ndarray:

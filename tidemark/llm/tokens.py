@@ -4,7 +4,8 @@ A tokenizer that drops white space gives a text the ids of its words in order.
 Its words repeat, so each different word is encoded once per worker and the
 ids of a text are gathered. Text is cut only where the tokenizer itself must cut:
 at ASCII white space, and between an ASCII letter and an ASCII sign other than
-the apostrophe; ASCII letters are lowered first if the tokenizer does so. Tokenizers without that property encode each text whole.
+the apostrophe; ASCII letters are lowered first. Tokenizers that probes show to be
+otherwise encode each text whole.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from tidemark.llm.shared import worker_memory
 from tidemark.llm.spans import LOWER, SPACED_WORD, TextBatch, Words, slices
 
 #: Words remembered by a worker; beyond that it starts anew.
-MOST_WORDS = 400_000
+MOST_WORDS = 200_000
 
 LETTER = np.zeros(256, dtype=bool)
 LETTER[65:91] = LETTER[97:123] = True
