@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontaminate, language, line_dedup, packing, simhash
+from tidemark.llm.queries import remainder
 from tidemark.llm.shared import fresh, load, ready, settle
 
 #: A text's own language must hold at least this share of its words.
@@ -23,11 +24,11 @@ END = 1
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop texts without letters and those in which no language has a clear share.
 
-    The model learns from the languages that ``docs`` states. If it states none, only
-    texts without letters go.
+    The model learns from the languages that ``docs`` states, without the part that
+    ``op7_language`` holds out. If it states none, only texts without letters go.
     """
     ready(spark)
-    model = language.learn(docs)
+    model = language.learn(docs, where=remainder(docs, 4) != 2)
     if model is None:
         return docs.where(F.col("text").rlike(r"\p{L}"))
     found = fresh(docs, "found")

@@ -103,7 +103,8 @@ def decode_table(lengths: np.ndarray, longest: int) -> np.ndarray:
     order = used[np.lexsort((used, lengths[used]))]
     sizes = lengths[order].astype(np.int64)
     table = np.zeros(1 << longest, dtype=np.uint64)
-    filled = np.repeat(order.astype(np.uint64) << np.uint64(8) | sizes.astype(np.uint64), 1 << (longest - sizes))
+    entries = order.astype(np.uint64) << np.uint64(8) | sizes.astype(np.uint64)
+    filled = np.repeat(entries, 1 << (longest - sizes))
     table[: len(filled)] = filled
     return table
 

@@ -208,7 +208,8 @@ def deduplicated(
         new = new.withColumn("n_chars", F.when(F.col(runs).isNull(), F.col("n_chars")).otherwise(size))
     if counted is None:
         return new.select(*documents.columns)
-    gone = F.flatten(F.transform(F.coalesce(runs, F.array().cast(RUNS)), lambda r: F.sequence(r["first"], r["last"])))
+    cut = F.coalesce(runs, F.array().cast(RUNS))
+    gone = F.flatten(F.transform(cut, lambda r: F.sequence(r["first"], r["last"])))
     return new.select(
         *documents.columns,
         F.col(n_lines).alias(counted[0]),

@@ -84,10 +84,9 @@ class Lines:
 
     def seen_before(self) -> np.ndarray:
         """Lines with a word that equal an earlier line of their text, byte for byte."""
-        at = np.zeros(2 * self.n, np.int64)
-        at[0::2], at[1::2] = self.starts, self.stops
-        raw = self.batch.bytes
-        lines = pa.array([raw[a:b].tobytes() for a, b in zip(*(x.tolist() for x in (self.starts, self.stops)), strict=True)], pa.binary())
+        raw = self.batch.bytes.tobytes()
+        spans = zip(self.starts.tolist(), self.stops.tolist(), strict=True)
+        lines = pa.array([raw[a:b] for a, b in spans], pa.binary())
         codes = lines.dictionary_encode().indices.to_numpy(zero_copy_only=False).astype(np.int64)
         both = self.row * np.int64(self.n + 1) + codes
         _, first = np.unique(both, return_index=True)
@@ -166,7 +165,8 @@ def line_features(lines: Lines, codes: np.ndarray, seen: np.ndarray) -> np.ndarr
     if len(words) > 1:
         again[1:] = (codes[1:] == codes[:-1]) & (line[1:] == line[:-1])
     some = np.maximum(n_words, 1)
-    different = np.bincount(np.unique(line * np.int64(len(words) + 1) + codes) // (len(words) + 1), minlength=lines.n)
+    pairs = np.unique(line * np.int64(len(words) + 1) + codes)
+    different = np.bincount(pairs // (len(words) + 1), minlength=lines.n)
     letters = np.maximum(lines.per_line(UPPER[raw] | LOWER_CASE[raw]), 1)
     figures = {
         "words": n_words,

@@ -6,7 +6,18 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, huffman, language, licenses, line_dedup, packing, quality, simhash, toxicity, warc
+from tidemark.llm import (
+    decontaminate,
+    huffman,
+    language,
+    licenses,
+    line_dedup,
+    packing,
+    quality,
+    simhash,
+    toxicity,
+    warc,
+)
 from tidemark.llm.shared import load, ready
 
 TOKENIZER = "word_bpe_49k.json"
