@@ -146,6 +146,10 @@ class Landmarks:
         self.lookup = Lookup(self.features)
 
     def kernel(self, words: pa.Array) -> np.ndarray:
+        parts = [self._kernel(words.slice(at, 2000)) for at in range(0, len(words), 2000)]
+        return np.concatenate(parts)
+
+    def _kernel(self, words: pa.Array) -> np.ndarray:
         out = np.zeros((len(words), self.table.shape[1]))
         for h, owner, weight in subsequences(words):
             hit, feature = self.lookup.find(h)
@@ -239,23 +243,31 @@ def suspicious(codes: np.ndarray, rows: np.ndarray, words: pa.Array, toxic: np.n
     piece, owners = piece[order], owners[order]
     first = np.searchsorted(owners, np.arange(len(words) + 1))
 
-    def in_texts(of_toxic: bool, allowed: np.ndarray | None) -> np.ndarray:
+    def in_texts(of_toxic: bool, allowed: np.ndarray | None):
+        """(piece, text) pairs, each once, for some hundred texts at a time."""
         use = np.flatnonzero(toxic[pair_row] == of_toxic)
-        sizes = (first[1:] - first[:-1])[pair_word[use]]
-        at = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        found = piece[at + np.repeat(first[pair_word[use]], sizes)]
-        texts = np.repeat(pair_row[use], sizes)
-        if allowed is not None:
-            keep = allowed[found]
-            found, texts = found[keep], texts[keep]
-        return np.unique(found * np.int64(len(toxic)) + texts)
-
-    bad = in_texts(True, None)
-    bad_count = np.bincount(bad // len(toxic), minlength=len(pieces))
-    good_count = np.bincount(in_texts(False, bad_count >= 3) // len(toxic), minlength=len(pieces))
+        ends = np.flatnonzero(np.diff(pair_row[use])) + 1
+        for some in np.split(use, ends[::200]):
+            sizes = (first[1:] - first[:-1])[pair_word[some]]
+            at = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            found = piece[at + np.repeat(first[pair_word[some]], sizes)]
+            texts = np.repeat(pair_row[some], sizes)
+            if allowed is not None:
+                keep = allowed[found]
+                found, texts = found[keep], texts[keep]
+            both = np.unique(found * np.int64(len(toxic)) + texts)
+            yield both // len(toxic), both % len(toxic)
+
+    def counted(of_toxic: bool, allowed: np.ndarray | None) -> np.ndarray:
+        out = np.zeros(len(pieces), np.int64)
+        for found, _ in in_texts(of_toxic, allowed):
+            out += np.bincount(found, minlength=len(pieces))
+        return out
+
+    bad_count = counted(True, None)
+    good_count = counted(False, bad_count >= 3)
     telling = (bad_count >= 3) & _tells(bad_count, good_count, n_toxic, n_clean)
-    bad = bad[telling[bad // len(toxic)]]
-    bad_piece, bad_text = bad // len(toxic), bad % len(toxic)
+    bad_piece, bad_text = (np.concatenate(x) for x in zip(*in_texts(True, telling), strict=True))
     open_texts = toxic.copy()
     taken = []
     while len(taken) < LANDMARKS:
