@@ -21,8 +21,9 @@ from pyspark.sql import functions as F
 from tidemark.llm.shared import worker_memory
 from tidemark.llm.spans import LOWER, SPACED_WORD, TextBatch, Words, slices
 
-#: Words remembered by a worker; beyond that it starts anew.
-MOST_WORDS = 200_000
+#: A worker remembers the words it met lately: twice this many at most, besides those
+#: of the slice at hand.
+MOST_WORDS = 175_000
 
 LETTER = np.zeros(256, dtype=bool)
 LETTER[65:91] = LETTER[97:123] = True
@@ -77,6 +78,7 @@ class Encoder:
         probe = [w.encode() for w in ("hello", "été", "straße", "ñandú")]
         self.by_model = [self._modelled(w.decode()) for w in probe] == ids([w.decode() for w in probe])
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
     def _modelled(self, word: str) -> list[int]:
         """Ids of one lower-case Latin word, past the steps that leave it as it is."""
@@ -87,8 +89,6 @@ class Encoder:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, words: list[bytes]) -> None:
-        if len(self.known) + len(words) > MOST_WORDS:
-            self.known.clear()
         rest = []
         for word in words:
             text = word.decode()
@@ -112,12 +112,18 @@ class Encoder:
         words = _Pieces(batch, not any(s in raw for s in self.special))
         codes, different = words.codes()
         different = different.to_pylist()
-        missing = [w for w in different if w not in self.known]
-        if missing:
-            self._learn(missing)
-            if any(w not in self.known for w in different):  # it started anew
-                self._learn([w for w in different if w not in self.known])
-        found = [self.known[w] for w in different]
+        if len(self.known) > MOST_WORDS:
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
+        missing = []
+        for w in different:
+            if w not in known:
+                if w in older:
+                    known[w] = older[w]
+                else:
+                    missing.append(w)
+        self._learn(missing)
+        found = [known[w] for w in different]
         sizes = np.array([len(x) // 4 for x in found], dtype=np.int64)
         flat = np.frombuffer(b"".join(found), dtype=np.uint32)
         starts = np.cumsum(sizes) - sizes
