@@ -176,6 +176,21 @@ def test_long_runs_are_removed_whole(spark):
     assert got[3] == "\n".join([*lines[5:9], "x"])
 
 
+def test_blank_lines_around_a_run(spark):
+    run, blank = "\n".join(passage(f"b{i}", 10) for i in range(5)), "\n" * 200_000
+    texts = [blank + run + blank, "own" + blank + run + "\n\nother", run]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in line_dedup.deduplicated(docs, counted=("was", "gone")).collect()}
+    # Blank lines beside a repeated run go as far as they repeat.
+    assert [got[i].text for i in range(3)] == [texts[0], "own\nother", ""]
+    assert [got[i].was for i in range(3)] == [400_005, 200_007, 5]
+    assert [got[i].gone for i in range(3)] == [0, 200_005, 5]
+    short = [(i, t.replace(blank, "\n\n\n")) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(short, "doc_id long, text string")
+    got = {r.doc_id: r.text for r in line_dedup.deduplicated(docs).collect()}
+    assert got == dict(brute.without_later_runs(short, 50))
+
+
 @pytest.mark.parametrize("paired", [2, 64])
 def test_near_duplicates(spark, docs, none, paired, monkeypatch):
     monkeypatch.setattr(simhash, "PAIRED", paired)

@@ -2,7 +2,7 @@
 
 Lines are equal if they have the same words. From every line a window runs forward,
 and to every line one runs backward, until it holds ``min_words`` words; the least
-line hash of a window is its fingerprint. Any run of lines with ``min_words`` words
+hash of a window's lines with words is its fingerprint. Any run of lines with ``min_words`` words
 holds a whole window, so two places that share the run share a fingerprint.
 
 Fingerprints that occur at two places are joined with their positions. Around them
@@ -45,6 +45,21 @@ def _run_hashes(values: np.ndarray, first: np.ndarray, last: np.ndarray, base: i
     return mixed((sums[last + 1] - sums[first]) * back[first] + size * GOLDEN)
 
 
+def _least_places(values: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Place of the least value from ``first`` to ``last``, the first of equal ones, by doubling."""
+    best, out = np.arange(len(values)), np.zeros(len(first), np.int64)
+    sizes = last - first + 1
+    span = 1
+    while span <= sizes.max(initial=0):
+        some = np.flatnonzero((sizes >= span) & (sizes < 2 * span))
+        a, b = best[first[some]], best[last[some] - span + 1]
+        out[some] = np.where(values[a] <= values[b], a, b)
+        a, b = best[:-span], best[span:]
+        best = np.where(values[a] <= values[b], a, b)
+        span *= 2
+    return out
+
+
 def _windows(batch: TextBatch, min_words: int) -> pa.StructArray:
     words = batch.words(SPACED_WORD, lower=False)
     breaks = np.flatnonzero(batch.bytes == 10)
@@ -80,13 +95,11 @@ def _windows(batch: TextBatch, min_words: int) -> pa.StructArray:
         _run_hashes(line, first, last, base)
         for line, base in zip(lines, (STEP, OTHER_STEP), strict=True)
     )
-    sizes = last - first + 1
-    inside = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    inside += np.repeat(first, sizes)
-    edges = np.cumsum(sizes) - sizes
-    mark = np.minimum.reduceat(lines[0][inside], edges) if len(edges) else lines[0][:0]
-    least = np.where(lines[0][inside] == np.repeat(mark, sizes), inside, np.iinfo(np.int64).max)
-    at = np.minimum.reduceat(least, edges) if len(edges) else first
+    # Lines without words are compared but cannot be marks, so a window's least hash is
+    # found among its few lines with words, however many others it spans.
+    rank = np.searchsorted(full, np.stack([first, last + 1]))
+    at = full[_least_places(lines[0][full], rank[0], rank[1] - 1)]
+    mark = lines[0][at]
     shift = bounds[text_of_line[first]] if n else first
     rows = pa.StructArray.from_arrays(
         [
@@ -208,10 +221,19 @@ def deduplicated(
         new = new.withColumn("n_chars", F.when(F.col(runs).isNull(), F.col("n_chars")).otherwise(size))
     if counted is None:
         return new.select(*documents.columns)
-    cut = F.coalesce(runs, F.array().cast(RUNS))
-    gone = F.flatten(F.transform(cut, lambda r: F.sequence(r["first"], r["last"])))
+    cut = F.array_sort(F.coalesce(runs, F.array().cast(RUNS)))
+    # Lines in any run, counted in order: the runs overlap and may be long.
+    gone = F.aggregate(
+        cut,
+        F.struct(F.lit(0).alias("n"), F.lit(-1).alias("upto")),
+        lambda s, r: F.struct(
+            (s["n"] + F.greatest(r["last"] - F.greatest(s["upto"], r["first"] - 1), F.lit(0))).alias("n"),
+            F.greatest(s["upto"], r["last"]).alias("upto"),
+        ),
+        lambda s: s["n"],
+    )
     return new.select(
         *documents.columns,
         F.col(n_lines).alias(counted[0]),
-        F.size(F.array_distinct(gone)).cast("long").alias(counted[1]),
+        gone.cast("long").alias(counted[1]),
     )
