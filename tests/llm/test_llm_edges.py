@@ -265,6 +265,55 @@ def test_licenses_contain_and_outrank(spark):
     assert got[2][1] == 200 and "cc-by-nc-sa" in got[0][5]
 
 
+GNU = "it under the terms of the GNU {} as published by the Free Software Foundation, either version {} of the License, or (at your option) any later version."
+CC = "This work is licensed under a Creative Commons {} 4.0 International License."
+NOTICES = [
+    (GNU.format("General Public License", 3), "gpl-3"),
+    (GNU.format("General Public License", 2), "gpl-2"),
+    (GNU.format("Lesser General Public License", 2.1), "lgpl-2.1"),
+    (GNU.format("Lesser General Public License", 3), "lgpl-3"),
+    (GNU.format("Affero General Public License", 3), "agpl-3"),
+    ("GNU GENERAL PUBLIC LICENSE\n   Version 2, June 1991", "gpl-2"),
+    ("GNU GENERAL PUBLIC LICENSE\nVersion 3, 29 June 2007", "gpl-3"),
+    ("GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999", "lgpl-2.1"),
+    ("GNU LIBRARY GENERAL PUBLIC LICENSE Version 2, June 1991", "lgpl-2"),
+    ("under version 2 of the GNU General Public License", "gpl-2"),
+    (CC.format("Attribution"), "cc-by"),
+    (CC.format("Attribution-ShareAlike"), "cc-by-sa"),
+    (CC.format("Attribution-NonCommercial"), "cc-by-nc"),
+    (CC.format("Attribution-NoDerivatives"), "cc-by-nd"),
+    (CC.format("Attribution-NonCommercial-ShareAlike"), "cc-by-nc-sa"),
+    (CC.format("Attribution-NonCommercial-NoDerivatives"), "cc-by-nc-nd"),
+    ("available under the Creative Commons Attribution-ShareAlike 3.0 Unported license", "cc-by-sa"),
+    ("https://creativecommons.org/licenses/by-nc-sa/4.0/", "cc-by-nc-sa"),
+    ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction", "mit"),
+    ("Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License.", "apache-2"),
+    ("Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS", "apache-2"),
+    ("Redistribution and use in source and binary forms, with or without modification, are permitted", "bsd"),
+    ("Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.", "bsd-3"),
+    ("All advertising materials mentioning features or use of this software must display the following acknowledgement", "bsd-4"),
+    ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.", "isc"),
+    ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "mpl-2"),
+    ("This is free and unencumbered software released into the public domain.", "unlicense"),
+    ("Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software.", "zlib"),
+    ("Distributed under the Boost Software License, Version 1.0.", "boost"),
+    ("This Font Software is licensed under the SIL Open Font License, Version 1.1.", "ofl"),
+    ("it is free software; the same terms apply: under the same terms as Perl itself", "perl"),
+    ("CC0 1.0 Universal", "cc0"),
+    ("SPDX-License-Identifier: PSF-2.0", "python"),
+    ("MIT-licensed, or GPL-3.0-or-later", "gpl-3,mit"),
+    ("the general public may license its version of a permit, in 2 parts", ""),
+]
+
+
+def test_standard_license_notices(spark):
+    rules = licenses.rules()
+    texts = [(i, t) for i, (t, _) in enumerate(NOTICES)]
+    got = {r.doc_id: r for r in licenses.scan(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    assert {t: got[i].labels for i, t in texts} == dict(NOTICES)
+    assert {i: tuple(got[i])[1:] for i, _ in texts} == {i: brute.license_scan(t, rules) for i, t in texts}
+
+
 def test_models(spark, docs, none):
     labels = spark.createDataFrame([(5, 1, 0), (None, 0, 1), (3, None, None)], "doc_id long, quality int, toxic int")
     for table in (docs, none):

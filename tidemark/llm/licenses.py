@@ -8,17 +8,20 @@ priority contains it (of equal intervals the first rule's stays); base phrases a
 stay. Intervals are rows, so a text with many detections is sorted, not compared
 pairwise, and only ids and numbers are shuffled.
 
-The rules are the names of ``FAMILIES`` in each of the phrasings of ``PHRASES``.
+The rules are the base phrases, the names of ``FAMILIES`` in each of the phrasings of
+``PHRASES``, the notices, and the signatures of ``signatures``, which are written by hand.
 """
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.shared import ready, same, settle, text_key, text_of
+from tidemark.llm.signatures import KINDS, SIGNATURES
 
 #: Phrases whose places are counted, and their labels.
 BASE = {
@@ -46,7 +49,7 @@ FAMILIES = {
     "lgpl-2.1": ("lgpl", "(?:gnu )?lgpl(?: version)? v?2(?: [01])?", "lgpl 2 1(?: only| or later)?"),
     "lgpl-2.1+": (
         "general public",
-        "(?:gnu )?(?:lesser|library) general public license(?: version)? v?2(?: [01])?",
+        "(?:gnu )?lesser general public license(?: version)? v?2(?: [01])?",
         "lgplv2",
     ),
     "lgpl-3": ("lgpl", "(?:gnu )?lgpl(?: version)? v?3(?: 0)?", "lgpl 3 0(?: only| or later)?"),
@@ -85,6 +88,9 @@ FAMILIES = {
     "cc-by-nd": ("cc by nd", "cc by nd(?: [1234] [05])?", "cc by nd [1234] [05]"),
     "cc-by-nc": ("cc by nc", "cc by nc(?: [1234] [05])?", "cc by nc [1234] [05]"),
     "cc-by-nc+": ("creative commons", "creative commons attribution non ?commercial(?: [1234] [05])?", "ccbync"),
+    "cc-by-nd+": ("creative commons", "creative commons attribution no ?deriv(?:ative)?s?(?: [1234] [05])?", "ccbynd"),
+    "cc-by-nc-sa+": ("creative commons", "creative commons attribution non ?commercial share ?alike(?: [1234] [05])?", "ccbyncsa"),
+    "cc-by-nc-nd+": ("creative commons", "creative commons attribution non ?commercial no ?deriv(?:ative)?s?(?: [1234] [05])?", "ccbyncnd"),
     "cc-by-nc-sa": ("cc by nc sa", "cc by nc sa(?: [1234] [05])?", "cc by nc sa [1234] [05]"),
     "cc-by-nc-nd": ("cc by nc nd", "cc by nc nd(?: [1234] [05])?", "cc by nc nd [1234] [05]"),
     "unlicense": ("unlicense", "unlicense", "unlicense"),
@@ -114,10 +120,10 @@ FAMILIES = {
 #: (priority, score, expression with NAME or ID): smaller priorities win.
 PHRASES = (
     (1, 1.0, "spdx licen[cs]e identifier ID"),
-    (2, 0.95, "licen[cs]ed (?:to you )?under (?:the )?(?:terms of )?(?:the )?NAME(?: licen[cs]e)?"),
-    (2, 0.95, "(?:released|distributed|available|published|provided|dedicated) (?:under|to|into) (?:the )?(?:terms of )?(?:the )?NAME(?: licen[cs]e)?"),
-    (3, 0.9, "(?:terms|conditions) of (?:the )?NAME(?: licen[cs]e)?"),
-    (3, 0.85, "(?:subject to|governed by|under) (?:the )?NAME licen[cs]e"),
+    (2, 0.95, "licen[cs]ed (?:to you )?under (?:(?:the|a|an|this) )?(?:terms of )?(?:(?:the|a|an|this) )?NAME(?: licen[cs]e)?"),
+    (2, 0.95, "(?:released|distributed|available|published|provided|dedicated) (?:under|to|into) (?:(?:the|a|an|this) )?(?:terms of )?(?:(?:the|a|an|this) )?NAME(?: licen[cs]e)?"),
+    (3, 0.9, "(?:terms|conditions) of (?:(?:the|a|an|this) )?NAME(?: licen[cs]e)?"),
+    (3, 0.85, "(?:subject to|governed by|under) (?:(?:the|a|an|this) )?NAME licen[cs]e"),
     (3, 0.85, "dual licen[cs]ed (?:under )?(?:the )?NAME(?: licen[cs]e)?"),
     (4, 0.8, "NAME licen[cs]e"),
 )
@@ -131,7 +137,11 @@ NOTICES = (
 
 PRIORITIES = (1, 2, 3, 4)
 
-#: Every phrasing holds one of these words, every name its keyword.
+#: Keyword of the phrase with an identifier, which need not hold the name's.
+SPDX = "spdx licen"
+
+#: Every phrasing holds one of these words, every name its keyword. A signature whose
+#: keyword holds none of them is looked for by its keyword alone.
 VERBS = (
     "licen[cs]e|released|distributed|available|published|provided|dedicated|terms|conditions"
 )
@@ -156,8 +166,14 @@ def rules() -> list[Rule]:
     for name, (keyword, pattern, identifier) in FAMILIES.items():
         for priority, score, phrase in PHRASES:
             text = phrase.replace("NAME", pattern).replace("ID", identifier)
-            found.append((name.removesuffix("+"), keyword, text, priority, score))
+            own = SPDX if phrase.endswith(" ID") else keyword
+            found.append((name.removesuffix("+"), own, text, priority, score))
     found += [(label, kw, text, p, s) for label, kw, text, p, s in NOTICES]
+    found += [
+        (label, kw, text, *KINDS[kind])
+        for label, signatures in SIGNATURES.items()
+        for kw, text, kind in signatures
+    ]
     return [
         Rule(i, label, kw, f"(?<= )(?:{text})(?= )", priority, score)
         for i, (label, kw, text, priority, score) in enumerate(found)
@@ -170,9 +186,12 @@ def _gate(text: Column) -> Column:
     def spelled(phrases: set[str]) -> str:
         return "|".join(sorted(p.replace(" ", GAP) for p in phrases))
 
-    names = spelled({keyword for keyword, _, _ in FAMILIES.values()})
+    own = {keyword for signatures in SIGNATURES.values() for keyword, _, _ in signatures}
+    worded = {keyword for keyword in own if re.search(VERBS, keyword)}
+    names = spelled({keyword for keyword, _, _ in FAMILIES.values()} | worded | {SPDX})
     notices = spelled({keyword for _, keyword, _, _, _ in NOTICES} | {"cc by nc"})
-    return text.rlike(notices) | (text.rlike(VERBS) & text.rlike(names))
+    bare = f"(?<![0-9a-z])(?:{spelled(own - worded)})"
+    return text.rlike(notices) | (text.rlike(VERBS) & text.rlike(names)) | text.rlike(bare)
 
 
 def _spaces(text: Column) -> Column:
