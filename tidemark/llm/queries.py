@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
+    collocations,
     decontaminate,
     huffman,
     language,
@@ -114,6 +115,12 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(load(spark, sf_dir, "documents"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ready(spark)
+    frequent, totals = collocations.frequent_phrases(load(spark, sf_dir, "documents"))
+    return collocations.ranked(collocations.collocations(frequent), totals)
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_pack": op2_pack,
@@ -125,6 +132,7 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_simhash": op9_simhash,
     "op10_licenses": op10_licenses,
+    "op12_collocations": op12_collocations,
 }
 
 OP1_SQL = r"""
@@ -194,8 +202,45 @@ SELECT d.doc_id, CASE WHEN d.text IS NOT NULL THEN coalesce(k.text, '') END AS t
 FROM documents d JOIN k USING (doc_id)
 """
 
+OP12_SQL = r"""
+WITH p AS (
+  SELECT row_number() OVER () AS r, lang, piece FROM (
+    SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM p),
+g AS MATERIALIZED (
+  SELECT lang, size, phrase, count(*) AS f FROM (
+    SELECT lang, size, array_to_string(words[i : i + size - 1], ' ') AS phrase FROM (
+      SELECT *, unnest(range(1, len(words) - size + 2)) AS i
+      FROM w, (SELECT unnest([1, 2, 3]) AS size)))
+  GROUP BY ALL),
+n AS (SELECT lang, sum(f)::BIGINT AS n FROM g WHERE size = 1 GROUP BY lang),
+c AS (SELECT *, string_split(phrase, ' ') AS words FROM g WHERE size > 1 AND f >= 10),
+e AS MATERIALIZED (
+  SELECT lang, phrase, f AS a, k, array_to_string(words[1 : k], ' ') AS head,
+    array_to_string(words[k + 1 : size], ' ') AS tail
+  FROM (SELECT *, unnest(range(1, size)) AS k FROM c)),
+k AS (
+  SELECT e.lang, e.phrase, a, k, x.f AS l, y.f AS r,
+    (1000000::HUGEINT * a * a) // (x.f::HUGEINT * y.f) AS score
+  FROM e JOIN g x ON x.lang = e.lang AND x.phrase = head JOIN g y ON y.lang = e.lang AND y.phrase = tail),
+s AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS nth FROM k),
+o AS (
+  SELECT lang, part, max(f) AS f FROM (
+    SELECT lang, f, unnest([array_to_string(words[1 : 2], ' '), array_to_string(words[2 : 3], ' ')]) AS part
+    FROM c WHERE size = 3) GROUP BY ALL),
+z AS (
+  SELECT s.*, row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, a DESC, phrase) AS rank
+  FROM s LEFT JOIN o ON o.lang = s.lang AND o.part = s.phrase
+  WHERE nth = 1 AND (o.f IS NULL OR 100 * o.f < 50 * a))
+SELECT z.lang, rank::BIGINT AS rank, phrase, a, l, r, n, score::BIGINT AS score
+FROM z JOIN n USING (lang) WHERE rank <= 2000
+"""
+
 ORACLES = {
     "op1_decontaminate": OP1_SQL,
     "op3_warc": OP3_SQL,
     "op8_line_dedup": OP8_SQL,
+    "op12_collocations": OP12_SQL,
 }
