@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +17,7 @@ from tidemark.llm import (
     line_dedup,
     packing,
     quality,
+    secrets,
     simhash,
     toxicity,
     warc,
@@ -115,6 +118,17 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(load(spark, sf_dir, "documents"))
 
 
+def op11_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ready(spark)
+    found = secrets.scan(load(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        *[secrets.count_of("base", kind).alias(f"n_{kind}") for kind in secrets.BASE],
+        F.sha2(secrets.listed("base"), 256).alias("base_sha256"),
+        secrets.listed("spans").alias("spans"),
+    )
+
+
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     ready(spark)
     frequent, totals = collocations.frequent_phrases(load(spark, sf_dir, "documents"))
@@ -132,6 +146,7 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_simhash": op9_simhash,
     "op10_licenses": op10_licenses,
+    "op11_secrets": op11_secrets,
     "op12_collocations": op12_collocations,
 }
 
@@ -202,6 +217,81 @@ SELECT d.doc_id, CASE WHEN d.text IS NOT NULL THEN coalesce(k.text, '') END AS t
 FROM documents d JOIN k USING (doc_id)
 """
 
+def _any_case(pattern: str) -> str:
+    """The pattern with both cases of each letter outside brackets and groups' marks."""
+    classes = re.split(r"(\[[^\]]*\]|\\.|\(\?:)", pattern)
+    return "".join(
+        x if i % 2 else re.sub("[a-z]", lambda m: f"[{m[0].upper()}{m[0]}]", x)
+        for i, x in enumerate(classes)
+    )
+
+
+def _places(kind: str, pattern: str, where: str = "true") -> str:
+    """SQL for the matches of a pattern: ``r, kind, m, b, e``."""
+    p = pattern.replace("'", "''")
+    return f"""
+  SELECT r, '{kind}' AS kind, m, upto - len(m) AS b, upto AS e FROM (
+    SELECT r, m, sum(len(m) + len(gap)) OVER (PARTITION BY r ORDER BY i) AS upto FROM (
+      SELECT r, unnest(ms) AS m, unnest(gaps[1:len(ms)]) AS gap, generate_subscripts(ms, 1) AS i FROM (
+        SELECT r, regexp_extract_all(text, '{p}') AS ms, string_split_regex(text, '{p}') AS gaps FROM d)))
+  WHERE {where}"""
+
+
+def _secrets_sql() -> str:
+    assign, inside = _any_case(secrets.ASSIGN), _any_case(secrets.ASSIGN).replace("'", "''")
+    value = f"len(regexp_extract(m, '{inside}', 2))"
+    user = secrets.USERINFO.replace("'", "''")
+    mixed = " AND ".join(f"regexp_matches(m, '{c}')" for c in ("[0-9]", "[a-z]", "[A-Z]"))
+    return f"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+a AS MATERIALIZED ({_places("assign", assign)}),
+base AS MATERIALIZED (
+  SELECT * FROM a WHERE {value} >= 12
+  UNION ALL {_places("access", secrets.ACCESS, "len(m) >= 18")}
+  UNION ALL {_places("hex", secrets.HEX, "len(m) >= 16")}),
+u AS MATERIALIZED ({_places("user", secrets.USERINFO)}),
+weak AS MATERIALIZED (
+  SELECT DISTINCT r, kind, b, e FROM (
+    SELECT r, 'secret' AS kind, b, e FROM a WHERE {value} BETWEEN 4 AND 11
+    UNION ALL SELECT r, kind, b, e FROM ({_places("secret", _any_case(secrets.LABELLED))})
+    UNION ALL SELECT r, kind, b, e FROM ({_places("secret", secrets.MIXED, mixed)})
+    UNION ALL SELECT r, kind, b, e FROM ({_places("identifier", _any_case(secrets.NAMED))})
+    UNION ALL SELECT r, 'identifier', b + 3, b + 3 + len(regexp_extract(m, '{user}', 1)) FROM u
+    UNION ALL SELECT r, 'secret', e - 1 - len(regexp_extract(m, '{user}', 2)), e - 1 FROM u) AS w
+  WHERE NOT EXISTS (SELECT 1 FROM base x WHERE x.r = w.r AND x.b < w.e AND x.e > w.b)
+  UNION SELECT r, kind, b, e FROM ({_places("endpoint", secrets.URL)})
+  UNION SELECT r, kind, b, e FROM ({_places("endpoint", _any_case(secrets.HOST))})),
+parts AS (
+  SELECT r, kind, b, e, CASE WHEN kind = 'assign' THEN 'secret' WHEN kind = 'access' THEN 'identifier'
+    WHEN len(m) >= 32 THEN 'secret' ELSE '' END AS role FROM base
+  UNION ALL SELECT r, kind, b, e, kind FROM weak),
+breaks AS MATERIALIZED ({_places("blank", secrets.BLANK_LINE)}),
+scoped AS MATERIALIZED (
+  SELECT p.r, p.kind, p.b, p.e, p.role, count(k.r) AS scope FROM parts p LEFT JOIN breaks k ON k.r = p.r AND k.b <= p.b
+  GROUP BY ALL),
+near AS MATERIALIZED (
+  SELECT x.r, x.kind, x.b, x.e, x.role, y.role AS other FROM scoped x JOIN scoped y
+  ON x.r = y.r AND x.scope = y.scope AND x.role <> y.role AND x.role <> '' AND y.role <> ''
+    AND x.b - y.e <= 200 AND y.b - x.e <= 200 AND (x.b <> y.b OR x.e <> y.e)),
+told AS (
+  SELECT DISTINCT r, kind, b, e FROM near
+  WHERE kind = 'identifier' AND other = 'secret' OR kind = 'secret' AND other = 'identifier'
+  UNION SELECT r, kind, b, e FROM near WHERE kind = 'endpoint' GROUP BY ALL HAVING count(DISTINCT other) = 2),
+every AS (
+  SELECT r, kind, b, e, true AS own FROM base UNION ALL SELECT r, kind, b, e, false FROM told),
+t AS (
+  SELECT r, concat(kind, ':', b, ':', e) AS span, kind, own, row_number() OVER (PARTITION BY r ORDER BY b,
+    list_position(['assign', 'access', 'hex', 'identifier', 'secret', 'endpoint'], kind), e) AS nth FROM every),
+l AS (
+  SELECT r, count(*) FILTER (WHERE kind = 'assign') AS n_assign, count(*) FILTER (WHERE kind = 'access') AS n_access,
+    count(*) FILTER (WHERE kind = 'hex') AS n_hex, string_agg(span, ',' ORDER BY nth) FILTER (WHERE own) AS base,
+    string_agg(span, ',' ORDER BY nth) AS spans FROM t GROUP BY r)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN l USING (r)
+"""
+
+
 OP12_SQL = r"""
 WITH p AS (
   SELECT row_number() OVER () AS r, lang, piece FROM (
@@ -242,5 +332,6 @@ ORACLES = {
     "op1_decontaminate": OP1_SQL,
     "op3_warc": OP3_SQL,
     "op8_line_dedup": OP8_SQL,
+    "op11_secrets": _secrets_sql(),
     "op12_collocations": OP12_SQL,
 }
