@@ -16,6 +16,7 @@ Only words and active phrases leave a worker, as counts over a block of text.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -61,6 +62,10 @@ class Reached:
         table = self.steps.setdefault(size, np.full(self.slots, NEVER, np.uint8))
         table[at[table[at] == NEVER]] = step
 
+    def packed(self) -> dict[int, bytes]:
+        """The tables for the workers: at most ``slots`` bytes a length."""
+        return {size: zlib.compress(t, 1) for size, t in self.steps.items()}
+
     def last(self) -> int:
         """The last step at which a slot was reached, -1 if none was."""
         known = [t[t != NEVER] for t in self.steps.values()]
@@ -194,6 +199,7 @@ class _Block:
 
 def _counter(step: int, shards: int, longest: int, known, block: int):
     """Map function: texts to phrase counts of consecutive blocks."""
+    reached = {}
 
     def flush(texts: list, langs: list) -> Iterator[pa.RecordBatch]:
         every = pa.concat_arrays(langs).fill_null(NO_LANGUAGE).dictionary_encode()
@@ -207,10 +213,12 @@ def _counter(step: int, shards: int, longest: int, known, block: int):
             end = int(np.searchsorted(offsets, offsets[at] + block, side="right")) - 1
             end = max(end, at + 1)
             some = _Block(parts.slice(at, end - at), codes[at:end], names)
-            yield from some.counts(step, shards, longest, known.value)
+            yield from some.counts(step, shards, longest, reached)
             at = end
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for size, table in known.value.items():
+            reached[size] = np.frombuffer(zlib.decompress(table), np.uint8)
         texts, langs, held = [], [], 0
         for b in batches:
             if not b.num_rows:
@@ -276,7 +284,7 @@ def frequent_phrases(
     reached = Reached(slots)
     carried, found, step = None, [], 0
     while step < shards or step <= reached.last() + shards:
-        known = context.broadcast(reached.steps)  # ``slots`` bytes a length
+        known = context.broadcast(reached.packed())
         part = texts.where(F.col("shard") == step % shards).select("lang", "text")
         counts = part.mapInArrow(_counter(step, shards, longest, known, block), COUNTS)
         if carried is not None:
@@ -290,7 +298,7 @@ def frequent_phrases(
             reached.note(size, at, step)
         found.append(counted.where(F.col("start") + shards == step + 1))
         carried = counted.where(F.col("start") + shards > step + 1)
-        known.unpersist()
+        known.destroy(blocking=True)  # this step's counts are written
         step += 1
     every = found[shards - 1].where(F.col("size") == 1)
     totals = every.groupBy("lang").agg(F.sum("n").alias("n"))
