@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import (
     collocations,
+    conversations,
     decontaminate,
     huffman,
     language,
@@ -135,6 +136,11 @@ def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.ranked(collocations.collocations(frequent), totals)
 
 
+def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ready(spark)
+    return conversations.audited(load(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_pack": op2_pack,
@@ -148,6 +154,7 @@ QUERIES = {
     "op10_licenses": op10_licenses,
     "op11_secrets": op11_secrets,
     "op12_collocations": op12_collocations,
+    "op13_conversations": op13_conversations,
 }
 
 OP1_SQL = r"""
