@@ -60,7 +60,7 @@ class Reached:
 
     def note(self, size: int, at: np.ndarray, step: int) -> None:
         table = self.steps.setdefault(size, np.full(self.slots, NEVER, np.uint8))
-        table[at[table[at] == NEVER]] = step
+        table[at & (table == NEVER)] = step
 
     def packed(self) -> dict[int, bytes]:
         """The tables for the workers: at most ``slots`` bytes a length."""
@@ -236,8 +236,8 @@ def _counter(step: int, shards: int, longest: int, known, block: int):
 
 
 def _newly(rows: DataFrame, longest: int, slots: int) -> dict[int, np.ndarray]:
-    """Slots of the phrases in ``rows`` by length: at most ``slots / 64`` rows a length
-    reach the driver."""
+    """By length, a mask of the slots of the phrases in ``rows``: at most ``slots / 64``
+    rows a length reach the driver."""
     at = slot("lang", "phrase", slots)
     bits = (
         rows.where(F.col("size") < longest)
@@ -246,12 +246,11 @@ def _newly(rows: DataFrame, longest: int, slots: int) -> dict[int, np.ndarray]:
         .agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63L as int))")).alias("set"))
         .toPandas()
     )
-    low = np.arange(64, dtype=np.uint64)
     out = {}
     for size, some in bits.groupby("size"):
-        words = some["set"].to_numpy(np.int64).view(np.uint64)
-        found = (words[:, None] >> low & np.uint64(1)).astype(bool)
-        out[int(size)] = (some["word"].to_numpy(np.int64)[:, None] * 64 + np.arange(64))[found]
+        words = np.zeros(slots // 64, "<u8")
+        words[some["word"].to_numpy(np.int64)] = some["set"].to_numpy(np.int64).view(np.uint64)
+        out[int(size)] = np.unpackbits(words.view(np.uint8), bitorder="little").view(bool)
     return out
 
 
