@@ -33,7 +33,7 @@ from tidemark.session import scratch_path
 
 AT_LEAST = 10
 LONGEST = 3
-SHARDS = 4
+SHARDS = 2
 NO_LANGUAGE = "und"
 #: Slots of the table of reached phrases, for each length: its bytes.
 SLOTS = 1 << 24
@@ -47,7 +47,10 @@ BORDER[[ord(c) for c in ".,;:!?\n\v\f\r"]] = True
 WORD = ~BORDER
 WORD[[32, 9]] = False
 
-COUNTS = "lang string, size int, phrase string, n long, start int"
+#: A count's key: phrase, language and the step at which its cycle starts, between tabs,
+#: which no word holds. One string takes less room in a shuffle than columns do. The empty
+#: phrase stands for all word occurrences of a language.
+COUNTS = "key string, n long"
 SHARDED = "lang string, text string, shard int"
 
 
@@ -76,14 +79,27 @@ def _folded(before: Column, word: Column) -> Column:
     return F.shiftrightunsigned(before, 20).bitwiseXOR(word)
 
 
-def slot(lang: str, phrase: str, slots: int = SLOTS) -> Column:
+def slot(lang: str, words: str, slots: int = SLOTS) -> Column:
     """The hash slot of a phrase: its word hashes, folded."""
-    words = F.split(phrase, " ")
     one = F.lit(0).cast("long")
     every = F.aggregate(words, one, lambda h, w: _folded(h, F.xxhash64(F.col(lang), w)))
     return every.bitwiseAND(F.lit(slots - 1))
 
 
+def _read(counted: DataFrame) -> DataFrame:
+    """Counts with their keys in parts: ``lang, size, phrase, words, n, start``."""
+    phrase = F.substring_index("key", "\t", 1)
+    last = F.length(F.substring_index("key", "\t", -1))
+    size = F.length("key") - F.length(phrase) - last - 2
+    lang = F.substr("key", F.length(phrase) + 2, size)
+    rows = counted.select(phrase.alias("phrase"), lang.alias("lang"), _start().alias("start"), "n")
+    return rows.withColumn("words", F.split("phrase", " ")).withColumn("size", F.size("words"))
+
+
+def _start() -> Column:
+    return F.substring_index("key", "\t", -1).cast("int")
+
+
 def _cut(texts: pa.Array, langs: np.ndarray, most: int) -> tuple[pa.Array, np.ndarray]:
     """Texts longer than ``most`` bytes in parts that end with a piece."""
     offsets = text_offsets(texts)
@@ -128,7 +144,7 @@ class _Block:
             return
         codes, different = words.codes()
         rows = words.rows()
-        pieces = np.cumsum(BORDER[batch.bytes])[words.starts]
+        pieces = np.searchsorted(np.flatnonzero(BORDER[batch.bytes]), words.starts)
         #: Words that the next one follows within the piece.
         self.joined = (rows[1:] == rows[:-1]) & (pieces[1:] == pieces[:-1])
         self.ids, keys = _encoded(langs[rows] * len(different) + codes)
@@ -148,19 +164,21 @@ class _Block:
         """Counts of phrases: ``ids`` numbers them, ``parts`` are their words."""
         first = np.full(int(ids.max()) + 1 if len(ids) else 0, -1, dtype=np.int64)
         first[ids[::-1]] = np.arange(len(ids))[::-1]
+        counts = np.bincount(ids, minlength=len(first))
+        order = np.argsort(parts[0][first], kind="stable")  # equal beginnings side by side
+        first = first[order]
         words = [self.words.take(pa.array(p[first])) for p in parts]
         phrase = words[0] if len(words) == 1 else pc.binary_join_element_wise(*words, b" ")
-        names = pa.array(self.names, pa.string())
-        return pa.RecordBatch.from_arrays(
-            [
-                names.take(pa.array(self.langs[parts[0][first]])),
-                pa.array(np.full(len(first), len(parts), np.int32)),
-                phrase.cast(pa.string()),
-                pa.array(np.bincount(ids, minlength=len(first))),
-                pa.array(start[first].astype(np.int32)),
-            ],
-            names=["lang", "size", "phrase", "n", "start"],
-        )
+        cycle = self.langs[parts[0][first]] * 256 + start[first]
+        cycles, which = np.unique(cycle, return_inverse=True)
+        ends = pa.array([f"{self.names[c >> 8]}\t{c & 255}".encode() for c in cycles.tolist()], pa.binary())
+        key = pc.binary_join_element_wise(phrase, ends.take(pa.array(which)), b"\t")
+        return pa.RecordBatch.from_arrays([key.cast(pa.string()), pa.array(counts[order])], names=["key", "n"])
+
+    def occurrences(self) -> pa.RecordBatch:
+        counts = np.bincount(self.langs[self.ids], minlength=len(self.names))
+        keys = pa.array([f"\t{name}\t0" for name in self.names], pa.string())
+        return pa.RecordBatch.from_arrays([keys, pa.array(counts)], names=["key", "n"])
 
     def counts(
         self, step: int, shards: int, longest: int, reached: dict[int, np.ndarray]
@@ -169,6 +187,7 @@ class _Block:
         if not self.n:
             return
         if step < shards:
+            yield self.occurrences()
             yield self.counted(self.ids, [self.ids], np.zeros(self.n, np.int64))
         at = np.arange(self.n)  # where phrases of the length before start
         folded = self.hashes[self.ids]
@@ -238,9 +257,9 @@ def _counter(step: int, shards: int, longest: int, known, block: int):
 def _newly(rows: DataFrame, longest: int, slots: int) -> dict[int, np.ndarray]:
     """By length, a mask of the slots of the phrases in ``rows``: at most ``slots / 64``
     rows a length reach the driver."""
-    at = slot("lang", "phrase", slots)
+    at = slot("lang", "words", slots)
     bits = (
-        rows.where(F.col("size") < longest)
+        _read(rows).where(F.col("size") < longest)
         .select("size", at.alias("at"))
         .groupBy("size", F.shiftright("at", 6).alias("word"))
         .agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63L as int))")).alias("set"))
@@ -288,24 +307,23 @@ def frequent_phrases(
         counts = part.mapInArrow(_counter(step, shards, longest, known, block), COUNTS)
         if carried is not None:
             counts = counts.unionByName(carried)
-        sums = counts.groupBy("lang", "size", "phrase").agg(
-            F.sum("n").alias("n"), F.min("start").cast("int").alias("start")
-        )
-        counted = settle(sums, f"phrases-{step}")
-        enough = counted.where(F.col("n") >= at_least)
-        for size, at in _newly(enough, longest, slots).items():
+        sums = counts.groupBy("key").agg(F.sum("n").alias("n"))
+        # Of the phrases that complete their cycle now, only the frequent ones stay on.
+        open_ = _start() + shards > step + 1
+        kept = sums.where(open_ | (F.col("n") >= at_least) | F.col("key").startswith("\t"))
+        counted = settle(kept, f"phrases-{step}")
+        for size, at in _newly(counted.where(F.col("n") >= at_least), longest, slots).items():
             reached.note(size, at, step)
-        found.append(counted.where(F.col("start") + shards == step + 1))
-        carried = counted.where(F.col("start") + shards > step + 1)
+        found.append(counted.where(_start() + shards == step + 1))
+        carried = counted.where(open_)
         known.destroy(blocking=True)  # this step's counts are written
         step += 1
-    every = found[shards - 1].where(F.col("size") == 1)
-    totals = every.groupBy("lang").agg(F.sum("n").alias("n"))
-    complete = found[shards - 1]
-    for more in found[shards:]:
+    complete = found[0]
+    for more in found[1:]:
         complete = complete.unionByName(more)
-    frequent = complete.where(F.col("n") >= at_least).select("lang", "size", "phrase", "n")
-    return settle(frequent, "frequent-phrases"), totals
+    every = settle(_read(complete).select("lang", "size", "phrase", "n"), "frequent-phrases")
+    worded = F.col("phrase") != ""
+    return every.where(worded), every.where(~worded & (F.col("n") > 0)).select("lang", "n")
 
 
 def _exact(name: str) -> Column:
