@@ -7,7 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.ordered import Neighbour, Running, neighbours, running
+from tidemark.operators.ordered import (
+    Neighbour,
+    Running,
+    hot_keys,
+    neighbours,
+    running,
+    settle,
+)
 from tidemark.operators.skew import DEFAULT_POLICY, HotKeys, SkewPolicy
 
 
@@ -118,3 +125,39 @@ def changelog(
         .select(*keys, *order, F.explode(changes).alias("_c"))
         .select(*keys, *order, "_c.*")
     )
+
+
+def top_changelog(
+    df: DataFrame,
+    keys: list[str],
+    order: Sequence[str],
+    value: str,
+    n: int,
+    *,
+    hot: HotKeys | None = None,
+    policy: SkewPolicy = DEFAULT_POLICY,
+) -> DataFrame:
+    """Remove-old and add-new rows for the changed places of each key's ``n`` greatest values.
+
+    Equal values are kept, nulls change nothing. The greatest value so far is a running
+    maximum; what it leaves behind, the lesser of a value and the maximum before it, has
+    the second as its running maximum, and so on. Output: keys, order columns, ``is_add``,
+    ``value`` and ``rank``.
+    """
+    rows = df.filter(F.col(value).isNotNull()).withColumn("_left_0", F.col(value))
+    hot = hot_keys(rows, keys, order, hot, policy)
+    for i in range(n):
+        place = Running(f"_top_{i}", "max", F.col(f"_left_{i}"), previous=f"_was_{i}")
+        rows = running(rows, keys, order, [place], hot=hot, policy=policy)
+        # Nothing is left behind until there was a greatest value.
+        left = F.when(F.col(f"_was_{i}").isNotNull(), F.least(f"_left_{i}", f"_was_{i}"))
+        rows = settle(rows.withColumn(f"_left_{i + 1}", left), hot)
+    changes = []
+    for i in range(n):
+        old, new = F.col(f"_was_{i}"), F.col(f"_top_{i}")
+        changed = new.isNotNull() & ~new.eqNullSafe(old)
+        for wanted, is_add, own in ((changed & old.isNotNull(), False, old), (changed, True, new)):
+            entry = F.struct(F.lit(is_add).alias("is_add"), own.alias("value"), F.lit(i + 1).alias("rank"))
+            changes.append(F.when(wanted, entry))
+    kept = F.filter(F.array(*changes), lambda c: c.isNotNull())
+    return rows.select(*keys, *order, F.explode(kept).alias("_c")).select(*keys, *order, "_c.*")

@@ -347,6 +347,15 @@ SELECT user_id, min(cents) AS lo, max(cents) AS hi FROM money GROUP BY user_id""
   SELECT user_id, cents, row_number() OVER (PARTITION BY user_id
                                             ORDER BY cents DESC, event_id) AS rank
   FROM money) SELECT * FROM r WHERE rank <= 2""",
+    "a15_top2_changelog": f"""WITH {MONEY}, v AS (
+  SELECT user_id, event_id, row_number() OVER w AS nth, list_reverse_sort(list(cents) OVER w)[1:2] AS top
+  FROM money WHERE cents IS NOT NULL
+  WINDOW w AS (PARTITION BY user_id ORDER BY us, event_id ROWS UNBOUNDED PRECEDING)),
+c AS (SELECT *, lag(top) OVER (PARTITION BY user_id ORDER BY nth) AS was FROM v),
+p AS (SELECT user_id, event_id, rank, top[rank] AS new, was[rank] AS old FROM c, (SELECT unnest([1, 2]) AS rank))
+SELECT user_id, event_id, true AS is_add, new AS cents, rank FROM p WHERE new IS NOT NULL AND new IS DISTINCT FROM old
+UNION ALL
+SELECT user_id, event_id, false, old, rank FROM p WHERE old IS NOT NULL AND new IS DISTINCT FROM old""",
     "a19_channel_counts": f"""WITH {BEHAVIOR}, marketing AS (
   SELECT CASE WHEN item_id % 2 = 0 THEN 'channel_even' ELSE 'channel_odd' END AS channel,
          behavior, us FROM behavior)
@@ -446,6 +455,9 @@ SELECT DISTINCT id, (us + 5000000) // 1000 AS fires_ms FROM sensor""",
     "st8_recon_stream": ORACLES["q13_recon_matched"],
     "st9_gate_stream": f"SELECT event_id, user_id FROM ({ORACLES['q15_gate']})",
     "st10_login_fail_stream": ORACLES["q11_login_fail_state"],
+    "st11_early_fire_stream": ORACLES["st11_early_fire"],
+    "st11b_uv_bitmap_stream": ORACLES["st11b_fire_each_element"],
+    "a15_top2_changelog_stream": ORACLES["a15_top2_changelog"],
     "st12_changelog_stream": ORACLES["st12_changelog"],
     "st13_late_rows_stream": f"""SELECT event_id,
        CASE lateness WHEN 'dropped' THEN 'late' ELSE 'on_time' END AS side

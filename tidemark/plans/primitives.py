@@ -272,6 +272,19 @@ def top_two(spark: SparkSession, d: str) -> DataFrame:
     return topn.top_values(rows, "user_id", "cents", 2, ["event_id"])
 
 
+def top_two_changes(spark: SparkSession, d: str) -> DataFrame:
+    rows = views.events(spark, d).select("user_id", "event_id", "ts", cents().alias("cents"))
+    out = rolling.top_changelog(rows, ["user_id"], BY_TIME, "cents", 2)
+    return out.select("user_id", "event_id", "is_add", F.col("value").alias("cents"), "rank")
+
+
+def visitors_sketched(spark: SparkSession, d: str) -> DataFrame:
+    """Sliding unique visitors from united sketches: an estimate, so without SQL."""
+    return distinct.sketched(
+        views.page_views(spark, d), "ts", "1 hour", "user_id", slide="5 minutes"
+    )
+
+
 def channel_counts(spark: SparkSession, d: str) -> DataFrame:
     """Per channel and behaviour, sliding windows as a stream would count them."""
     return windows.sliding_count(

@@ -81,7 +81,9 @@ PRIMITIVES: dict[str, Query] = {
     "a4_windowed_sum": p.windowed_sum,
     "a5_sliding_min": p.sliding_min,
     "a14_min_max_row": p.min_max_row,
+    "a12_uv_sketch_slide": p.visitors_sketched,
     "a15_top2": p.top_two,
+    "a15_top2_changelog": p.top_two_changes,
     "a19_channel_counts": p.channel_counts,
     "w4_busiest_users": p.rank_over_windows,
     "w5_hot_items_report": apps.hot_items_report,
@@ -112,6 +114,9 @@ STREAMS: dict[str, Query] = {
     "st8_recon_stream": streams.reconciled,
     "st9_gate_stream": streams.gate,
     "st10_login_fail_stream": streams.login_failures,
+    "st11_early_fire_stream": streams.early_fire,
+    "st11b_uv_bitmap_stream": streams.visitors_bitmap,
+    "a15_top2_changelog_stream": streams.top_two_changes,
     "st12_changelog_stream": streams.change_log,
     "st13_late_rows_stream": streams.late_rows,
     "k7_two_sinks_stream": streams.two_sinks,

@@ -12,6 +12,7 @@ from tidemark.sources.tables import load_table
 from tidemark.sinks.streams import fan_out_routed
 from tidemark.streaming import stateful
 from tidemark.streaming.late import batch_folders, split_late
+from tidemark.streaming.totals import running_totals
 from tidemark.streaming.run import drain, drain_batches, replay_events, replay_in_order
 
 WINDOW_END = windows.WINDOW_END
@@ -160,6 +161,36 @@ def change_log(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def top_two_changes(spark: SparkSession, d: str) -> DataFrame:
+    rows, finish = _events(spark, d)
+    cents = F.round(F.col("value") * 100).cast("long")
+    out = stateful.top_changelog(
+        rows.withColumn("cents", cents), "user_id", "ts", "event_id", "cents", 2
+    )
+    return _done(out, "top-two", finish).select(
+        "user_id", F.col("tie").alias("event_id"), "is_add", F.col("value").alias("cents"), "rank"
+    )
+
+
+def early_fire(spark: SparkSession, d: str) -> DataFrame:
+    rows, finish = _sensor(spark, d)
+    out = stateful.early_fire(rows, "id", "ts", "event_id", "1 day", "1 hour")
+    return _done(out, "early-fire", finish)
+
+
+def visitors_bitmap(spark: SparkSession, d: str) -> DataFrame:
+    """Unique visitors after each page view, from a bitmap in state and stored totals."""
+    rows, finish = _events(spark, d, views.PAGE_VIEW)
+    marks = stateful.bitmap_marks(rows, "ts", "event_id", "user_id", "1 hour")
+    path = scratch_path(spark, "visitors-bitmap")
+    count = running_totals(
+        path, ["ts_us", "tie"], F.col("fresh").cast("long"), "uv", at_us="ts_us"
+    )
+    drain_batches(stateful.results(marks), "visitors-bitmap", count, finish=finish)
+    rows = spark.read.parquet(f"{path}/rows")
+    return rows.select(F.col("tie").alias("event_id"), WINDOW_END, "uv")
+
+
 def hot_items(spark: SparkSession, d: str) -> DataFrame:
     """Streaming top three: windows rank in the micro-batch that closes them.
 

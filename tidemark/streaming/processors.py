@@ -470,3 +470,121 @@ class LateWindow(Keyed):
             self.s.update((n, True))
         if n and not fired:
             yield self.row(key[0], end, "first", n)
+
+
+class BitmapChunks(Emitting):
+    """Which rows set a bit of their window's map that no earlier row set.
+
+    Keys are (window end in milliseconds, part of the map). A part holds its bits in
+    chunks that come into being when a bit of theirs is set, and goes when the watermark
+    reaches the window's end.
+    """
+
+    CHUNK_BITS = 12
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.chunks = handle.getMapState("chunks", "chunk long", "bits binary")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        self.handle.registerTimer(key[0])
+        loaded: dict[int, bytearray] = {}
+        for r in in_order(rows):
+            chunk, place = divmod(r["bit"], 1 << self.CHUNK_BITS)
+            bits = loaded.get(chunk)
+            if bits is None:
+                if self.chunks.containsKey((chunk,)):
+                    bits = bytearray(self.chunks.getValue((chunk,))[0])
+                else:
+                    bits = bytearray(1 << (self.CHUNK_BITS - 3))
+                loaded[chunk] = bits
+            at, mask = place >> 3, 1 << (place & 7)
+            fresh = not bits[at] & mask
+            bits[at] |= mask
+            yield self.row(*key, r["_t"], r["_tie"], fresh)
+        for chunk, bits in loaded.items():
+            self.chunks.updateValue((chunk,), (bytes(bits),))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        if expiredTimerInfo.getExpiryTimeInMs() >= key[0]:
+            self.chunks.clear()
+        return iter(())
+
+
+class TopLog(Emitting):
+    """Remove-old and add-new rows for each place of a key's greatest values that changes.
+
+    The accumulator is a list of at most ``n`` values, equal ones kept; nulls change nothing.
+    """
+
+    def __init__(self, n: int):
+        self.n = n
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.top = handle.getListState("top", "value long")
+
+    @staticmethod
+    def merged(some: list[int], more: list[int], n: int) -> list[int]:
+        return sorted([*some, *more], reverse=True)[:n]
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        kept = [r[0] for r in self.top.get()]
+        for r in in_order(rows):
+            if r["value"] is None:
+                continue
+            new = self.merged(kept, [r["value"]], self.n)
+            for i, value in enumerate(new):
+                if i < len(kept) and kept[i] == value:
+                    continue
+                if i < len(kept):
+                    yield self.row(key[0], r["_tie"], False, kept[i], i + 1)
+                yield self.row(key[0], r["_tie"], True, value, i + 1)
+            kept = new
+        self.top.put([(v,) for v in kept])
+
+
+class EarlyFire(Keyed):
+    """Count of one (key, window) at each boundary after its first row and at its end.
+
+    The first row sets a timer for each boundary, so that boundaries and waiting rows come
+    in order of time even when the watermark passes several at once; the last one purges
+    the state. A row at a boundary belongs to what follows it.
+    """
+
+    state_schema = "n long, due_us long"
+
+    def __init__(self, every_us: int):
+        self.every = every_us
+
+    def _fire(self, key, n: int, due: int, until: int) -> tuple[list[Row], int]:
+        """Results of the boundaries from ``due`` to ``until``, and the next boundary."""
+        end, out = key[1] * 1000, []
+        while due <= min(until, end):
+            out.append(self.row(*key, due // 1000, n))
+            due = min(due + self.every, end) if due < end else end + 1
+        return out, due
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        n, due = self.load(0, 0)
+        end = key[1] * 1000
+        for r in in_order(rows):
+            if n == 0:
+                due = min((r["_t"] // self.every + 1) * self.every, end)
+                for at in [*range(due, end, self.every), end]:
+                    self.handle.registerTimer(timer_ms(at))
+            out, due = self._fire(key, n, due, r["_t"])
+            yield from out
+            n += 1
+        self.s.update((n, due))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        n, due = self.load(0, 0)
+        if n == 0:
+            return
+        out, due = self._fire(key, n, due, expiredTimerInfo.getExpiryTimeInMs() * 1000)
+        yield from out
+        if due > key[1] * 1000:
+            self.s.clear()
+        elif out:
+            self.s.update((n, due))

@@ -85,8 +85,9 @@ class Replay:
 
     The steps of ``finish`` add rows far behind the last event time. They lift the
     watermark so that what is still open fires, once for waiting rows and once more
-    for the deadlines those set. ``present`` keeps them out of results; as it names
-    the event time, Spark cannot apply it before the watermark sees the row.
+    for the deadlines those set. ``present`` keeps them out of results and rows without a
+    time in; as it names the event time, Spark cannot apply it before the watermark sees
+    the row.
     """
 
     rows: DataFrame
@@ -95,7 +96,8 @@ class Replay:
 
     def present(self, condition: Column | None = None) -> Column:
         keep = F.lit(True) if condition is None else F.coalesce(condition, F.lit(False))
-        return F.when(F.unix_micros("ts") <= F.lit(self.last_us), keep).otherwise(False)
+        own = F.col("ts").isNull() | (F.unix_micros("ts") <= F.lit(self.last_us))
+        return F.when(own, keep).otherwise(False)
 
 
 def replay_events(spark: SparkSession, directory: str, delay: str | None = None) -> Replay:

@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.hashing import bit_offset
 from tidemark.functions.times import micros
 from tidemark.operators.windows import WINDOW_END, window_end_ms
 from tidemark.streaming import processors as P
@@ -245,3 +246,46 @@ def allowed_lateness_counts(
         P.LateWindow(lag_us // 1000, micros(allowed) // 1000),
         "kind string, n long",
     )
+
+
+#: A window's bitmap is spread over this many keys.
+BITMAP_PARTS = 64
+
+
+def bitmap_marks(
+    df: DataFrame, ts: str, tie: str, visitor: str, size: str, *, parts: int = BITMAP_PARTS
+) -> DataFrame:
+    """Each row with whether it sets a new bit of its window's 2^29-bit map: ``fresh``.
+
+    The map is keyed state in chunks of 2^12 bits that exist once they are needed. Its
+    chunks are dealt over ``parts`` keys, so a window is the work of many tasks, and a
+    key's state is at most ``2^29 / 8 / parts`` bytes. Null visitors share one place.
+    """
+    bit = F.coalesce(bit_offset(F.col(visitor).cast("string")), F.lit(-1)).cast("long")
+    chunk = F.shiftright(bit, P.BitmapChunks.CHUNK_BITS)
+    keyed = df.withColumns(
+        {WINDOW_END: window_end_ms(ts, size), "part": F.pmod(chunk, F.lit(parts)).cast("long")}
+    )
+    rows = keyed.filter(F.col(ts).isNotNull()).select(
+        WINDOW_END,
+        "part",
+        F.unix_micros(ts).alias("_t"),
+        F.col(tie).cast("long").alias("_tie"),
+        bit.alias("bit"),
+    )
+    return _run(rows, [WINDOW_END, "part"], P.BitmapChunks(), "ts_us long, tie long, fresh boolean")
+
+
+def top_changelog(df: DataFrame, key: str, ts: str, tie: str, value: str, n: int) -> DataFrame:
+    """Remove-old and add-new rows for the changed places of each key's ``n`` greatest values."""
+    rows = _prepare(df, key, ts, tie, value=F.col(value).cast("long"))
+    return _run(rows, [key], P.TopLog(n), "tie long, is_add boolean, value long, rank int")
+
+
+def early_fire(df: DataFrame, key: str, ts: str, tie: str, size: str, every: str) -> DataFrame:
+    """Running counts of a window at each ``every`` after its first row, by timers."""
+    keyed = df.withColumn(WINDOW_END, window_end_ms(ts, size))
+    rows = keyed.filter(F.col(ts).isNotNull()).select(
+        key, WINDOW_END, F.unix_micros(ts).alias("_t"), F.col(tie).cast("long").alias("_tie")
+    )
+    return _run(rows, [key, WINDOW_END], P.EarlyFire(micros(every)), "fire_at long, n long")
