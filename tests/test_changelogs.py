@@ -8,7 +8,7 @@ from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from tidemark.functions.hashing import bit_offset
-from tidemark.operators import distinct, rolling
+from tidemark.operators import distinct, ranklog, rolling
 from tidemark.operators.skew import SkewPolicy
 from tidemark.streaming import processors as P
 from tidemark.streaming.totals import running_totals
@@ -146,3 +146,50 @@ def test_totals_carry_over_and_a_repeated_batch_changes_nothing(spark, tmp_path)
     assert sorted(map(tuple, got)) == [(1, 1), (2, 2), (3, 3), (4, 1), (5, 1), (6, 2)]
     last = spark.read.parquet(f"{tmp_path}/totals/batch=3").collect()
     assert [tuple(r) for r in last] == [(2000, 2)]
+
+
+def ranking_log(rows, size, slide, n):
+    """(t, id, item) rows in order to their changes of each window's first ``n`` items."""
+    out, counts, tops = [], {}, {}
+    for t, i, item in rows:
+        pane = t // slide * slide
+        for end in range(pane + slide, pane + size + slide, slide):
+            own = counts.setdefault(end, {})
+            own[item] = own.get(item, 0) + 1
+            order = sorted(own.items(), key=lambda x: (-x[1], x[0] is None, x[0] or 0))[:n]
+            old = tops.get(end, [])
+            for place, pair in enumerate(order):
+                before = old[place] if place < len(old) else None
+                if before != pair:
+                    if before:
+                        out.append((end * 1000, i, False, *before, place + 1))
+                    out.append((end * 1000, i, True, *pair, place + 1))
+            tops[end] = order
+    return out
+
+
+@pytest.mark.parametrize("seed,items,slide", [(1, 6, 600), (2, 60, 3600), (3, 3, 1200)])
+def test_ranked_changelog(spark, seed, items, slide):
+    """A window that holds most rows lies in several ranges; ties and null items rank."""
+    make = random.Random(seed)
+    times = sorted(make.choice([make.randrange(3600), make.randrange(20_000)]) for _ in range(900))
+    rows = [(t, i, make.choice([None, *range(items)])) for i, t in enumerate(times)]
+    df = spark.createDataFrame([*rows, (None, 10_000, 1)], "t long, id long, item long").withColumn(
+        "ts", F.timestamp_seconds("t")
+    )
+    out = ranklog.ranked_changelog(
+        df.repartition(5), "ts", ["ts", "id"], "item", "1 hour", 3, slide=f"{slide} seconds"
+    )
+    got = out.select("window_end", "id", "is_add", "item", "n", "rank").collect()
+    want = ranking_log(rows, 3600, slide, 3)
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want))
+    assert ranklog.ranked_changelog(df.limit(0), "ts", ["ts", "id"], "item", "1 hour", 3).count() == 0
+
+
+def test_rankings_of_stretches_merge():
+    make = random.Random(5)
+    for _ in range(50):
+        pairs = [(make.randrange(1, 9), make.choice([None, 1, 2, 3, 4])) for _ in range(12)]
+        cut = make.randrange(13)
+        both = ranklog.best(ranklog.best(pairs[:cut], 3) + ranklog.best(pairs[cut:], 3), 3)
+        assert both == ranklog.best(pairs, 3)

@@ -15,6 +15,7 @@ from tidemark.operators import (
     distinct,
     joins,
     patterns,
+    ranklog,
     rolling,
     topn,
     transforms,
@@ -76,6 +77,14 @@ def hot_items_sql(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def hot_items_changes(spark: SparkSession, d: str) -> DataFrame:
+    """The same ranking as rows that add and take back its places, view by view."""
+    out = ranklog.ranked_changelog(
+        views.page_views(spark, d), "ts", BY_TIME, "item_id", "1 hour", 3, slide="5 minutes"
+    )
+    return out.select("window_end", "event_id", "is_add", "item_id", "n", "rank")
+
+
 def hot_items_tumbling(spark: SparkSession, d: str) -> DataFrame:
     """Hourly counts through the DataFrame API, ranked in SQL."""
     counts = windows.count(

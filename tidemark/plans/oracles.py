@@ -415,6 +415,27 @@ WHERE NOT again OR lo IS DISTINCT FROM old_lo OR hi IS DISTINCT FROM old_hi
 UNION ALL
 SELECT user_id, event_id, false, old_lo, old_hi FROM changes
 WHERE again AND (lo IS DISTINCT FROM old_lo OR hi IS DISTINCT FROM old_hi)""",
+    "st12_ranked_changelog": f"""WITH {BEHAVIOR}, c AS (
+  SELECT event_id, item_id, us, w, row_number() OVER (PARTITION BY w ORDER BY us, event_id) AS step,
+         row_number() OVER (PARTITION BY w, item_id ORDER BY us, event_id) AS n
+  FROM (SELECT *, unnest(range((us // {FIVE_MINUTES} + 1) * {FIVE_MINUTES},
+                               (us // {FIVE_MINUTES} + 1) * {FIVE_MINUTES} + {HOUR}, {FIVE_MINUTES})) AS w
+        FROM behavior WHERE behavior = 'view')),
+a AS (
+  SELECT x.w, x.step, y.item_id, max(y.n) AS n FROM c x JOIN c y ON y.w = x.w AND y.step <= x.step GROUP BY ALL),
+t AS (
+  SELECT *, row_number() OVER (PARTITION BY w, step ORDER BY n DESC, item_id)::INTEGER AS rank FROM a
+  QUALIFY rank <= 3),
+moved AS (
+  SELECT o.w, o.step + 1 AS step, false AS is_add, o.item_id, o.n, o.rank FROM t o
+  JOIN t e ON e.w = o.w AND e.step = o.step + 1 AND e.rank = o.rank
+  WHERE o.n <> e.n OR o.item_id IS DISTINCT FROM e.item_id
+  UNION ALL
+  SELECT e.w, e.step, true, e.item_id, e.n, e.rank FROM t e
+  LEFT JOIN t o ON e.w = o.w AND e.step = o.step + 1 AND e.rank = o.rank
+  WHERE o.n IS NULL OR o.n <> e.n OR o.item_id IS DISTINCT FROM e.item_id)
+SELECT m.w // 1000 AS window_end, c.event_id, is_add, m.item_id, m.n, rank
+FROM moved m JOIN c ON c.w = m.w AND c.step = m.step""",
     "st13_late": f"""WITH {ARRIVALS}, ended AS (
   SELECT *, (us // {HOUR} + 1) * {HOUR} AS end_us, seen - {HOUR} AS wm FROM watermarked)
 SELECT event_id, end_us // 1000 AS window_end,

@@ -97,6 +97,7 @@ PRIMITIVES: dict[str, Query] = {
     "st11_early_fire": p.early_fire,
     "st11b_fire_each_element": apps.visitors_running,
     "st12_changelog": p.change_log,
+    "st12_ranked_changelog": apps.hot_items_changes,
     "st13_late": p.late_rows,
     "st14_behind_watermark": p.behind_watermark,
     "st15_allowed_lateness": p.allowed_lateness,
