@@ -14,7 +14,6 @@ The rules are the base phrases, the names of ``FAMILIES`` in each of the phrasin
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -140,14 +139,19 @@ PRIORITIES = (1, 2, 3, 4)
 #: Keyword of the phrase with an identifier, which need not hold the name's.
 SPDX = "spdx licen"
 
-#: Every phrasing holds one of these words, every name its keyword. A signature whose
-#: keyword holds none of them is looked for by its keyword alone.
+#: Every phrasing holds a word that starts like one of these, every name its keyword. A
+#: signature whose keyword has no such word is looked for by its keyword alone.
 VERBS = (
-    "licen[cs]e|released|distributed|available|published|provided|dedicated|terms|conditions"
+    "licence", "license", "released", "distributed", "available", "published", "provided",
+    "dedicated", "terms", "conditions",
+)
+UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+#: What separates words ``[^\x00-\x2F\x3A-\x60\x7B-\x7F]+`` of lower-cased texts.
+SEPARATORS = "".join(
+    chr(c) for c in range(128) if chr(c) not in "0123456789abcdefghijklmnopqrstuvwxyz" + UPPER
 )
-GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-SEPARATOR = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+#: Signs that no word holds, around a rule's matches.
+OPEN, SHUT = "\x01", "\x02"
 
 
 @dataclass(frozen=True)
@@ -180,86 +184,92 @@ def rules() -> list[Rule]:
     ]
 
 
-def _gate(text: Column) -> Column:
-    """Lower-case texts that may hold a match; the others surely hold none."""
+def _choice(words: set[str]) -> str:
+    """An expression for any of the words, tried letter by letter."""
+    if "" in words:  # nothing longer is needed to find one
+        return ""
+    heads = sorted({w[0] for w in words})
+    ways = [h + _choice({w[1:] for w in words if w[0] == h}) for h in heads]
+    return ways[0] if len(ways) == 1 else f"(?:{'|'.join(ways)})"
 
-    def spelled(phrases: set[str]) -> str:
-        return "|".join(sorted(p.replace(" ", GAP) for p in phrases))
 
+def _gate(line: Column) -> Column:
+    """Lines that may hold a match; the others surely hold none. Keywords start words."""
     own = {keyword for signatures in SIGNATURES.values() for keyword, _, _ in signatures}
-    worded = {keyword for keyword in own if re.search(VERBS, keyword)}
-    names = spelled({keyword for keyword, _, _ in FAMILIES.values()} | worded | {SPDX})
-    notices = spelled({keyword for _, keyword, _, _, _ in NOTICES} | {"cc by nc"})
-    bare = f"(?<![0-9a-z])(?:{spelled(own - worded)})"
-    return text.rlike(notices) | (text.rlike(VERBS) & text.rlike(names)) | text.rlike(bare)
+    worded = {keyword for keyword in own if any(verb[:5] in keyword for verb in VERBS)}
+    names = {keyword for keyword, _, _ in FAMILIES.values()} | worded | {SPDX}
+    alone = {keyword for _, keyword, _, _, _ in NOTICES} | {"cc by nc"} | (own - worded)
+    verbs = line.rlike(" " + _choice(set(VERBS)))
+    return line.rlike(" " + _choice(alone)) | (verbs & line.rlike(" " + _choice(names)))
 
 
 def _spaces(text: Column) -> Column:
     return F.length(text) - F.length(F.replace(text, F.lit(" "), F.lit("")))
 
 
-def detections(documents: DataFrame, every: list[Rule] | None = None) -> DataFrame:
-    """All matches as rows ``doc_id, key, number, label, priority, score, first, last``.
+def _matched(every: list[Rule]) -> Column:
+    """The rules that match ``line``, with the spaces in each stretch of it: before the
+    first match, in it, after it, and so on.
 
-    ``first`` and ``last`` are word places, from 0. Rows of equal id and text count once.
+    Expressions are literals, compiled once, and stand behind their keywords. ``filter``
+    has its argument interpreted, so their number makes no generated code.
+    """
+    groups: dict[str, list[str]] = {}
+    for r in every:
+        marked = f"regexp_replace(line, r'{r.expression}', '{OPEN}$0{SHUT}')"
+        stretches = f"split({marked}, '[{OPEN}{SHUT}]')"
+        rule = (
+            f"named_struct('number', {r.number}, 'label', '{r.label}', 'priority', {r.priority},"
+            f" 'score', {r.score}D, 'spaces',"
+            f" transform({stretches}, x -> length(x) - length(replace(x, ' ', ''))))"
+        )
+        groups.setdefault(r.keyword, []).append(f"if(line rlike r'{r.expression}', {rule}, null)")
+    by_keyword = [
+        f"if(contains(line, '{keyword}'), array({', '.join(some)}), null)" for keyword, some in groups.items()
+    ]
+    asked = f"flatten(filter(array({', '.join(by_keyword)}), g -> g is not null))"
+    return F.expr(f"filter({asked}, h -> h is not null)")
+
+
+def matched(documents: DataFrame, every: list[Rule] | None = None) -> DataFrame:
+    """``doc_id, key, n_words, hits`` for each row, in one pass, written once.
+
+    A null text has no words. ``hits`` is null where no keyword lets a rule be tried.
     """
     ready(documents.sparkSession)
-    every = every or rules()
-    lower = F.translate(
-        text_of(documents), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    plain = F.translate(
+        text_of(documents), UPPER + SEPARATORS, UPPER.lower() + " " * len(SEPARATORS)
     )
-    gated = documents.select("doc_id", text_key(text_of(documents)).alias("key"), lower.alias("text"))
-    gated = gated.where(_gate(F.col("text")))
-    lines = gated.select(
+    words = documents.select(
         "doc_id",
-        "key",
-        F.concat(F.lit(" "), F.trim(F.regexp_replace("text", SEPARATOR, " ")), F.lit(" ")).alias("line"),
+        text_key(text_of(documents)).alias("key"),
+        F.trim(F.regexp_replace(plain, "  +", " ")).alias("words"),
     )
-    table = F.array(
-        *(
-            F.struct(
-                F.lit(r.number).alias("number"),
-                F.lit(r.label).alias("label"),
-                F.lit(r.keyword).alias("keyword"),
-                F.lit(r.expression).alias("expression"),
-                F.lit(r.priority).alias("priority"),
-                F.lit(r.score).alias("score"),
-            )
-            for r in every
-        )
-    )
-    asked = lines.select(
+    lines = words.select(
         "doc_id",
         "key",
-        "line",
-        F.explode(F.filter(table, lambda r: F.contains(F.col("line"), r["keyword"]))).alias("r"),
+        F.when(F.col("words") == "", 0).otherwise(_spaces(F.col("words")) + 1).cast("long").alias("n_words"),
+        F.concat(F.lit(" "), "words", F.lit(" ")).alias("line"),
     )
-    hits = asked.where(F.expr("line rlike r.expression")).select(
-        "doc_id",
-        "key",
-        "r.*",
-        F.expr("split(line, r.expression, -1)").alias("between"),
-        F.expr("regexp_extract_all(line, r.expression, 0)").alias("matches"),
+    hits = F.when(_gate(F.col("line")), _matched(every or rules()))
+    return settle(lines.select("doc_id", "key", "n_words", hits.alias("hits")), "license-hits")
+
+
+def detections(found: DataFrame) -> DataFrame:
+    """Matches of ``matched`` rows: ``doc_id, key, number, label, priority, score, first, last``.
+
+    ``first`` and ``last`` are word places, from 0. Rows of equal id and text count once.
+    """
+    texts = found.where(F.size("hits") > 0).dropDuplicates(["doc_id", "key"])
+    hits = texts.select("doc_id", "key", F.explode("hits").alias("h")).select("doc_id", "key", "h.*")
+    stretches = hits.select(
+        "doc_id", "key", "number", "label", "priority", "score", F.posexplode("spaces").alias("nth", "own")
     )
-    parts = hits.select(
-        "doc_id", "key", "number", "label", "priority", "score",
-        F.posexplode(
-            F.arrays_zip(
-                F.transform("between", _spaces).alias("before"),
-                F.transform("matches", _spaces).alias("own"),
-            )
-        ).alias("nth", "part"),
-    ).select("*", "part.before", "part.own").drop("part")
-    parts = settle(parts, "license-parts").distinct()
     order = Window.partitionBy("doc_id", "key", "number").orderBy("nth")
-    passed = F.sum(F.col("before") + F.coalesce("own", F.lit(0))).over(order)
-    return (
-        parts.withColumn("last", passed - 1)
-        .where(F.col("own").isNotNull())
-        .select(
-            "doc_id", "key", "number", "label", "priority", "score",
-            (F.col("last") - F.col("own")).alias("first"), "last",
-        )
+    placed = stretches.withColumn("last", F.sum("own").over(order) - 1).where(F.col("nth") % 2 == 1)
+    return placed.select(
+        "doc_id", "key", "number", "label", "priority", "score",
+        (F.col("last") - F.col("own")).alias("first"), "last",
     )
 
 
@@ -284,7 +294,8 @@ def scan(documents: DataFrame) -> DataFrame:
 
     A null text has no words. The score is that of the surest detection, else 0.
     """
-    found = settle(unsuppressed(detections(documents)), "licenses")
+    every = matched(documents)
+    found = settle(unsuppressed(detections(every)), "licenses")
     base = F.col("priority") == 0
     listed = F.array_join(F.array_sort(F.collect_set("label")), ",")
     of_base = F.collect_set(F.when(base, F.col("label")))
@@ -296,10 +307,6 @@ def scan(documents: DataFrame) -> DataFrame:
         listed.alias("labels"),
         F.max("score").alias("score"),
     )
-    text = text_of(documents)
-    every = documents.select(
-        "doc_id", text_key(text).alias("key"), F.regexp_count(text, F.lit(WORD)).cast("long").alias("n_words")
-    )
     return every.join(per_text, same(every, per_text, "doc_id", "key"), "left").select(
         every["doc_id"],
         "n_words",
