@@ -187,3 +187,27 @@ def test_records_survive_any_chunking():
     broken = warc.record(*rows[0]).replace("é".encode(), b"ab")
     with pytest.raises(ValueError):
         warc.parse(broken)
+
+
+def test_many_pieces_of_length_one(spark):
+    """Null and empty texts: their places are found by a search, whatever their number."""
+    from pyspark.sql import functions as F
+
+    from tidemark.llm.shared import settle
+
+    n = 1_000_000
+    length = F.when(F.col("id") % 10 == 0, 1 + F.pmod(F.xxhash64("id"), F.lit(300))).otherwise(1)
+    pieces = spark.range(n).select(
+        F.col("id").alias("doc_id"), F.lit(0).cast("long").alias("key"), F.lit(0).alias("piece"),
+        F.lit(0).cast("long").alias("start"), length.cast("long").alias("length"),
+        F.lit(0).cast("long").alias("ids_crc32"),
+    )
+    packed = settle(packing.pack(settle(pieces, "pieces"), 512), "packed")
+    ends = packed.groupBy("sequence_id").agg(
+        F.sum("length").alias("total"), F.max(F.col("offset") + F.col("length")).alias("end"),
+        F.count_distinct("offset").alias("places"), F.count("*").alias("n"),
+    )
+    bad = ends.where("total <> end or places <> n or total > 512").count()
+    total = packed.agg(F.sum("length")).first()[0]
+    assert (packed.count(), bad) == (n, 0)
+    assert ends.count() <= -(-total // 512) + 1

@@ -7,12 +7,14 @@ longest pieces that fit. Then its shortest piece gives way to two unpacked
 pieces, where two fit the widened gap more tightly. The bin is used as often as
 the counts allow, so every step uses up a length. Pieces get numbers within their
 length, salted so that a length that holds a third of all pieces is numbered by
-many tasks, and the number tells the sequence and the place in it.
+many tasks, and the number tells the sequence and the place in it, by a search among
+the plan's places of that length.
 """
 
 from __future__ import annotations
 
 import zlib
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -78,21 +80,45 @@ def plan(counts: np.ndarray, size: int = SIZE) -> list[tuple[int, list[int]]]:
 
 
 def places(bins: list[tuple[int, list[int]]]) -> list[tuple[int, int, int, int, int]]:
-    """(length, first, last, sequence, offset): pieces ``first`` to ``last`` of a length
-    go to ``sequence``, ``sequence`` + 1, ... at ``offset``."""
+    """(length, first, each, sequence, offset): of a length's pieces, from number ``first``
+    on, ``each`` at a time go side by side to ``sequence``, ``sequence`` + 1, ... from
+    ``offset`` on, up to the ``first`` of the length's next row."""
     used: dict[int, int] = {}
     out, sequence = [], 0
     for times, pieces in bins:
         offset = 0
-        for length in pieces:
+        for length, run in groupby(pieces):
+            each = len(list(run))
             first = used.get(length, 0)
-            out.append((length, first, first + times - 1, sequence, offset))
-            used[length] = first + times
-            offset += length
+            out.append((length, first, each, sequence, offset))
+            used[length] = first + times * each
+            offset += length * each
         sequence += times
     return out
 
 
+#: A piece's length and number as one number that sorts by both.
+NUMBER_BITS = 50
+
+
+def _placing(slots: list[tuple[int, int, int, int, int]]):
+    """Column function of length and number: sequence and offset, by binary search."""
+    table = np.array(sorted(slots) or np.zeros((0, 5)), dtype=np.int64).reshape(-1, 5)
+
+    def place(lengths: pa.Array, numbers: pa.Array) -> pa.Array:
+        length, number = (x.to_numpy(zero_copy_only=False) for x in (lengths, numbers))
+        starts = (table[:, 0] << NUMBER_BITS) + table[:, 1]
+        at = np.searchsorted(starts, (length << NUMBER_BITS) + number, side="right") - 1
+        _, first, each, sequence, offset = table[at].T
+        full, rest = np.divmod(number - first, each)
+        return pa.StructArray.from_arrays(
+            [pa.array(sequence + full), pa.array(offset + rest * length)],
+            names=["sequence_id", "offset"],
+        )
+
+    return F.arrow_udf(place, "struct<sequence_id:bigint,offset:bigint>")
+
+
 def token_pieces(documents: DataFrame, path: str, end: int, size: int = SIZE) -> DataFrame:
     """``doc_id, piece, start, length, ids_crc32`` of each document's ids.
 
@@ -145,10 +171,8 @@ def pack(pieces: DataFrame, size: int = SIZE) -> DataFrame:
     counts = np.zeros(size + 1, dtype=np.int64)
     for row in pieces.groupBy("length").count().collect():  # at most ``size`` rows
         counts[row["length"]] = row["count"]
-    slots = spark.createDataFrame(
-        places(plan(counts, size)) or [(0, 0, 0, 0, 0)],
-        "length long, first long, last long, sequence long, offset long",
-    )
+    # A plan has at most some thousand bins, whatever the number of pieces.
+    placed = _placing(places(plan(counts, size)))
     salts = max(partitions(spark), -(-int(counts.sum()) // PER_TASK))
     salted = pieces.withColumn(
         "salt", F.pmod(F.xxhash64("doc_id", "key", "piece"), F.lit(salts)).cast("int")
@@ -165,21 +189,9 @@ def pack(pieces: DataFrame, size: int = SIZE) -> DataFrame:
     numbered = ranked.join(bases, ["salt", "length"]).withColumn(
         "number", F.col("rank") + F.col("base")
     )
-    # A plan has at most some thousand bins, whatever the number of pieces.
-    hit = (
-        (numbered["length"] == slots["length"])
-        & (numbered["number"] >= slots["first"])
-        & (numbered["number"] <= slots["last"])
-    )
-    return numbered.join(F.broadcast(slots), hit).select(
-        "doc_id",
-        "piece",
-        "start",
-        numbered["length"],
-        "ids_crc32",
-        (F.col("sequence") + F.col("number") - F.col("first")).alias("sequence_id"),
-        "offset",
-    )
+    return numbered.select(
+        "doc_id", "piece", "start", "length", "ids_crc32", placed("length", "number").alias("p")
+    ).select("doc_id", "piece", "start", "length", "ids_crc32", "p.*")
 
 
 def pack_documents(documents: DataFrame, path: str, end: int, size: int = SIZE) -> DataFrame:
