@@ -33,7 +33,7 @@ def run(spark, name, directory=DIRECTORY):
 
 def test_one_query_for_each_operator():
     numbers = sorted(int(n.split("_")[0][2:]) for n in queries.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert "pipeline" in entry.queries()
 
 

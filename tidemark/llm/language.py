@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.crf import Ascent, Lanes, marginals, observed_moves
-from tidemark.llm.shared import ready, text_key
+from tidemark.llm.shared import first_of_each, ready, text_key
 from tidemark.llm.spans import GOLDEN, TextBatch, Words, mixed, powers, slices
 
 PER_LANGUAGE = 300
@@ -185,13 +185,16 @@ def learn(
     for name, n in sizes.items():
         wanted = min(1.0, 1.3 * PER_LANGUAGE / n + 20 / n)
         share = F.when(F.col(language) == name, wanted).otherwise(share)
+    chosen = known.select(
+        pick.alias("pick"),
+        F.col(language).alias("language"),
+        F.col(text).alias("text"),
+        text_key(F.col(text)).alias("key"),
+    ).where(F.col("pick") < share * (1 << 30))
     rows = (
-        known.select(pick.alias("pick"), F.col(language).alias("language"), F.col(text).alias("text"))
-        .where(F.col("pick") < share * (1 << 30))
+        first_of_each(chosen, "language", ["pick", "key"], PER_LANGUAGE)
         .toPandas()
         .sort_values(["pick", "language", "text"])
-        .groupby("language")
-        .head(PER_LANGUAGE)
     )
     return fit(rows["text"].tolist(), rows["language"].tolist())
 

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.crf import Ascent, Lanes, best_labels, marginals, observed_moves
-from tidemark.llm.shared import ready, text_key
+from tidemark.llm.shared import first_of_each, ready, text_key
 from tidemark.llm.spans import SPACED_WORD, TextBatch, Words, mixed, slices
 
 PER_CLASS = 600
@@ -242,14 +242,18 @@ def learn(documents: DataFrame, labels: DataFrame, column: str = "quality") -> M
         min(1.0, 1.5 * PER_CLASS / sizes[0] + 20 / sizes[0])
     )
     chosen = known.where(pick < share * (1 << 30))
+    # The labels are about 3 * PER_CLASS rows of two numbers.
+    labelled = texts.join(F.broadcast(chosen), "doc_id").select(
+        "label", "text", pick.alias("pick"), text_key(F.col("text")).alias("key")
+    )
+    different = labelled.groupBy("label", "key").agg(
+        F.min("pick").alias("pick"), F.min_by("text", "pick").alias("text")
+    )
     rows = (
-        texts.join(F.broadcast(chosen), "doc_id")  # about 3 * PER_CLASS rows of two numbers
-        .select("label", "text", pick.alias("pick"), text_key(F.col("text")).alias("key"))
+        first_of_each(different, "label", ["pick", "key"], PER_CLASS)
         .toPandas()
         .sort_values(["pick", "key"])
         .drop_duplicates("key")
-        .groupby("label")
-        .head(PER_CLASS)
     )
     if rows["label"].nunique() < 2:
         return None

@@ -7,7 +7,7 @@ import types
 import uuid
 
 from pyarrow import fs
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.session import prepare, scratch_path
@@ -66,6 +66,17 @@ def same(left: DataFrame, right: DataFrame, *names: str) -> Column:
     return out
 
 
+def first_of_each(rows: DataFrame, group: str, order: list[str], most: int) -> DataFrame:
+    """At most ``most`` rows of each ``group`` in ``order``; rows that agree in these are one.
+
+    Copies go before they are counted, so a repeated row takes one place, and the rows that
+    may be collected are bounded by the number of groups.
+    """
+    different = rows.dropDuplicates([group, *order])
+    place = F.row_number().over(Window.partitionBy(group).orderBy(*order))
+    return different.withColumn("_place", place).where(F.col("_place") <= most).drop("_place")
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

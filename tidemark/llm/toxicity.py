@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import ready, text_key
+from tidemark.llm.shared import first_of_each, ready, text_key
 from tidemark.llm.spans import PLAIN_WORD, SPACED_WORD, TextBatch, gram_hashes, mixed, slices
 
 PER_CLASS = 1500
@@ -424,14 +424,17 @@ def learn(
     texts = documents.select("doc_id", "text").where(
         (F.length("text") > 0) & (F.length("text") <= LONGEST)
     )
+    # The labels are about 3 * PER_CLASS rows of two numbers.
+    labelled = texts.join(F.broadcast(chosen), "doc_id").select(
+        "label", "text", pick.alias("pick"), text_key(F.col("text")).alias("key")
+    )
+    different = labelled.groupBy("label", "key").agg(
+        F.min("pick").alias("pick"), F.min_by("text", "pick").alias("text")
+    )
     rows = (
-        texts.join(F.broadcast(chosen), "doc_id")  # about 3 * PER_CLASS rows of two numbers
-        .select("label", "text", pick.alias("pick"), text_key(F.col("text")).alias("key"))
+        first_of_each(different, "label", ["pick", "key"], PER_CLASS)
         .toPandas()
         .sort_values(["pick", "key"])
-        .drop_duplicates(["label", "key"])
-        .groupby("label")
-        .head(PER_CLASS)
     )
     return fit(rows["text"].tolist(), rows["label"].tolist(), sizes[1] / sizes[0])
 
