@@ -457,6 +457,22 @@ SELECT user_id, end_us // 1000, CASE WHEN n = 1 THEN 'first' ELSE 'update' END,
 FROM kept WHERE NOT in_time""",
 }
 
+
+
+def judged(marks: str, delay: int) -> str:
+    """Events that come behind the watermark of earlier quarters of the arrival time."""
+    return f"""WITH a AS (
+  SELECT event_id, event_type, epoch_us(ts) AS us, epoch_us(ts) + (event_id * 7919 % 97) * 240000000 AS arrived
+  FROM events WHERE ts IS NOT NULL),
+b AS (
+  SELECT *, least(floor((arrived - low) * 4 / greatest(high - low, 1)::DOUBLE), 3) AS part
+  FROM a, (SELECT min(arrived) AS low, max(arrived) AS high FROM a)),
+m AS (SELECT part, max(us) AS last FROM b WHERE {marks} GROUP BY part),
+w AS (SELECT p.part, max(m.last) AS last FROM (SELECT DISTINCT part FROM b) p LEFT JOIN m ON m.part < p.part GROUP BY ALL)
+SELECT event_id, coalesce((us + 999) // 1000 <= last // 1000 - {delay // 1000}, false) AS late
+FROM b JOIN w USING (part)"""
+
+
 # A stream replayed to its end gives what the batch query gives.
 ORACLES |= {
     "w3_hot_items_stream": ORACLES["q1_hot_items_top3"],
@@ -484,6 +500,14 @@ SELECT DISTINCT id, (us + 5000000) // 1000 AS fires_ms FROM sensor""",
        CASE lateness WHEN 'dropped' THEN 'late' ELSE 'on_time' END AS side
 FROM ({ORACLES["st13_late"]})""",
     "k6_document_index": ORACLES["q4_hot_item_documents"],
+    "u1_union_stream": f"""WITH e AS (
+  SELECT event_type, epoch_us(ts) AS us FROM events WHERE event_type IN ('view', 'click', 'purchase'))
+{tumbling("e", DAY, "event_type", "count(*) AS n")}""",
+    "j2_gate_join_stream": ORACLES["q15_gate"],
+    "j4_unpaid_join_stream": ORACLES["j4_orders_without_payment"],
+    "st1_bounded_stream": judged("true", HOUR),
+    "st1_custom_stream": judged("event_type = 'signup'", 0),
+    "st17_resumed_stream": ORACLES["q15_jump_alert_skip_first"],
     "k8_visitor_store_written": ORACLES["k8_visitor_store"],
     "k7_two_sinks_stream": """SELECT event_id,
   CASE WHEN event_type = 'view' THEN 'views' ELSE 'rest' END AS sink FROM events""",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators import distinct, topn, windows
+from tidemark.operators import distinct, topn, transforms, windows
 from tidemark.session import scratch_path
 from tidemark.sources import views
 from tidemark.sources.tables import load_table
@@ -13,7 +13,14 @@ from tidemark.sinks.streams import fan_out_routed
 from tidemark.streaming import stateful
 from tidemark.streaming.late import batch_folders, split_late
 from tidemark.streaming.totals import running_totals
-from tidemark.streaming.run import drain, drain_batches, replay_events, replay_in_order
+from tidemark.streaming.run import (
+    drain,
+    drain_anew,
+    drain_batches,
+    replay_arrivals,
+    replay_events,
+    replay_in_order,
+)
 
 WINDOW_END = windows.WINDOW_END
 
@@ -191,6 +198,93 @@ def visitors_bitmap(spark: SparkSession, d: str) -> DataFrame:
     return rows.select(F.col("tie").alias("event_id"), WINDOW_END, "uv")
 
 
+#: The second of two streams lags more than the first: the slower one sets the pace.
+SLOWER = "800 days"
+
+
+def _two(spark: SparkSession, d: str, first, second):
+    """Two streams of the table with watermarks of their own, ended together."""
+    one, other = replay_events(spark, d), replay_events(spark, d, SLOWER)
+
+    def both(a, b):
+        return lambda: (a(), b())
+
+    finish = [both(a, b) for a, b in zip(one.finish, other.finish, strict=True)]
+    return one.rows.filter(one.present(first)), other.rows.filter(other.present(second)), finish
+
+
+def gate_by_join(spark: SparkSession, d: str) -> DataFrame:
+    is_switch = kind("signup")
+    readings, switches, finish = _two(spark, d, ~is_switch, is_switch)
+    out = stateful.gate_by_join(readings, switches, "user_id", "ts", "6 hours")
+    return drain(out.select("event_id", "user_id", "value"), "gate-join", finish=finish)
+
+
+def unpaid_by_join(spark: SparkSession, d: str) -> DataFrame:
+    creates, pays, finish = _two(spark, d, kind(views.ORDER_CREATE), kind(views.ORDER_PAY))
+    out = stateful.without_partner_by_join(creates, pays, "user_id", "ts", "1 day")
+    rows = out.select(F.col("user_id").alias("order_id"), F.unix_micros("ts").alias("create_us"))
+    return drain(rows, "unpaid-join", finish=finish)
+
+
+def union(spark: SparkSession, d: str) -> DataFrame:
+    """Daily counts over a union of streams: windows wait for the slower one's watermark."""
+    fast, slow, finish = _two(
+        spark, d, kind(views.PAGE_VIEW), F.col("event_type").isin("click", "purchase")
+    )
+    both = transforms.union_all(*(s.select("event_type", "ts") for s in (fast, slow)))
+    return drain(windows.count(both, "ts", "1 day", ["event_type"]), "union", finish=finish)
+
+
+def _arrivals(spark: SparkSession, d: str, watermark):
+    rows = load_table(spark, d, "events").select(
+        "event_id", "user_id", "event_type", "value", "ts", views.arrival_time().alias("arrival")
+    )
+    return replay_arrivals(spark, rows, "arrival", watermark)
+
+
+def _judged(spark: SparkSession, d: str, watermark, column: str) -> DataFrame:
+    """Every event, and whether it came behind the watermark of its micro-batch."""
+    replay = _arrivals(spark, d, watermark)
+    # A filter that names the watermark's column comes after it.
+    rows = replay.rows.filter(replay.present(F.col(column).isNotNull()))
+    out = stateful.in_order(rows, "user_id", "ts", "event_id")
+    drained = drain(out, f"judged-by-{column}", finish=replay.finish)
+    on_time = stateful.results(drained).select(F.col("tie").alias("event_id"), F.lit(False).alias("late"))
+    late = stateful.late_rows(drained, "user_id")
+    return on_time.unionByName(late.select(F.col("late_tie").alias("event_id"), F.lit(True).alias("late")))
+
+
+def bounded(spark: SparkSession, d: str) -> DataFrame:
+    """A delay of an hour where rows are up to six hours out of order."""
+    return _judged(spark, d, lambda rows: rows.withWatermark("ts", "1 hour"), "ts")
+
+
+def custom(spark: SparkSession, d: str) -> DataFrame:
+    """A watermark that only certain rows move, here sign-ups."""
+
+    def marked(rows: DataFrame) -> DataFrame:
+        ends = F.col("event_id").isNull()
+        mark = F.when(kind("signup") | ends, F.col("ts")).otherwise(F.timestamp_seconds(F.lit(0)))
+        return rows.withColumn("mark", mark).withWatermark("mark", "0 seconds")
+
+    return _judged(spark, d, marked, "mark")
+
+
+def resumed(spark: SparkSession, d: str) -> DataFrame:
+    """Jumps over a stream that stops after every batch and goes on as a new query."""
+    replay = _arrivals(spark, d, lambda rows: rows.withWatermark("ts", "7 hours"))
+
+    def make() -> DataFrame:
+        rows = replay.rows.filter(replay.present()).withColumn(
+            "id", F.concat(F.lit("sensor_"), F.col("user_id").cast("string"))
+        )
+        return stateful.jumps(rows, "id", "ts", "event_id", "value", 50.0, first_is_zero=False)
+
+    out = stateful.results(drain_anew(make, "resumed", replay.finish))
+    return out.select("id", "ts_us", "previous", F.col("value").alias("temperature"))
+
+
 def hot_items(spark: SparkSession, d: str) -> DataFrame:
     """Streaming top three: windows rank in the micro-batch that closes them.
 

@@ -588,3 +588,14 @@ class EarlyFire(Keyed):
             self.s.clear()
         elif out:
             self.s.update((n, due))
+
+
+class Passed(Emitting):
+    """Rows as they are, in order of time."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        pass
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        for r in in_order(rows):
+            yield self.row(*key, r["_t"], r["_tie"])

@@ -289,3 +289,38 @@ def early_fire(df: DataFrame, key: str, ts: str, tie: str, size: str, every: str
         key, WINDOW_END, F.unix_micros(ts).alias("_t"), F.col(tie).cast("long").alias("_tie")
     )
     return _run(rows, [key, WINDOW_END], P.EarlyFire(micros(every)), "fire_at long, n long")
+
+
+def in_order(df: DataFrame, key: str, ts: str, tie: str) -> DataFrame:
+    """Each key's rows in order of time once the watermark has passed them; late rows aside."""
+    return _run(_prepare(df, key, ts, tie), [key], P.Passed(), "ts_us long, tie long")
+
+
+def gate_by_join(
+    readings: DataFrame, switches: DataFrame, key: str, ts: str, duration: str
+) -> DataFrame:
+    """Readings inside ``[switch, switch + duration)`` of any switch of their key.
+
+    A left semi interval join, all in the JVM. Each stream has its own watermark; a row
+    leaves the state when both have passed what it could still meet. Null keys are a key.
+    """
+    s = switches.select(F.col(key).alias("_s_key"), F.col(ts).alias("_s_ts"))
+    open_ = F.expr(
+        f"`{key}` <=> _s_key AND `{ts}` >= _s_ts AND `{ts}` < _s_ts + INTERVAL {duration}"
+    )
+    return readings.join(s, open_, "left_semi")
+
+
+def without_partner_by_join(
+    left: DataFrame, right: DataFrame, key: str, ts: str, within: str
+) -> DataFrame:
+    """Rows of ``left`` that no row of ``right`` with their key comes within ``within`` of.
+
+    A left outer interval join that keeps what found no partner, all in the JVM. A null key
+    has no partner.
+    """
+    r = right.select(F.col(key).alias("_r_key"), F.col(ts).alias("_r_ts"))
+    near = F.expr(
+        f"`{key}` = _r_key AND _r_ts >= `{ts}` - INTERVAL {within} AND _r_ts <= `{ts}` + INTERVAL {within}"
+    )
+    return left.join(r, near, "left_outer").filter(F.col("_r_ts").isNull()).select(*left.columns)
