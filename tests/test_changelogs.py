@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.hashing import bit_offset
 from tidemark.operators import distinct, ranklog, rolling
 from tidemark.operators.skew import SkewPolicy
+from tidemark.sinks import committed
 from tidemark.streaming import processors as P
 from tidemark.streaming.totals import running_totals
 
@@ -193,3 +194,21 @@ def test_rankings_of_stretches_merge():
         cut = make.randrange(13)
         both = ranklog.best(ranklog.best(pairs[:cut], 3) + ranklog.best(pairs[cut:], 3), 3)
         assert both == ranklog.best(pairs, 3)
+
+
+def test_committed_sink_ignores_failed_tasks_and_repeated_batches(spark, tmp_path):
+    """Files of a task that died, of an aborted batch and of a second commit are not read."""
+    folder = str(tmp_path / "sink")
+    sink = committed.CommittedWriter(folder)
+    rows = [Row(doc_id=str(i), document="é") for i in range(2500)]
+    first = [sink.write(iter(rows[:1200])), None, sink.write(iter(rows[1200:1500]))]
+    assert len(first[0].files) == 2
+    sink.write(iter(rows[:700]))  # a first try that never reported
+    sink.commit(first, 0)
+    sink.commit([sink.write(iter(rows[:1500]))], 0)  # the batch once more
+    sink.abort([sink.write(iter(rows[1500:]))], 1)
+    sink.commit([sink.write(iter(rows[1500:])), sink.write(iter(()))], 1)
+    got = committed.committed(spark, folder, "doc_id string, document string").collect()
+    assert sorted((int(r.doc_id), r.document, r.batch) for r in got) == [
+        (i, "é", int(i >= 1500)) for i in range(2500)
+    ]

@@ -500,6 +500,9 @@ SELECT DISTINCT id, (us + 5000000) // 1000 AS fires_ms FROM sensor""",
        CASE lateness WHEN 'dropped' THEN 'late' ELSE 'on_time' END AS side
 FROM ({ORACLES["st13_late"]})""",
     "k6_document_index": ORACLES["q4_hot_item_documents"],
+    "k6_committed_stream": """SELECT event_id::VARCHAR AS doc_id, '{' ||
+  CASE WHEN user_id IS NULL THEN '' ELSE '"user_id":' || user_id || ',' END || '"event_type":"view"}' AS document
+FROM events WHERE event_type = 'view'""",
     "u1_union_stream": f"""WITH e AS (
   SELECT event_type, epoch_us(ts) AS us FROM events WHERE event_type IN ('view', 'click', 'purchase'))
 {tumbling("e", DAY, "event_type", "count(*) AS n")}""",

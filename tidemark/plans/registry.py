@@ -121,6 +121,7 @@ STREAMS: dict[str, Query] = {
     "st12_changelog_stream": streams.change_log,
     "st13_late_rows_stream": streams.late_rows,
     "k7_two_sinks_stream": streams.two_sinks,
+    "k6_committed_stream": streams.committed_documents,
     "u1_union_stream": streams.union,
     "j2_gate_join_stream": streams.gate_by_join,
     "j4_unpaid_join_stream": streams.unpaid_by_join,

@@ -9,6 +9,7 @@ from tidemark.operators import distinct, topn, transforms, windows
 from tidemark.session import scratch_path
 from tidemark.sources import views
 from tidemark.sources.tables import load_table
+from tidemark.sinks import committed, keyed
 from tidemark.sinks.streams import fan_out_routed
 from tidemark.streaming import stateful
 from tidemark.streaming.late import batch_folders, split_late
@@ -17,6 +18,7 @@ from tidemark.streaming.run import (
     drain,
     drain_anew,
     drain_batches,
+    drain_writer,
     replay_arrivals,
     replay_events,
     replay_in_order,
@@ -321,6 +323,17 @@ def two_sinks(spark: SparkSession, d: str) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
+def committed_documents(spark: SparkSession, d: str) -> DataFrame:
+    """Page views as documents through a sink that commits each batch once."""
+    rows, finish = _events(spark, d, views.PAGE_VIEW)
+    docs = keyed.documents(rows, ["event_id"], ["user_id", "event_type"])
+    path = scratch_path(spark, "committed")
+    spark.dataSource.register(committed.CommittedSink)
+    writer = docs.writeStream.format("tidemark_committed").option("path", path)
+    drain_writer(writer, "committed-documents", spark, finish)
+    return committed.committed(spark, path, "doc_id string, document string").drop("batch")
+
+
 def late_rows(spark: SparkSession, d: str) -> DataFrame:
     """Rows whose hourly window had closed, to a side output of the stream."""
     arrived = load_table(spark, d, "events").select(

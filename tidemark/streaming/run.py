@@ -86,6 +86,13 @@ def drain_batches(
     _drain(writer, scratch_path(df.sparkSession, f"{label}-checkpoint"), finish)
 
 
+def drain_writer(
+    writer: DataStreamWriter, label: str, spark: SparkSession, finish: Steps = ()
+) -> None:
+    """Run a stream over all available input into the sink that ``writer`` names."""
+    _drain(writer, scratch_path(spark, f"{label}-checkpoint"), finish)
+
+
 #: Files per micro-batch of a replay; None takes what is there.
 FILES_PER_TRIGGER: int | None = None
 
