@@ -12,6 +12,8 @@ from tidemark.operators import distinct, ranklog, rolling
 from tidemark.operators.skew import SkewPolicy
 from tidemark.sinks import committed
 from tidemark.streaming import processors as P
+from tidemark.streaming import stateful
+from tidemark.streaming.run import replay_arrivals
 from tidemark.streaming.totals import running_totals
 
 S = 1_000_000
@@ -212,3 +214,28 @@ def test_committed_sink_ignores_failed_tasks_and_repeated_batches(spark, tmp_pat
     assert sorted((int(r.doc_id), r.document, r.batch) for r in got) == [
         (i, "é", int(i >= 1500)) for i in range(2500)
     ]
+
+
+def test_state_shrinks_while_a_bounded_stream_runs(spark, tmp_path):
+    """With a delay of an hour a stream over ten days never holds more than a slice."""
+    make = random.Random(12)
+    rows = [(i % 7, 1_700_000_000 + i * 2000 + make.randrange(3000), i) for i in range(430)]
+    df = spark.createDataFrame(rows, "k long, t long, id long").select(
+        "k", "id", F.timestamp_seconds("t").alias("ts"), F.timestamp_seconds(1_700_000_000 + F.col("id") * 2000).alias("arrival")
+    )
+    replay = replay_arrivals(spark, df, "arrival", lambda x: x.withWatermark("ts", "1 hour"), slices=8)
+    out = stateful.in_order(replay.rows.filter(replay.present()), "k", "ts", "id")
+    held = []
+    for step in replay.finish:
+        step()
+        query = (
+            out.writeStream.format("parquet").option("path", f"{tmp_path}/rows")
+            .option("checkpointLocation", f"{tmp_path}/checkpoint").trigger(availableNow=True).start()
+        )
+        query.awaitTermination()
+        held += [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress]
+    drained = spark.read.schema(out.schema).parquet(f"{tmp_path}/rows")
+    assert drained.count() == 430 and stateful.late_rows(drained, "k").count() == 0
+    # A waiting row is an entry and a timer: 54 rows a slice, and those of the last hour.
+    assert max(held) < 2.5 * 2 * 54 < 2 * 430
+    assert held[-1] <= 2
