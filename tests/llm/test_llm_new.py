@@ -1,4 +1,4 @@
-"""Collocations, linked secrets and conversation repair on small tables and edge cases."""
+"""Collocations, linked secrets, conversation repair and disguised insults, with edge cases."""
 
 import hashlib
 import random
@@ -11,7 +11,7 @@ import pyarrow as pa
 import pytest
 from compare import compare
 
-from tidemark.llm import collocations, conversations, queries, secrets
+from tidemark.llm import collocations, conversations, queries, secrets, toxicity
 
 TEXTS = "doc_id long, text string, lang string, n long, key string, parts string, score string"
 
@@ -219,3 +219,82 @@ def test_op13_over_its_table(spark):
     rows = db.execute(f"SELECT conv_id, turn, role, text FROM '{path}/conversations.parquet'").fetchall()
     got = {r[0]: tuple(r)[1:] for r in queries.op13_conversations(spark, path).collect()}
     assert got == {c: brute.repair(v) for c, v in brute.damaged_rows(rows).items()}
+
+
+# -- the toxicity kernel ------------------------------------------------------
+
+
+def subsequences(word):
+    """Weights of a marked word's subsequences of three and four characters."""
+    from itertools import combinations
+
+    chars, out, square = "\x01" + word + "\x02", defaultdict(float), 0.0
+    for size in (3, 4):
+        for at in combinations(range(len(chars)), size):
+            gaps = at[-1] - at[0] + 1 - size
+            if gaps <= toxicity.GAPS:
+                weight = toxicity.DECAY**gaps
+                out["".join(chars[i] for i in at)] += weight
+                square += weight**2
+    return out, square**0.5
+
+
+def test_kernel_against_enumeration():
+    words = ["idiot", "idxiot", "aaaa", "é", "ab", "stupid", "übel", "idi"]
+    marks = pa.array([w.encode() for w in ("idiot", "stupid", "übel")], pa.binary())
+    got = toxicity.Landmarks(marks).kernel(pa.array([w.encode() for w in words], pa.binary()))
+    for i, a in enumerate(words):
+        for j, b in enumerate(("idiot", "stupid", "übel")):
+            (x, n), (z, m) = subsequences(a), subsequences(b)
+            assert got[i, j] == pytest.approx(sum(v * z[k] for k, v in x.items() if k in z) / (n * m))
+
+
+@pytest.fixture(scope="module")
+def insulting():
+    """A model of sf0.1, held-out texts with labels, and how to change their insults."""
+    import re
+
+    path = "/root/testdata/sf0.1"
+    rows = duckdb.execute(
+        f"""SELECT doc_id, text, toxic FROM '{path}/documents.parquet' JOIN '{path}/labels.parquet' USING (doc_id)
+        WHERE toxic IS NOT NULL AND text IS NOT NULL AND length(text) <= 20000 ORDER BY doc_id"""
+    ).fetchall()
+    part = [brute.zlib.crc32(str(r[0]).encode()) % 5 for r in rows]
+    train = [r for r, p in zip(rows, part, strict=True) if p]
+    clean = random.Random(0).sample([r for r in train if r[2] == 0], 1500)
+    bad = [r for r in train if r[2] == 1]
+    model = toxicity.fit([r[1] for r in bad + clean], [r[2] for r in bad + clean], len(bad) / (len(train) - len(bad)))
+    lookup = toxicity.Lookup(model.features)
+
+    def predicted(texts):
+        x = toxicity.text_features(pa.array(texts, pa.string()), model, lookup)
+        return x @ model.calibration >= 0
+
+    held = [r for r, p in zip(rows, part, strict=True) if not p]
+    insult = re.compile(r"\b(stupid|disgusting|idiot|clown|trash|pathetic|worthless|moron|loser)\b", re.I)
+    return predicted, held, insult
+
+
+@pytest.mark.parametrize("how", ["hyphen", "letter", "space", "spelled"])
+def test_disguised_insults_are_caught(insulting, how):
+    predicted, held, insult = insulting
+    make = random.Random(1)
+
+    def change(match):
+        word = match.group()
+        at = make.randrange(2, len(word) - 1)
+        if how == "spelled":
+            return " ".join(word)
+        return word[:at] + {"hyphen": "-", "letter": make.choice("bcdfgklmnprstvxz"), "space": " "}[how] + word[at:]
+
+    texts = [t for _, t, toxic in held if toxic and insult.search(t)]
+    plain = predicted(texts).mean()
+    assert len(texts) > 40 and plain > 0.9
+    assert predicted([insult.sub(change, t) for t in texts]).mean() >= 0.9 * plain
+
+
+def test_clean_texts_are_left_alone(insulting):
+    predicted, held, _ = insulting
+    assert predicted([t for _, t, toxic in held if not toxic]).mean() <= 0.02
+    same = predicted(["", None, "...", "-- !!"])
+    assert not same.any()

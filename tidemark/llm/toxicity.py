@@ -1,13 +1,17 @@
 """Toxicity by a subsequence string kernel, Nyström landmarks and a linear SVM.
 
 The kernel of two words sums over the subsequences of three and four characters
-that both have, with at most ``GAPS`` characters between: each missing or inserted
-character halves a subsequence's weight, so ``i-d-i-o-t``, ``idxiot`` and ``i d i o t``
-stay near ``idiot``. Words lose their signs first, and runs of single letters are one
-word. Landmarks are insults found in the training texts; on the Nyström map of the
-words' kernel values to them, an SVM parts the words that make a sentence toxic
-from those of clean sentences. A sentence scores as its worst word, a text by its
-worst sentence and how many words are on the toxic side.
+that both have, with at most ``GAPS`` characters between; each character between
+takes a part of a subsequence's weight. Words lose their signs first (``i-d-i-o-t``), and
+runs of single letters are one word. Landmarks are insults found in the training texts;
+on the Nyström map of the words' kernel values to them, an SVM parts the words that make
+a sentence toxic from those of clean sentences.
+
+What is scored are the words of a text and runs of two to ``MOST_JOINED`` neighbouring
+words without the spaces (``id iot``), where the words meet as inside a landmark. A word on
+the toxic side also scores as what is left of it without up to ``INSERTED`` of its inner
+characters (``idxiot``). A sentence scores as its worst word or run, a text by its worst
+sentence and how many words and runs are on the toxic side.
 
 Learned from labelled texts only: from at most ``PER_CLASS`` of each class, of at most
 ``LONGEST`` characters. The label of a text is passed to its sentences: all sentences
@@ -36,6 +40,11 @@ NEGATIVES = 30_000
 GAPS = 2
 DECAY = 0.7
 LEAST = -3.0
+#: Characters that may have been put into a word, and what each takes from its score.
+INSERTED = 2
+INSERTED_COST = 0.3
+#: Neighbouring units that may together be one word.
+MOST_JOINED = 4
 #: Log-likelihood ratio from which a word or piece tells toxic texts from clean ones.
 TELLING = 20.0
 
@@ -53,6 +62,8 @@ class Model:
     weights: np.ndarray  # the SVM's weight of each
     bias: float
     calibration: np.ndarray  # weights of ``text_features``
+    near: np.ndarray  # by ``_trigrams``: runs of three bytes that landmarks have
+    longest: int  # bytes of the longest landmark
 
 
 class Units:
@@ -92,6 +103,43 @@ class Units:
         ).dictionary_encode()
         return coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary
 
+    def windows(self, near: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Runs of two to ``MOST_JOINED`` neighbouring units that may hide a landmark.
+
+        Where two units meet, the runs of three bytes over the border must be a landmark's,
+        and all units together not be longer than the longest one by more than a byte.
+        Returns the first unit, the last one and the number of bytes of each run.
+        """
+        sizes = np.diff(self.offsets)
+        border = self.offsets[1:-1]
+        same = self.rows[1:] == self.rows[:-1]
+        known = np.append(near[_trigrams(self.chars)], [False, False]) if len(self.chars) > 2 else None
+        if known is None or not len(border):
+            none = np.zeros(0, np.int64)
+            return none, none, none
+        before = (sizes[:-1] < 2) | known[border - 2]
+        after = (sizes[1:] < 2) | known[border - 1]
+        meets = same & before & after
+        firsts, lasts = [], []
+        fits = meets.copy()
+        for units in range(2, MOST_JOINED + 1):
+            at = np.flatnonzero(fits)
+            at = at[self.offsets[at + units] - self.offsets[at] <= longest + 1]
+            firsts.append(at)
+            lasts.append(at + units - 1)
+            fits = fits[:-1] & meets[units - 1 :]
+        first, last = np.concatenate(firsts), np.concatenate(lasts)
+        return first, last, self.offsets[last + 1] - self.offsets[first]
+
+    def joined(self, first: np.ndarray, sizes: np.ndarray) -> pa.Array:
+        """The bytes of runs of units as words: spaces between them are dropped."""
+        ends = np.zeros(len(sizes) + 1, np.int32)
+        np.cumsum(sizes, out=ends[1:])
+        at = np.repeat(self.offsets[first] - ends[:-1], sizes) + np.arange(ends[-1])
+        return pa.Array.from_buffers(
+            pa.binary(), len(sizes), [None, pa.py_buffer(ends), pa.py_buffer(self.chars[at])]
+        )
+
     def sentences(self) -> np.ndarray:
         """A number for each unit's sentence."""
         raw = np.append(self.batch.bytes, 10)
@@ -103,6 +151,12 @@ class Units:
         return np.cumsum(opens)
 
 
+def _trigrams(chars: np.ndarray) -> np.ndarray:
+    """A number below ``1 << 16`` for each run of three bytes."""
+    c = chars.astype(np.int64)
+    return (c[:-2] * 7919 + c[1:-1] * 263 + c[2:]) & 0xFFFF
+
+
 def points(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Code points of the words between a start mark 1 and an end mark 2, and the word of each."""
     joined = b"\x02\x01".join(words.to_pylist())
@@ -186,8 +240,37 @@ def word_scores(words: pa.Array, model: Model, lookup: Lookup) -> np.ndarray:
     return sums / np.sqrt(np.maximum(norms, 1e-12)) + model.bias
 
 
+def best_scores(words: pa.Array, model: Model, lookup: Lookup) -> np.ndarray:
+    """``word_scores``, or more where a word without some inner characters scores higher.
+
+    An inserted character breaks many subsequences at once, and the whole word's length
+    in the kernel's space grows. So from a word on the toxic side, the subsequence that
+    leaves out one character and scores best is taken as a word of its own, and again
+    from there, up to ``INSERTED`` characters, each at the cost of ``INSERTED_COST``.
+    """
+    out = word_scores(words, model, lookup)
+    near = np.flatnonzero(out > 0).tolist()
+    held = {i: words[i].as_py().decode("utf-8", "replace") for i in near}
+    for lost in range(1, INSERTED + 1):
+        held = {i: w for i, w in held.items() if 5 <= len(w) <= model.longest + INSERTED + 1 - lost}
+        shorter = [(i, w[:at] + w[at + 1 :]) for i, w in held.items() for at in range(1, len(w) - 1)]
+        if not shorter:
+            break
+        found = word_scores(pa.array([w.encode() for _, w in shorter], pa.binary()), model, lookup)
+        own = np.array([i for i, _ in shorter])
+        first = np.flatnonzero(np.diff(own, prepend=-1))
+        best = np.maximum.reduceat(found, first)
+        out[own[first]] = np.maximum(out[own[first]], best - INSERTED_COST * lost)
+        order = np.lexsort((-found, own))
+        held = {int(own[i]): shorter[i][1] for i in order[first].tolist()}
+    return out
+
+
 def text_features(texts: pa.Array, model: Model, lookup: Lookup) -> np.ndarray:
-    """1, the worst word's score, the number and the share of toxic words (as logs)."""
+    """1, the worst score of a word or run, the number and share of toxic ones (as logs).
+
+    A null or empty text, or one of signs only, has no words: its worst score is ``LEAST``.
+    """
     out = []
     for part in slices(texts):
         units = Units(part)
@@ -195,11 +278,21 @@ def text_features(texts: pa.Array, model: Model, lookup: Lookup) -> np.ndarray:
         toxic = np.zeros(units.batch.rows)
         if len(units):
             codes, different = units.codes()
-            scores = word_scores(different, model, lookup)[codes]
+            scores = best_scores(different, model, lookup)[codes]
             some = np.flatnonzero(units.counts)
             starts = (np.cumsum(units.counts) - units.counts)[some]
             worst[some] = np.maximum(np.maximum.reduceat(scores, starts), LEAST)
             toxic[some] = np.add.reduceat((scores > 0).astype(np.float64), starts)
+            first, last, sizes = units.windows(model.near, model.longest)
+            if len(first):
+                coded = units.joined(first, sizes).dictionary_encode()
+                codes = coded.indices.to_numpy(zero_copy_only=False)
+                found = best_scores(coded.dictionary, model, lookup)[codes]
+                np.maximum.at(worst, units.rows[first], found)
+                # A run counts if it is toxic and none of its units is by itself.
+                upto = np.concatenate([[0], np.cumsum(scores > 0)])
+                alone = (found > 0) & (upto[last + 1] == upto[first])
+                toxic += np.bincount(units.rows[first[alone]], minlength=len(toxic))
         share = np.log((toxic + 0.1) / (units.counts + 50))
         out.append(np.stack([np.ones(len(worst)), worst, np.log1p(toxic), share], axis=1))
     return np.concatenate(out) if out else np.zeros((0, 4))
@@ -393,7 +486,14 @@ def fit(texts: list[str], labels: list[int], odds: float | None = None) -> Model
     good = values > 1e-6 * values.max()
     root = vectors[:, good] / np.sqrt(values[good]) @ vectors[:, good].T
     w, bias = _svm(x @ root, y, n / n.mean())
-    model = Model(landmarks.features, landmarks.table @ (root @ w), float(bias), np.zeros(4))
+    insults = [w.as_py() for w in words.take(pa.array(chosen[:LANDMARKS]))]
+    near = np.zeros(1 << 16, dtype=bool)
+    for insult in insults:
+        if len(insult) > 2:
+            near[_trigrams(np.frombuffer(insult, np.uint8))] = True
+    longest = max(map(len, insults))
+    weights = landmarks.table @ (root @ w)
+    model = Model(landmarks.features, weights, float(bias), np.zeros(4), near, longest)
     found = text_features(pa.array(texts, pa.string()), model, landmarks.lookup)
     model.calibration = _logistic(found, toxic.astype(float))
     if odds is not None:
@@ -440,11 +540,14 @@ def learn(
 
 
 def scored(text: Column, model: Model | None, spark) -> Column:
-    """Column with the probability of label 1; without a model 0 for every text."""
+    """Column with the probability of label 1; without a model 0 for every text.
+
+    Null and empty texts score alike, as texts without words; repeated rows score alike.
+    """
     if model is None:
         return F.lit(0.0)
     shared = spark.sparkContext.broadcast(
-        (model.features, model.weights, model.bias, model.calibration)
+        (model.features, model.weights, model.bias, model.calibration, model.near, model.longest)
     )
 
     def score(texts: pa.Array) -> pa.Array:
