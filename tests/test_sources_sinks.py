@@ -170,3 +170,13 @@ def test_upsert_statements_and_flow(spark):
     )
     run(df, 0)
     assert calls == [[("a", 2.0)], [update, insert]]
+
+
+def test_good_lines_are_parsed_once(spark, tmp_path):
+    """No filter parses a line that the projection parses too."""
+    (tmp_path / "b.csv").write_text("1,2,3,pv,1700000000\nbad\n1,2,x,pv,5\n\n")
+    good = files.read_behavior(spark, f"{tmp_path}/b.csv")
+    views = good.filter("behavior = 'pv'").groupBy("item_id").count()
+    assert [tuple(r) for r in views.collect()] == [(2, 1)]
+    plan = views._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    assert not [x for x in plan if "Filter" in x and ("split" in x or "cast" in x)]

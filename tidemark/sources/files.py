@@ -79,8 +79,16 @@ def parse_keyed_times(df: DataFrame, column: str = "value") -> DataFrame:
 
 
 def accepted(parsed: DataFrame, required: tuple[str, ...] = ("ts",)) -> DataFrame:
-    """Rows whose required fields parsed."""
-    return parsed.dropna(subset=list(required)).drop("line")
+    """Rows whose required fields parsed.
+
+    A filter would parse each line twice, once to judge it and once to use it, as it moves
+    below the parsing. Good rows are unfolded from an array of one instead.
+    """
+    good = F.lit(True)
+    for name in required:
+        good = good & F.col(name).isNotNull()
+    row = F.struct(*[c for c in parsed.columns if c != "line"])
+    return parsed.select(F.explode(F.when(good, F.array(row))).alias("_row")).select("_row.*")
 
 
 def rejected(parsed: DataFrame, required: tuple[str, ...] = ("ts",)) -> DataFrame:
