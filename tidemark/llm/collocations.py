@@ -330,13 +330,12 @@ def _exact(name: str) -> Column:
     return F.col(name).cast("decimal(19,0)")
 
 
-def collocations(
-    frequent: DataFrame, longest: int = LONGEST, swallowed: int = 50
-) -> DataFrame:
+def collocations(frequent: DataFrame, swallowed: int = 50) -> DataFrame:
     """Scored phrases of two words or more: ``lang, phrase, a, l, r, score``.
 
-    Of all cuts in two the lowest-scoring counts, ties to the shortest first part.
-    Phrases of which ``swallowed`` percent or more lie in one longer phrase are left out.
+    ``frequent`` holds a phrase's parts as well as the phrase, as ``frequent_phrases``
+    gives them. Of all cuts in two the lowest-scoring counts, ties to the shortest first
+    part. Phrases of which ``swallowed`` percent or more lie in one longer phrase are left out.
     """
     words = F.split("phrase", " ")
     cuts = F.transform(
