@@ -4,28 +4,37 @@ Only for streams whose semantics need state or timers; bounded data has set
 based forms in ``tidemark.operators``. Conventions:
 
 * Rows carry ``_t`` (event time in microseconds) and ``_tie``. ``Held`` keeps rows
-  in state until the watermark has passed them and then hands them to a machine in
-  that order, one millisecond of a key at a time: results do not depend on how rows
-  fall into micro-batches, and no more than such a group is in memory at once.
+  in state until the watermark has passed them and then hands a machine all that have
+  waited, in that order: results do not depend on how rows fall into micro-batches.
+  Rows wait in sorted runs, of which only those that overlap are in memory at once.
+* Each access to state is a message to the JVM. A key costs a fixed number of them for
+  each micro-batch that brings it rows or passes a deadline of it, not some for each row.
 * A row that comes behind the watermark leaves as a late row.
 * A deadline that lies before a row is handled before that row, whether or not
   its timer has fired; a row at the deadline comes first. A timer that finds
-  nothing due does nothing.
+  nothing due does nothing. A machine sets a timer for the earliest of its deadlines.
 """
 
 from __future__ import annotations
 
+import heapq
 from collections import deque
 from collections.abc import Iterator
+from itertools import groupby, islice
+from types import SimpleNamespace
 from typing import Any
 
 from pyspark.sql import Row
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 
+def place(t: int, tie: int | None) -> tuple:
+    """A row's place in its key: by time, then tie; a null tie first, as in ascending order."""
+    return t, tie is not None, tie or 0
+
+
 def in_order(rows: Iterator[Row]) -> list[Row]:
-    """By time, then tie; a null tie comes first, as in Spark's ascending order."""
-    return sorted(rows, key=lambda r: (r["_t"], r["_tie"] is not None, r["_tie"] or 0))
+    return sorted(rows, key=lambda r: place(r["_t"], r["_tie"]))
 
 
 def timer_ms(us: int) -> int:
@@ -37,6 +46,11 @@ class Emitting(StatefulProcessor):
     """Common parts: output rows by field name."""
 
     fields: tuple[str, ...] = ()
+    #: Whether rows come in order, however many, as those that waited do.
+    ordered = False
+
+    def in_order(self, rows: Iterator[Row]) -> Iterator[Row]:
+        return rows if self.ordered else iter(in_order(rows))
 
     def row(self, *values: Any) -> Row:
         return Row(*self.fields)(*values)
@@ -63,14 +77,139 @@ class Keyed(Emitting):
         return list(got) if got is not None else list(default)
 
 
+class KeptValue:
+    """A value state that is read and written at most once between two calls of ``flush``."""
+
+    def __init__(self, state):
+        self.state = state
+        self.forget()
+
+    def forget(self) -> None:
+        self.known = self.changed = False
+        self.stored = self.value = None
+
+    def read(self) -> Any:
+        return self.state.get()
+
+    def write(self) -> None:
+        self.state.update(self.value)
+
+    def get(self) -> Any:
+        if not self.known:
+            self.stored = self.value = self.read()
+            self.known = True
+        return self.value
+
+    def update(self, value: Any) -> None:
+        if not self.changed:
+            self.get()
+        self.value, self.changed = value, True
+
+    def clear(self) -> None:
+        self.update(None)
+
+    def flush(self) -> None:
+        if self.changed and self.value != self.stored:
+            if self.value:
+                self.write()
+            else:
+                self.state.clear()  # also for an empty list, which cannot be written
+        self.forget()
+
+
+class KeptList(KeptValue):
+    """The same for a list state."""
+
+    def read(self) -> list:
+        return list(self.state.get())
+
+    def write(self) -> None:
+        self.state.put(self.value)
+
+    put = KeptValue.update
+
+
+class KeptMap:
+    """The same for the entries of a map state."""
+
+    def __init__(self, state):
+        self.state = state
+        self.forget()
+
+    def forget(self) -> None:
+        self.stored: bool | None = None
+        self.cleared = False
+        self.changed: dict[tuple, tuple] = {}
+
+    def _stored(self) -> bool:
+        if self.stored is None:
+            self.stored = self.state.exists()
+        return self.stored and not self.cleared
+
+    def containsKey(self, key: tuple) -> bool:
+        return key in self.changed or self._stored() and self.state.containsKey(key)
+
+    def getValue(self, key: tuple) -> tuple:
+        return self.changed[key] if key in self.changed else self.state.getValue(key)
+
+    def updateValue(self, key: tuple, value: tuple) -> None:
+        self.changed[key] = value
+
+    def clear(self) -> None:
+        self.cleared = True
+        self.changed = {}
+
+    def flush(self) -> None:
+        if self.cleared and (self.stored is None or self.stored):
+            self.state.clear()
+        for key, value in self.changed.items():
+            self.state.updateValue(key, value)
+        self.forget()
+
+
+class KeptHandle:
+    """A machine's states and its next timer, taken to the store by ``flush``."""
+
+    def __init__(self, handle: StatefulProcessorHandle):
+        self.handle = handle
+        self.states: list[KeptValue | KeptMap] = []
+        self.timer: int | None = None
+
+    def _kept(self, state):
+        self.states.append(state)
+        return state
+
+    def getValueState(self, *args) -> KeptValue:
+        return self._kept(KeptValue(self.handle.getValueState(*args)))
+
+    def getListState(self, *args) -> KeptList:
+        return self._kept(KeptList(self.handle.getListState(*args)))
+
+    def getMapState(self, *args) -> KeptMap:
+        return self._kept(KeptMap(self.handle.getMapState(*args)))
+
+    def registerTimer(self, ms: int) -> None:
+        self.timer = ms
+
+    def flush(self, watermark: int) -> None:
+        for state in self.states:
+            state.flush()
+        if self.timer is not None and self.timer > watermark:
+            self.handle.registerTimer(self.timer)
+        self.timer = None
+
+
 class Held(Emitting):
     """A machine that gets a key's rows in order of time, whenever they arrive.
 
-    Rows wait in a map by the millisecond at which the watermark passes them. The
-    machine's rows leave with two more fields, null for them: time and tie of a row
-    that came too late.
+    Rows wait in sorted runs, in a map by the millisecond at which the watermark passes
+    the run's first row, and a number. The machine's rows leave with two more fields,
+    null for them: time and tie of a row that came too late.
     """
 
+    #: Rows of a run, and rows of a key that are sorted at once.
+    RUN, SORTED = 512, 1 << 16
+
     def __init__(self, machine: Emitting, columns: tuple[str, ...], row_schema: str):
         self.machine = machine
         self.columns = columns
@@ -78,37 +217,82 @@ class Held(Emitting):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.held = handle.getMapState("held", "ms long", f"rows array<struct<{self.row_schema}>>")
+        schema = f"rows array<struct<{self.row_schema}>>"
+        self.held = handle.getMapState("held", "ms long, no long", schema)
+        self.t, self.tie = (self.columns.index(c) for c in ("_t", "_tie"))
+        self.make = Row(*self.columns)
+        self.kept = KeptHandle(handle)
         self.machine.fields = self.fields[:-2]
-        self.machine.init(handle)
+        self.machine.ordered = True
+        self.machine.init(self.kept)
+
+    def _place(self, row: tuple) -> tuple:
+        return place(row[self.t], row[self.tie])
+
+    def _hold(self, run: list[tuple]) -> None:
+        ms, no = timer_ms(run[0][self.t]), 0
+        while self.held.containsKey((ms, no)):
+            no += 1
+        self.held.updateValue((ms, no), (run,))
+        if no == 0:
+            self.handle.registerTimer(ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         watermark = timerValues.getCurrentWatermarkInMs()
-        arrived: dict[int, list[tuple]] = {}
-        for r in rows:
-            ms = timer_ms(r["_t"])
-            if watermark > 0 and ms <= watermark:
-                blank = [None] * (len(self.fields) - len(key) - 2)
-                yield self.row(*key, *blank, r["_t"], r["_tie"])
-            else:
-                arrived.setdefault(ms, []).append(tuple(r[c] for c in self.columns))
-        for ms, some in arrived.items():
-            if self.held.containsKey((ms,)):
-                some = [tuple(r) for r in self.held.getValue((ms,))[0]] + some
-            else:
-                self.handle.registerTimer(ms)
-            self.held.updateValue((ms,), (some,))
+        blank = [None] * (len(self.fields) - len(key) - 2)
+        while some := [tuple(r[c] for c in self.columns) for r in islice(rows, self.SORTED)]:
+            fresh = []
+            for r in some:
+                if watermark > 0 and timer_ms(r[self.t]) <= watermark:
+                    yield self.row(*key, *blank, r[self.t], r[self.tie])
+                else:
+                    fresh.append(r)
+            fresh.sort(key=self._place)
+            for at in range(0, len(fresh), self.RUN):
+                self._hold(fresh[at : at + self.RUN])
+
+    def _taken(self, run: tuple, watermark: int) -> list[tuple]:
+        """The rows of a run that the watermark has passed; the others wait on."""
+        rows = [tuple(r) for r in self.held.getValue(run)[0]]
+        self.held.removeKey(run)
+        due = len(rows)
+        while timer_ms(rows[due - 1][self.t]) > watermark:
+            due -= 1
+        if due < len(rows):
+            self._hold(rows[due:])
+        return rows[:due]
+
+    def _due(self, runs: list[tuple], watermark: int) -> Iterator[Row]:
+        """Rows of all runs in order; a run is read when the first of its rows is near."""
+        heap: list[tuple] = []
+
+        def upto(ms: int | None) -> Iterator[Row]:
+            while heap and (ms is None or timer_ms(heap[0][0][0]) < ms):
+                _, no, row, more = heap[0]
+                yield self.make(*row)
+                following = next(more, None)
+                if following is None:
+                    heapq.heappop(heap)
+                else:
+                    heapq.heapreplace(heap, (self._place(following), no, following, more))
+
+        for no, run in enumerate(runs):
+            yield from upto(run[0])
+            rows = iter(self._taken(run, watermark))
+            first = next(rows)
+            heapq.heappush(heap, (self._place(first), no, first, rows))
+        yield from upto(None)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        ms = expiredTimerInfo.getExpiryTimeInMs()
-        if self.held.containsKey((ms,)):
-            make = Row(*self.columns)
-            rows = [make(*r) for r in self.held.getValue((ms,))[0]]
-            self.held.removeKey((ms,))
-            for out in self.machine.handleInputRows(key, iter(rows), timerValues):
+        watermark = timerValues.getCurrentWatermarkInMs()
+        runs = sorted(tuple(k) for k in self.held.keys() if k[0] <= watermark)
+        if runs:
+            for out in self.machine.handleInputRows(key, self._due(runs, watermark), timerValues):
                 yield self.row(*out, None, None)
-        for out in self.machine.handleExpiredTimer(key, timerValues, expiredTimerInfo):
+        now = SimpleNamespace(getExpiryTimeInMs=lambda: watermark)
+        for out in self.machine.handleExpiredTimer(key, timerValues, now):
             yield self.row(*out, None, None)
+        self.kept.flush(watermark)
 
 
 class Jumps(Keyed):
@@ -126,7 +310,7 @@ class Jumps(Keyed):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         (prev,) = self.load(None)
-        for r in in_order(rows):
+        for r in self.in_order(rows):
             value, before = r["value"], self.first if prev is None else prev
             if value is not None and before is not None and abs(value - before) > self.threshold:
                 yield self.row(key[0], r["_t"], r["_tie"], before, value)
@@ -134,27 +318,38 @@ class Jumps(Keyed):
         self.s.update((prev,))
 
 
-class Callbacks(Emitting):
+class Callbacks(Keyed):
     """A callback ``after`` each distinct event time of a key, in milliseconds."""
 
+    state_schema = "due array<long>"
+
     def __init__(self, after_us: int):
         self.after_us = after_us
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.due = handle.getMapState("due", "ms long", "set boolean")
-
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        for ms in sorted({(r["_t"] + self.after_us) // 1000 for r in rows}):
-            self.due.updateValue((ms,), (True,))
-            self.handle.registerTimer(ms)
-        return iter(())
+        (due,) = self.load([])
+        due = deque(due)  # rows come in order of time, so do their callbacks
+        for r in self.in_order(rows):
+            while due and due[0] < r["_t"] // 1000:
+                yield self.row(key[0], due.popleft())
+            ms = (r["_t"] + self.after_us) // 1000
+            if not due or due[-1] != ms:
+                due.append(ms)
+        self._keep(due)
+
+    def _keep(self, due: deque) -> None:
+        if due:
+            self.handle.registerTimer(due[0])
+            self.s.update((list(due),))
+        else:
+            self.s.clear()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        ms = expiredTimerInfo.getExpiryTimeInMs()
-        if self.due.containsKey((ms,)):
-            self.due.removeKey((ms,))
-            yield self.row(key[0], ms)
+        (due,) = self.load([])
+        due = deque(due)
+        while due and due[0] <= expiredTimerInfo.getExpiryTimeInMs():
+            yield self.row(key[0], due.popleft())
+        self._keep(due)
 
 
 class Armed(Keyed):
@@ -174,7 +369,7 @@ class Armed(Keyed):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         opened, n, prev = self.load(None, 0, None)
         before = opened
-        for r in in_order(rows):
+        for r in self.in_order(rows):
             t = r["_t"]
             if opened is not None and t > opened + self.hold:
                 if n >= self.at_least:
@@ -221,8 +416,7 @@ class OrderSlot(Keyed):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         slot_t, slot_tie, created, due = self.load(None, None, None, [])
         due = deque(due)  # rows come in order of time, so do their deadlines
-        fresh = []
-        for r in in_order(rows):
+        for r in self.in_order(rows):
             t = r["_t"]
             while due and due[0] < t:
                 at = due.popleft()
@@ -232,10 +426,7 @@ class OrderSlot(Keyed):
             if slot_t is None or not r["created"]:
                 slot_t, slot_tie, created = t, r["_tie"], r["created"]
             due.append(t + self.wait)
-            fresh.append(t + self.wait)
-        waiting = set(due)
-        for at in sorted({timer_ms(a) for a in fresh if a in waiting}):
-            self.handle.registerTimer(at)
+        self.handle.registerTimer(timer_ms(due[0]))
         self.s.update((slot_t, slot_tie, created, list(due)))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
@@ -247,6 +438,8 @@ class OrderSlot(Keyed):
             if slot_t is not None and created:
                 yield self.row(key[0], slot_t, slot_tie, at)
             slot_t = slot_tie = created = None
+        if due:
+            self.handle.registerTimer(timer_ms(due[0]))
         if slot_t is None and not due:
             self.s.clear()
         else:
@@ -264,7 +457,7 @@ class Reconciler(Keyed):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         side, t, tie = self.load(None, None, None)
         before = t
-        for r in in_order(rows):
+        for r in self.in_order(rows):
             if side is not None and r["_t"] - t > self.wait:
                 yield self.row(key[0], side, False, t, tie, None, None)
                 side = None
@@ -308,9 +501,7 @@ class Gate(Keyed):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         is_open, closes = self.load(False, [])
         closes = sorted(closes)
-        registered = set(closes)
-        # a switch sorts before readings of its own instant
-        for r in sorted(rows, key=lambda r: (r["_t"], not r["is_switch"], r["_tie"] or 0)):
+        for r in self._switches_first(rows):
             t = r["_t"]
             while closes and closes[0] <= t:
                 closes.pop(0)
@@ -322,10 +513,15 @@ class Gate(Keyed):
                     closes = closes[-1:]
             elif is_open:
                 yield self.row(key[0], t, r["_tie"])
-        for at in set(closes) - registered:
-            self.handle.registerTimer(timer_ms(at))
+        if closes:
+            self.handle.registerTimer(timer_ms(closes[0]))
         self.s.update((is_open, closes))
 
+    def _switches_first(self, rows: Iterator[Row]) -> Iterator[Row]:
+        """A switch comes before readings of its own instant."""
+        for _, some in groupby(self.in_order(rows), lambda r: r["_t"]):
+            yield from sorted(some, key=lambda r: (not r["is_switch"], r["_tie"] or 0))
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         is_open, closes = self.load(False, [])
         now = expiredTimerInfo.getExpiryTimeInMs()
@@ -333,6 +529,7 @@ class Gate(Keyed):
         if len(left) < len(closes):
             is_open = bool(left) and not self.first_close and is_open
         if left:
+            self.handle.registerTimer(timer_ms(min(left)))
             self.s.update((is_open, left))
         else:
             self.s.clear()
@@ -360,8 +557,7 @@ class Sequences(Emitting):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         kept = [list(r) for r in self.recent.get()]
-        fresh = set()
-        for r in in_order(rows):
+        for r in self.in_order(rows):
             t, fits = r["_t"], r["fits"]
             now = [t, r["_tie"], bool(fits[0])]
             for i, start in enumerate(kept):
@@ -381,24 +577,24 @@ class Sequences(Emitting):
             kept = kept[-(self.steps - 1):] if self.steps > 1 else []
             if now[2] and self.steps == 1:
                 yield self._row(key, "matched", [now])
-            if now[2] and self.within is not None:
-                fresh.add(timer_ms(t + self.within))
-        if self.on_timeout:
-            for at in sorted(fresh):
-                self.handle.registerTimer(at)
+        self._keep(kept)
+
+    def _keep(self, kept: list[list]) -> None:
+        begun = [k[0] for k in kept if k[2]]
+        if begun and self.on_timeout:
+            self.handle.registerTimer(timer_ms(begun[0] + self.within))
         self.recent.put([tuple(k) for k in kept])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        if not self.on_timeout:
+            return
         now = expiredTimerInfo.getExpiryTimeInMs()
         kept = [list(r) for r in self.recent.get()]
-        out = []
         for i, start in enumerate(kept):
             if start[2] and timer_ms(start[0] + self.within) <= now:
                 start[2] = False
-                out.append(self._row(key, "timeout", kept[i:]))
-        if out:
-            self.recent.put([tuple(k) for k in kept])
-        return iter(out)
+                yield self._row(key, "timeout", kept[i:])
+        self._keep(kept)
 
 
 class MinMaxLog(Keyed):
@@ -414,7 +610,7 @@ class MinMaxLog(Keyed):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         lo, hi, seen = self.load(None, None, False)
-        for r in in_order(rows):
+        for r in self.in_order(rows):
             v = r["value"]
             new = (lo, hi)
             if v is not None:
@@ -489,7 +685,7 @@ class BitmapChunks(Emitting):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         self.handle.registerTimer(key[0])
         loaded: dict[int, bytearray] = {}
-        for r in in_order(rows):
+        for r in self.in_order(rows):
             chunk, place = divmod(r["bit"], 1 << self.CHUNK_BITS)
             bits = loaded.get(chunk)
             if bits is None:
@@ -530,7 +726,7 @@ class TopLog(Emitting):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         kept = [r[0] for r in self.top.get()]
-        for r in in_order(rows):
+        for r in self.in_order(rows):
             if r["value"] is None:
                 continue
             new = self.merged(kept, [r["value"]], self.n)
@@ -545,49 +741,53 @@ class TopLog(Emitting):
 
 
 class EarlyFire(Keyed):
-    """Count of one (key, window) at each boundary after its first row and at its end.
+    """Counts of a key's windows at each boundary after their first row and at their ends.
 
-    The first row sets a timer for each boundary, so that boundaries and waiting rows come
-    in order of time even when the watermark passes several at once; the last one purges
-    the state. A row at a boundary belongs to what follows it.
+    Rows carry ``end``, their window's end in milliseconds. The state holds the open
+    windows with their counts and next boundaries. A row at a boundary belongs to what
+    follows it.
     """
 
-    state_schema = "n long, due_us long"
+    state_schema = "open array<struct<end: long, n: long, due_us: long>>"
 
     def __init__(self, every_us: int):
         self.every = every_us
 
-    def _fire(self, key, n: int, due: int, until: int) -> tuple[list[Row], int]:
-        """Results of the boundaries from ``due`` to ``until``, and the next boundary."""
-        end, out = key[1] * 1000, []
-        while due <= min(until, end):
-            out.append(self.row(*key, due // 1000, n))
-            due = min(due + self.every, end) if due < end else end + 1
-        return out, due
+    def _fire(self, key, open_: dict[int, list[int]], until: int) -> Iterator[Row]:
+        """Results of the boundaries up to ``until``; closed windows go."""
+        for end in [e for e, (_, due) in open_.items() if due <= until]:
+            window, last = open_[end], end * 1000
+            while window[1] <= min(until, last):
+                n, due = window
+                yield self.row(key[0], end, due // 1000, n)
+                window[1] = min(due + self.every, last) if due < last else last + 1
+            if window[1] > last:
+                del open_[end]
+
+    def _load(self) -> dict[int, list[int]]:
+        return {end: [n, due] for end, n, due in self.load([])[0]}
+
+    def _keep(self, open_: dict[int, list[int]]) -> None:
+        if open_:
+            self.handle.registerTimer(timer_ms(min(due for _, due in open_.values())))
+            self.s.update(([(end, *window) for end, window in open_.items()],))
+        else:
+            self.s.clear()
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        n, due = self.load(0, 0)
-        end = key[1] * 1000
-        for r in in_order(rows):
-            if n == 0:
-                due = min((r["_t"] // self.every + 1) * self.every, end)
-                for at in [*range(due, end, self.every), end]:
-                    self.handle.registerTimer(timer_ms(at))
-            out, due = self._fire(key, n, due, r["_t"])
-            yield from out
-            n += 1
-        self.s.update((n, due))
+        open_ = self._load()
+        for r in self.in_order(rows):
+            t, end = r["_t"], r["end"]
+            yield from self._fire(key, open_, t)
+            if end not in open_:
+                open_[end] = [0, min((t // self.every + 1) * self.every, end * 1000)]
+            open_[end][0] += 1
+        self._keep(open_)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        n, due = self.load(0, 0)
-        if n == 0:
-            return
-        out, due = self._fire(key, n, due, expiredTimerInfo.getExpiryTimeInMs() * 1000)
-        yield from out
-        if due > key[1] * 1000:
-            self.s.clear()
-        elif out:
-            self.s.update((n, due))
+        open_ = self._load()
+        yield from self._fire(key, open_, expiredTimerInfo.getExpiryTimeInMs() * 1000)
+        self._keep(open_)
 
 
 class Passed(Emitting):
@@ -597,5 +797,5 @@ class Passed(Emitting):
         pass
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        for r in in_order(rows):
+        for r in self.in_order(rows):
             yield self.row(*key, r["_t"], r["_tie"])

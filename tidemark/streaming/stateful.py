@@ -284,11 +284,9 @@ def top_changelog(df: DataFrame, key: str, ts: str, tie: str, value: str, n: int
 
 def early_fire(df: DataFrame, key: str, ts: str, tie: str, size: str, every: str) -> DataFrame:
     """Running counts of a window at each ``every`` after its first row, by timers."""
-    keyed = df.withColumn(WINDOW_END, window_end_ms(ts, size))
-    rows = keyed.filter(F.col(ts).isNotNull()).select(
-        key, WINDOW_END, F.unix_micros(ts).alias("_t"), F.col(tie).cast("long").alias("_tie")
-    )
-    return _run(rows, [key, WINDOW_END], P.EarlyFire(micros(every)), "fire_at long, n long")
+    rows = _prepare(df, key, ts, tie, end=window_end_ms(ts, size))
+    schema = f"{WINDOW_END} long, fire_at long, n long"
+    return _run(rows, [key], P.EarlyFire(micros(every)), schema)
 
 
 def in_order(df: DataFrame, key: str, ts: str, tie: str) -> DataFrame:
