@@ -38,7 +38,7 @@ NO_LANGUAGE = "und"
 #: Slots of the table of reached phrases, for each length: its bytes.
 SLOTS = 1 << 24
 #: Texts are counted in blocks of this many bytes.
-BLOCK = 12 << 20
+BLOCK = 6 << 20
 NEVER = 255
 
 #: Bytes that end a piece, and bytes of words ``[^\x20\x09]+`` within pieces.
@@ -128,9 +128,9 @@ def _cut(texts: pa.Array, langs: np.ndarray, most: int) -> tuple[pa.Array, np.nd
 
 
 def _encoded(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A number for each key, and the different keys by number."""
+    """A number of 32 bits for each key, and the different keys by number."""
     coded = pa.array(keys).dictionary_encode()
-    return coded.indices.to_numpy().astype(np.int64), coded.dictionary.to_numpy()
+    return coded.indices.to_numpy(), coded.dictionary.to_numpy()
 
 
 class _Block:
@@ -144,10 +144,14 @@ class _Block:
             return
         codes, different = words.codes()
         rows = words.rows()
-        pieces = np.searchsorted(np.flatnonzero(BORDER[batch.bytes]), words.starts)
         #: Words that the next one follows within the piece.
-        self.joined = (rows[1:] == rows[:-1]) & (pieces[1:] == pieces[:-1])
-        self.ids, keys = _encoded(langs[rows] * len(different) + codes)
+        self.joined = rows[1:] == rows[:-1]
+        pieces = np.searchsorted(np.flatnonzero(BORDER[batch.bytes]), words.starts)
+        self.joined &= pieces[1:] == pieces[:-1]
+        del pieces, words  # a block's arrays are the memory of a worker
+        codes += langs[rows] * len(different)
+        del rows
+        self.ids, keys = _encoded(codes)
         self.langs, which = np.divmod(keys, len(different))
         self.names = names
         self.words = different.take(pa.array(which))
@@ -162,14 +166,14 @@ class _Block:
 
     def counted(self, ids: np.ndarray, parts: list[np.ndarray], start: np.ndarray) -> pa.RecordBatch:
         """Counts of phrases: ``ids`` numbers them, ``parts`` are their words."""
-        first = np.full(int(ids.max()) + 1 if len(ids) else 0, -1, dtype=np.int64)
-        first[ids[::-1]] = np.arange(len(ids))[::-1]
+        first = np.full(int(ids.max()) + 1 if len(ids) else 0, -1, dtype=np.int32)
+        first[ids[::-1]] = np.arange(len(ids), dtype=np.int32)[::-1]
         counts = np.bincount(ids, minlength=len(first))
         order = np.argsort(parts[0][first], kind="stable")  # equal beginnings side by side
         first = first[order]
         words = [self.words.take(pa.array(p[first])) for p in parts]
         phrase = words[0] if len(words) == 1 else pc.binary_join_element_wise(*words, b" ")
-        cycle = self.langs[parts[0][first]] * 256 + start[first]
+        cycle = self.langs[parts[0][first]] * 256 + start[first].astype(np.int64)
         cycles, which = np.unique(cycle, return_inverse=True)
         ends = pa.array([f"{self.names[c >> 8]}\t{c & 255}".encode() for c in cycles.tolist()], pa.binary())
         key = pc.binary_join_element_wise(phrase, ends.take(pa.array(which)), b"\t")
@@ -188,15 +192,15 @@ class _Block:
             return
         if step < shards:
             yield self.occurrences()
-            yield self.counted(self.ids, [self.ids], np.zeros(self.n, np.int64))
-        at = np.arange(self.n)  # where phrases of the length before start
+            yield self.counted(self.ids, [self.ids], np.zeros(self.n, np.uint8))
+        at = np.arange(self.n, dtype=np.int32)  # where phrases of the length before start
         folded = self.hashes[self.ids]
         hashes = folded
         for size in range(2, longest + 1):
             table = reached.get(size - 1)
             if table is None:
                 return
-            since = table[folded & np.uint64(len(table) - 1)].astype(np.int64)
+            since = table[folded & np.uint64(len(table) - 1)].astype(np.int16)
             follows = at[1:] == at[:-1] + 1
             follows &= self.joined[at[:-1] + size - 2]
             start = np.maximum(since[1:], since[:-1]) + 1
@@ -210,8 +214,13 @@ class _Block:
                 parts = [self.ids[places + i] for i in range(size)]
                 ids = parts[0]
                 for p in parts[1:]:
-                    ids, _ = _encoded(ids * (int(p.max()) + 1) + p)
+                    keys = ids.astype(np.int64)
+                    keys *= int(p.max()) + 1
+                    keys += p
+                    ids, _ = _encoded(keys)
+                    del keys
                 yield self.counted(ids, parts, start[active])
+                del places, parts, ids
             at = here
             folded = (folded[:-1][usable] >> np.uint64(20)) ^ hashes[at + size - 1]
 
