@@ -5,8 +5,10 @@ from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import Row
+from pyspark.sql import functions as F
 
 from tidemark.streaming import processors as P
+from tidemark.streaming.totals import running_totals
 
 
 class Store:
@@ -127,3 +129,18 @@ def test_windows_fire_at_every_boundary_and_end():
         got = sorted((r["end"] // hour, r["at"] // hour, r["n"]) for r in out)
         assert got == [(4, 1, 1), (4, 2, 1), (4, 3, 2), (4, 4, 2), (8, 6, 1), (8, 7, 1), (8, 8, 1)]
         assert not store.values.get("s")
+
+
+def test_totals_compute_their_batch_once(spark, tmp_path):
+    """A batch comes out of the stream's state, which each further run would read again."""
+    seen, schema = spark.sparkContext.accumulator(0), "window_end long, us long, id long, v long"
+
+    def counted(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    rows = spark.createDataFrame([(1000, i, i, 1) for i in range(20)], schema)
+    count = running_totals(f"{tmp_path}", ["us", "id"], F.col("v"), "n", at_us="us")
+    count(rows.mapInArrow(counted, schema), 0)
+    assert seen.value == 20

@@ -30,6 +30,13 @@ def running_totals(
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()  # several actions follow, and each would run the stream's state again
+        try:
+            write(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         rows = running(
             batch, [WINDOW_END], order, [Running("_own", "sum", value)], policy=policy
