@@ -9,6 +9,8 @@ based forms in ``tidemark.operators``. Conventions:
   Rows wait in sorted runs, of which only those that overlap are in memory at once.
 * Each access to state is a message to the JVM. A key costs a fixed number of them for
   each micro-batch that brings it rows or passes a deadline of it, not some for each row.
+  ``Dealt`` deals keys over a fixed number of groups: rows wait by group, and a key costs
+  messages only when rows or deadlines of its own are due.
 * A row that comes behind the watermark leaves as a late row.
 * A deadline that lies before a row is handled before that row, whether or not
   its timer has fired; a row at the deadline comes first. A timer that finds
@@ -18,12 +20,16 @@ based forms in ``tidemark.operators``. Conventions:
 from __future__ import annotations
 
 import heapq
+import pickle
+import random
+from bisect import bisect_left
 from collections import deque
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import groupby, islice
 from types import SimpleNamespace
 from typing import Any
 
+import pandas as pd
 from pyspark.sql import Row
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -295,6 +301,220 @@ class Held(Emitting):
         self.kept.flush(watermark)
 
 
+def pack(rows: Iterable[tuple]) -> bytes:
+    """Rows as one value, which neither Spark nor the state store takes apart."""
+    return pickle.dumps(list(rows), 5)
+
+
+unpack = pickle.loads
+
+
+class OwnState:
+    """A state of the key at hand: one field of its entry in the group's map."""
+
+    def __init__(self, empty: Any = None):
+        self.empty = empty
+        self.value: Any = None
+
+    def get(self) -> Any:
+        return self.empty if self.value is None else self.value
+
+    def update(self, value: Any) -> None:
+        self.value = value or None
+
+    put = update
+
+    def clear(self) -> None:
+        self.value = None
+
+
+class OwnHandle:
+    """States and timer of the key at hand, for a machine that serves one key after another."""
+
+    def __init__(self) -> None:
+        self.states: list[OwnState] = []
+        self.timer: int | None = None
+
+    def _own(self, state: OwnState) -> OwnState:
+        self.states.append(state)
+        return state
+
+    def getValueState(self, *args) -> OwnState:
+        return self._own(OwnState())
+
+    def getListState(self, *args) -> OwnState:
+        return self._own(OwnState(()))
+
+    def registerTimer(self, ms: int) -> None:
+        self.timer = ms
+
+    def load(self, values: list | None) -> None:
+        for state, value in zip(self.states, values or [None] * len(self.states), strict=True):
+            state.value = value
+        self.timer = None
+
+    def values(self) -> list | None:
+        values = [s.value for s in self.states]
+        return values if any(v is not None for v in values) else None
+
+
+class Dealt(Emitting):
+    """As ``Held``, for a group of many keys: a machine gets each key's rows in order of time.
+
+    Rows come and leave packed, each with its key in front. They wait in sorted runs of the
+    whole group, in a map by the millisecond at which the watermark passes the run's first
+    row. What is due is taken in slices of time, so that only a slice is in memory at once.
+    Each key has an entry of its own, with its next deadline and the machine's states, and
+    is in the list of deadlines if it has one. The group has a timer for each run and for
+    its next deadline.
+    """
+
+    #: Rows of a run, rows that are sorted at once, and results that leave as one value.
+    RUN, SLICE, OUT = 512, 1 << 16, 1 << 12
+
+    def __init__(self, machine: Emitting, keys: int, columns: tuple[str, ...]):
+        self.machine = machine
+        self.keys = keys
+        self.columns = columns
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.held = handle.getMapState("held", "ms long, no long", "rows binary")
+        self.entries = handle.getMapState("entries", "key string", "entry binary")
+        self.deadlines = handle.getMapState("deadlines", "ms long, key string", "key binary")
+        self.t, self.tie = (self.keys + self.columns.index(c) for c in ("_t", "_tie"))
+        self.blank = (None,) * (len(self.fields) - self.keys - 2)
+        self.own = OwnHandle()
+        self.machine.ordered = True
+        self.machine.row = lambda *values: values
+        self.machine.init(self.own)
+        self.done: dict[tuple, int] = {}
+        self.any_entry = False
+
+    def _place(self, row: tuple) -> tuple:
+        return place(row[self.t], row[self.tie])
+
+    def _ms(self, row: tuple) -> int:
+        return timer_ms(row[self.t])
+
+    def _hold(self, run: list[tuple]) -> None:
+        at = self._ms(run[0]), 0
+        while self.held.containsKey(at):
+            at = at[0], random.getrandbits(62)
+        self.held.updateValue(at, (pack(run),))
+        if at[1] == 0:
+            self.handle.registerTimer(at[0])
+
+    def _hold_all(self, rows: list[tuple]) -> None:
+        rows.sort(key=self._place)
+        for at in range(0, len(rows), self.RUN):
+            self._hold(rows[at : at + self.RUN])
+
+    def _out(self, rows: Iterator[tuple]) -> Iterator[pd.DataFrame]:
+        while some := list(islice(rows, self.OUT)):
+            yield pd.DataFrame({"packed": [pack(some)]})
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        yield from self._out(self._arrived(rows, timerValues.getCurrentWatermarkInMs()))
+
+    def _arrived(self, frames: Iterator[pd.DataFrame], watermark: int) -> Iterator[tuple]:
+        """The rows that come too late; the others are held."""
+        fresh: list[tuple] = []
+        for frame in frames:
+            for packed in frame["packed"]:
+                for r in unpack(packed):
+                    if watermark > 0 and self._ms(r) <= watermark:
+                        yield *r[: self.keys], *self.blank, r[self.t], r[self.tie]
+                    else:
+                        fresh.append(r)
+                if len(fresh) >= self.SLICE:
+                    self._hold_all(fresh)
+                    fresh = []
+        self._hold_all(fresh)
+
+    def _taken(self, run: tuple, watermark: int) -> list[tuple]:
+        """The rows of a run that the watermark has passed; the others wait on."""
+        rows = unpack(self.held.getValue(run)[0])
+        self.held.removeKey(run)
+        due = bisect_left(rows, True, key=lambda r: self._ms(r) > watermark)
+        if due < len(rows):
+            self._hold(rows[due:])
+        return rows[:due]
+
+    def _slices(self, runs: list[tuple], watermark: int) -> Iterator[tuple[list[tuple], bool]]:
+        """All due rows in order, cut where no later run begins; and whether it is the last."""
+        rows: list[tuple] = []
+        limit = self.SLICE
+        for run, following in zip(runs, [*runs[1:], None]):
+            rows += self._taken(run, watermark)
+            if following is None:
+                rows.sort(key=self._place)
+                yield rows, True
+            elif len(rows) >= limit:
+                rows.sort(key=self._place)
+                cut = bisect_left(rows, following[0], key=self._ms)
+                if cut:
+                    yield rows[:cut], False
+                rows = rows[cut:]
+                limit = max(self.SLICE, 2 * len(rows))
+
+    def _serve(self, key: tuple, rows: list[tuple], timerValues, expire: bool) -> Iterator[tuple]:
+        """The machine's results for rows of one key and, at the end, its deadlines."""
+        name, watermark = repr(key), timerValues.getCurrentWatermarkInMs()
+        stored = None
+        if self.any_entry and self.entries.containsKey((name,)):
+            stored = self.entries.getValue((name,))[0]
+        deadline, values = unpack(stored) if stored else (None, None)
+        self.own.load(values)
+        if rows:
+            made = (dict(zip(self.columns, r[self.keys :], strict=True)) for r in rows)
+            for out in self.machine.handleInputRows(key, made, timerValues):
+                yield *out, None, None
+        following = deadline if self.own.timer is None else self.own.timer
+        if expire and following is not None and following <= watermark:
+            self.own.timer = None
+            now = SimpleNamespace(getExpiryTimeInMs=lambda: watermark)
+            for out in self.machine.handleExpiredTimer(key, timerValues, now):
+                yield *out, None, None
+            following = self.own.timer
+        if following != deadline:
+            if deadline is not None:
+                self.deadlines.removeKey((deadline, name))
+            if following is not None:
+                self.deadlines.updateValue((following, name), (pack(key),))
+        values = self.own.values()
+        if values is not None or following is not None:
+            entry = pack((following, values))
+            if entry != stored:
+                self.entries.updateValue((name,), (entry,))
+        elif stored:
+            self.entries.removeKey((name,))
+
+    def _passed(self, timerValues) -> Iterator[tuple]:
+        watermark = timerValues.getCurrentWatermarkInMs()
+        self.any_entry = bool(self.own.states) and self.entries.exists()
+        runs = sorted(tuple(k) for k in self.held.keys() if k[0] <= watermark)
+        for rows, last in self._slices(runs, watermark):
+            of_key: dict[tuple, list[tuple]] = {}
+            for r in rows:
+                of_key.setdefault(r[: self.keys], []).append(r)
+            for key, some in of_key.items():
+                yield from self._serve(key, some, timerValues, last)
+            self.any_entry = bool(self.own.states)
+        # What is due but had no row in the last slice.
+        for ms, name in sorted(tuple(k) for k in self.deadlines.keys() if k[0] <= watermark):
+            key = tuple(unpack(self.deadlines.getValue((ms, name))[0]))
+            yield from self._serve(key, [], timerValues, True)
+        following = min((k[0] for k in self.deadlines.keys()), default=None)
+        if following is not None:
+            self.handle.registerTimer(following)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        if self.done.get(key) != timerValues.getCurrentWatermarkInMs():  # the first takes all that is due
+            self.done[key] = timerValues.getCurrentWatermarkInMs()
+            yield from self._out(self._passed(timerValues))
+
+
 class Jumps(Keyed):
     """Rows whose value moved by more than a threshold since the key's last row.
 

@@ -15,11 +15,14 @@ continuous triggers, not ``availableNow``.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections import defaultdict
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from tidemark.functions.hashing import bit_offset
 from tidemark.functions.times import micros
@@ -50,19 +53,74 @@ def _prepare(df: DataFrame, key: str, ts: str, tie: str, **columns: Column) -> D
     )
 
 
-def _run(df: DataFrame, keys: Sequence[str], processor: P.Emitting, schema: str) -> DataFrame:
-    held = not getattr(processor, "ttl_ms", None)
-    late = f", {LATE[0]} long, {LATE[1]} long" if held else ""
-    out = T.StructType([df.schema[k] for k in keys] + T.StructType.fromDDL(schema + late).fields)
+#: Keys are dealt over this many groups, each of which is one group of the stream's state.
+GROUPS = 1024
+
+
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch by their first column, those of one value packed."""
+    for batch in batches:
+        groups, *columns = (c.to_pylist() for c in batch.columns)
+        of_group = defaultdict(list)
+        for group, row in zip(groups, zip(*columns, strict=True), strict=True):
+            of_group[group].append(row)
+        packed = pa.array([P.pack(rows) for rows in of_group.values()], pa.binary())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(of_group.keys(), pa.int32()), packed], ["bucket", "packed"]
+        )
+
+
+def _unpacked(schema: T.StructType):
+    arrow = to_arrow_schema(schema)
+
+    def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for value in batch.column(0).to_pylist():
+                columns = zip(*P.unpack(value), strict=True)
+                arrays = [pa.array(c, f.type) for c, f in zip(columns, arrow, strict=True)]
+                yield pa.RecordBatch.from_arrays(arrays, schema=arrow)
+
+    return unpacked
+
+
+def _output(df: DataFrame, keys: Sequence[str], schema: str) -> T.StructType:
+    out = T.StructType([df.schema[k] for k in keys] + T.StructType.fromDDL(schema).fields)
     for f in out.fields:
         f.nullable = True
-    if held:
-        columns = [f for f in df.schema if f.name not in keys]
-        row = ", ".join(f"`{f.name}`: {f.dataType.simpleString()}" for f in columns)
-        processor = P.Held(processor, tuple(f.name for f in columns), row)
+    return out
+
+
+WITH_LATE = f", {LATE[0]} long, {LATE[1]} long"
+
+
+def _run(df: DataFrame, keys: Sequence[str], machine: P.Emitting, schema: str) -> DataFrame:
+    """Keys dealt over groups. Rows cross to Python and state as packed values, many in one."""
+    if getattr(machine, "ttl_ms", None):
+        out = _output(df, keys, schema)
+        machine.fields = tuple(out.names)
+        return df.groupBy(*keys).transformWithState(machine, out, "Append", "ProcessingTime")
+    out = _output(df, keys, schema + WITH_LATE)
+    columns = [c for c in df.columns if c not in keys]
+    processor = P.Dealt(machine, len(keys), tuple(columns))
+    processor.fields = tuple(out.names)
+    group = F.pmod(F.xxhash64(*keys), F.lit(GROUPS)).cast("int")
+    packed = df.select(group.alias("bucket"), *keys, *columns).mapInArrow(
+        _packed, "bucket int, packed binary"
+    )
+    done = packed.groupBy("bucket").transformWithStateInPandas(
+        processor, "packed binary", "Append", "EventTime"
+    )
+    return done.mapInArrow(_unpacked(out), out)
+
+
+def _run_held(df: DataFrame, keys: Sequence[str], machine: P.Emitting, schema: str) -> DataFrame:
+    """Each key a group of its own, for machines with much state a key."""
+    out = _output(df, keys, schema + WITH_LATE)
+    columns = [f for f in df.schema if f.name not in keys]
+    row = ", ".join(f"`{f.name}`: {f.dataType.simpleString()}" for f in columns)
+    processor = P.Held(machine, tuple(f.name for f in columns), row)
     processor.fields = tuple(out.names)
-    mode = "EventTime" if held else "ProcessingTime"
-    return df.groupBy(*keys).transformWithState(processor, out, "Append", mode)
+    return df.groupBy(*keys).transformWithState(processor, out, "Append", "EventTime")
 
 
 def _run_plain(df: DataFrame, keys: Sequence[str], processor: P.Emitting, schema: str) -> DataFrame:
@@ -273,7 +331,7 @@ def bitmap_marks(
         F.col(tie).cast("long").alias("_tie"),
         bit.alias("bit"),
     )
-    return _run(rows, [WINDOW_END, "part"], P.BitmapChunks(), "ts_us long, tie long, fresh boolean")
+    return _run_held(rows, [WINDOW_END, "part"], P.BitmapChunks(), "ts_us long, tie long, fresh boolean")
 
 
 def top_changelog(df: DataFrame, key: str, ts: str, tie: str, value: str, n: int) -> DataFrame:
