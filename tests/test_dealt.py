@@ -1,13 +1,18 @@
 """Keys dealt over groups: the same results as key by key, and how often state is accessed."""
 
+import os
 import random
+import uuid
 from types import SimpleNamespace
 
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 from test_held import Store, replayed
 
+from tidemark.sources.tables import stream_table
 from tidemark.streaming import processors as P
+from tidemark.streaming import run, stateful
 
 HOUR = 3_600_000_000
 
@@ -118,3 +123,28 @@ def test_keys_with_few_rows_cost_few_accesses():
         assert store.accesses < 60 + (0 if width == 2 else 1000)
         alone = replayed(machine(), fields, [[r[1:] for r in rows if r[0] == 7]], 0, COLUMNS, (7,))[1]
         assert 3 * store.accesses < 1000 * alone.accesses
+
+
+def test_rows_of_one_file_are_packed_by_many_tasks(spark, tmp_path, monkeypatch):
+    n, folder, packed = 3000, str(tmp_path / "rows"), stateful._packed
+    at = F.timestamp_seconds(F.col("id") + 1_704_067_200)
+    table = spark.range(0, n, 1, 1).select(F.col("id").alias("event_id"), (F.col("id") % 500).alias("k"), at.alias("ts"))
+    table.write.parquet(folder)
+
+    def spied(batches):
+        from pyspark import TaskContext
+
+        for batch in batches:
+            for out in packed(iter([batch])):
+                task = TaskContext.get().partitionId()
+                with open(tmp_path / f"{task}-{batch.num_rows}-{out.num_rows}-{uuid.uuid4().hex}", "w"):
+                    yield out
+
+    monkeypatch.setattr(stateful, "_packed", spied)
+    rows = stream_table(spark, folder, table.schema).withWatermark("ts", "0 seconds")
+    done = run.drain(stateful.in_order(rows, "k", "ts", "event_id"), "one-file")
+    assert done.filter("tie IS NOT NULL").count() == n
+    seen = [tuple(map(int, name.split("-")[:3])) for name in os.listdir(tmp_path) if name != "rows"]
+    assert sum(s[1] for s in seen) == n
+    # Each of the 4 partitions packs a part of the rows; a group's are in one value a batch.
+    assert len({s[0] for s in seen}) == 4 and sum(s[2] for s in seen) <= 500

@@ -104,9 +104,9 @@ def _run(df: DataFrame, keys: Sequence[str], machine: P.Emitting, schema: str) -
     processor = P.Dealt(machine, len(keys), tuple(columns))
     processor.fields = tuple(out.names)
     group = F.pmod(F.xxhash64(*keys), F.lit(GROUPS)).cast("int")
-    packed = df.select(group.alias("bucket"), *keys, *columns).mapInArrow(
-        _packed, "bucket int, packed binary"
-    )
+    # Dealt first: rows are packed many at a time, and not by the few tasks that scan a file.
+    rows = df.select(group.alias("bucket"), *keys, *columns).repartition("bucket")
+    packed = rows.mapInArrow(_packed, "bucket int, packed binary")
     done = packed.groupBy("bucket").transformWithStateInPandas(
         processor, "packed binary", "Append", "EventTime"
     )
