@@ -15,6 +15,7 @@ from tidemark.streaming import stateful
 from tidemark.streaming.late import batch_folders, split_late
 from tidemark.streaming.totals import running_totals
 from tidemark.streaming.run import (
+    Replay,
     drain,
     drain_anew,
     drain_batches,
@@ -34,84 +35,89 @@ def kind(event_type: str):
 def _events(spark: SparkSession, d: str, *types: str):
     replay = replay_events(spark, d)
     wanted = F.col("event_type").isin(*types) if types else None
-    return replay.rows.filter(replay.present(wanted)), replay.finish
+    return replay.rows.filter(replay.present(wanted)), replay
 
 
 def _sides(spark: SparkSession, d: str, *conditions):
     """The stream once for each condition, all with the same watermark."""
     replay = replay_events(spark, d)
-    return [replay.rows.filter(replay.present(c)) for c in conditions], replay.finish
+    return [replay.rows.filter(replay.present(c)) for c in conditions], replay
 
 
 def _sensor(spark: SparkSession, d: str):
-    rows, finish = _events(spark, d)
+    rows, replay = _events(spark, d)
     return rows.select(
         "event_id",
         F.concat(F.lit("sensor_"), F.col("user_id").cast("string")).alias("id"),
         F.col("value").alias("temperature"),
         "ts",
-    ), finish
+    ), replay
 
 
-def _done(out: DataFrame, label: str, finish) -> DataFrame:
-    return stateful.results(drain(out, label, finish=finish))
+def _all(out: DataFrame, label: str, replay: Replay) -> DataFrame:
+    """All that a stream of held rows gives, late rows too."""
+    return drain(out, label, finish=replay.finish, partitions=replay.partitions)
+
+
+def _done(out: DataFrame, label: str, replay: Replay) -> DataFrame:
+    return stateful.results(_all(out, label, replay))
 
 
 def jumps(spark: SparkSession, d: str) -> DataFrame:
-    rows, finish = _sensor(spark, d)
+    rows, replay = _sensor(spark, d)
     out = stateful.jumps(
         rows, "id", "ts", "event_id", "temperature", 50.0, first_is_zero=False
     )
-    return _done(out, "jumps", finish).select(
+    return _done(out, "jumps", replay).select(
         "id", "ts_us", "previous", F.col("value").alias("temperature")
     )
 
 
 def rising_runs(spark: SparkSession, d: str) -> DataFrame:
-    rows, finish = _sensor(spark, d)
+    rows, replay = _sensor(spark, d)
     out = stateful.rising_runs(rows, "id", "ts", "event_id", "temperature", "6 hours")
-    return _done(out, "rising", finish).select("id", "opened_us", "n")
+    return _done(out, "rising", replay).select("id", "opened_us", "n")
 
 
 def timers(spark: SparkSession, d: str) -> DataFrame:
-    rows, finish = _sensor(spark, d)
+    rows, replay = _sensor(spark, d)
     out = stateful.timers(rows, "id", "ts", "event_id", "5 seconds")
-    return _done(out, "timers", finish)
+    return _done(out, "timers", replay)
 
 
 def tumbling(spark: SparkSession, d: str) -> DataFrame:
-    rows, finish = _events(spark, d)
+    rows, replay = _events(spark, d)
     out = windows.count(
         rows.withColumn("behavior", F.col("event_type")), "ts", "6 hours", ["behavior"]
     )
-    return drain(out, "tumbling", finish=finish)
+    return drain(out, "tumbling", finish=replay.finish)
 
 
 def visitors(spark: SparkSession, d: str) -> DataFrame:
-    rows, finish = _events(spark, d, views.PAGE_VIEW)
+    rows, replay = _events(spark, d, views.PAGE_VIEW)
     out = distinct.two_stage(rows, "ts", "1 hour", "user_id")
-    return drain(out, "visitors", finish=finish)
+    return drain(out, "visitors", finish=replay.finish)
 
 
 def order_timeouts(spark: SparkSession, d: str) -> DataFrame:
-    rows, finish = _events(spark, d, views.ORDER_CREATE, views.ORDER_PAY)
+    rows, replay = _events(spark, d, views.ORDER_CREATE, views.ORDER_PAY)
     rows = rows.withColumnRenamed("user_id", "order_id")
     out = stateful.order_timeouts(
         rows, "order_id", "ts", "event_id", kind(views.ORDER_CREATE), "1 day"
     )
-    return _done(out, "order-timeouts", finish).select(
+    return _done(out, "order-timeouts", replay).select(
         "order_id", "create_us", "fires_us"
     )
 
 
 def reconciled(spark: SparkSession, d: str) -> DataFrame:
-    sides, finish = _sides(spark, d, kind(views.ORDER_CREATE), kind(views.ORDER_PAY))
+    sides, replay = _sides(spark, d, kind(views.ORDER_CREATE), kind(views.ORDER_PAY))
     out = stateful.reconcile(
         *(s.withColumnRenamed("user_id", "order_id") for s in sides),
         "order_id", "ts", "event_id", "1 day",
     )
     return (
-        _done(out, "reconcile", finish)
+        _done(out, "reconcile", replay)
         .filter("side = 'matched'")
         .select(
             "order_id",
@@ -123,79 +129,79 @@ def reconciled(spark: SparkSession, d: str) -> DataFrame:
 
 def gate(spark: SparkSession, d: str) -> DataFrame:
     is_switch = kind("signup")
-    (readings, switches), finish = _sides(spark, d, ~is_switch, is_switch)
+    (readings, switches), replay = _sides(spark, d, ~is_switch, is_switch)
     out = stateful.gate(
         readings,
         switches.withColumn("duration_us", F.lit(6 * 3_600_000_000)),
         "user_id", "ts", "event_id", "duration_us",
     )
-    return _done(out, "gate", finish).select(
+    return _done(out, "gate", replay).select(
         F.col("tie").alias("event_id"), "user_id"
     )
 
 
 def login_failures(spark: SparkSession, d: str) -> DataFrame:
-    rows, finish = _events(spark, d, views.LOGIN_FAIL, views.LOGIN_SUCCESS)
+    rows, replay = _events(spark, d, views.LOGIN_FAIL, views.LOGIN_SUCCESS)
     out = stateful.repeated_failures(
         rows, "user_id", "ts", "event_id",
         kind(views.LOGIN_FAIL), kind(views.LOGIN_SUCCESS), "2 days",
     )
-    return _done(out, "login-failures", finish).select(
+    return _done(out, "login-failures", replay).select(
         "user_id", "opened_us", "n"
     )
 
 
 def order_attempts(spark: SparkSession, d: str) -> DataFrame:
-    rows, finish = _events(spark, d, views.ORDER_CREATE, views.ORDER_PAY)
+    rows, replay = _events(spark, d, views.ORDER_CREATE, views.ORDER_PAY)
     rows = rows.withColumnRenamed("user_id", "order_id")
     out = stateful.match_sequence(
         rows, "order_id", "ts", "event_id",
         [kind(views.ORDER_CREATE), kind(views.ORDER_PAY)],
         within="1 day", on_timeout=True,
     )
-    return _done(out, "order-attempts", finish).select(
+    return _done(out, "order-attempts", replay).select(
         "order_id", "outcome", F.get("times_us", F.lit(0)).alias("create_us"),
         F.get("times_us", F.lit(1)).alias("pay_us"),
     )
 
 
 def change_log(spark: SparkSession, d: str) -> DataFrame:
-    rows, finish = _events(spark, d)
+    rows, replay = _events(spark, d)
     cents = F.round(F.col("value") * 100).cast("long")
     out = stateful.min_max_changelog(
         rows.withColumn("cents", cents), "user_id", "ts", "event_id", "cents"
     )
-    return _done(out, "changelog", finish).select(
+    return _done(out, "changelog", replay).select(
         "user_id", F.col("tie").alias("event_id"), "is_add", "lo", "hi"
     )
 
 
 def top_two_changes(spark: SparkSession, d: str) -> DataFrame:
-    rows, finish = _events(spark, d)
+    rows, replay = _events(spark, d)
     cents = F.round(F.col("value") * 100).cast("long")
     out = stateful.top_changelog(
         rows.withColumn("cents", cents), "user_id", "ts", "event_id", "cents", 2
     )
-    return _done(out, "top-two", finish).select(
+    return _done(out, "top-two", replay).select(
         "user_id", F.col("tie").alias("event_id"), "is_add", F.col("value").alias("cents"), "rank"
     )
 
 
 def early_fire(spark: SparkSession, d: str) -> DataFrame:
-    rows, finish = _sensor(spark, d)
+    rows, replay = _sensor(spark, d)
     out = stateful.early_fire(rows, "id", "ts", "event_id", "1 day", "1 hour")
-    return _done(out, "early-fire", finish)
+    return _done(out, "early-fire", replay)
 
 
 def visitors_bitmap(spark: SparkSession, d: str) -> DataFrame:
     """Unique visitors after each page view, from a bitmap in state and stored totals."""
-    rows, finish = _events(spark, d, views.PAGE_VIEW)
+    rows, replay = _events(spark, d, views.PAGE_VIEW)
     marks = stateful.bitmap_marks(rows, "ts", "event_id", "user_id", "1 hour")
     path = scratch_path(spark, "visitors-bitmap")
     count = running_totals(
         path, ["ts_us", "tie"], F.col("fresh").cast("long"), "uv", at_us="ts_us"
     )
-    drain_batches(stateful.results(marks), "visitors-bitmap", count, finish=finish)
+    drain_batches(stateful.results(marks), "visitors-bitmap", count, finish=replay.finish)
     rows = spark.read.parquet(f"{path}/rows")
     return rows.select(F.col("tie").alias("event_id"), WINDOW_END, "uv")
 
@@ -251,7 +257,7 @@ def _judged(spark: SparkSession, d: str, watermark, column: str) -> DataFrame:
     # A filter that names the watermark's column comes after it.
     rows = replay.rows.filter(replay.present(F.col(column).isNotNull()))
     out = stateful.in_order(rows, "user_id", "ts", "event_id")
-    drained = drain(out, f"judged-by-{column}", finish=replay.finish)
+    drained = _all(out, f"judged-by-{column}", replay)
     on_time = stateful.results(drained).select(F.col("tie").alias("event_id"), F.lit(False).alias("late"))
     late = stateful.late_rows(drained, "user_id")
     return on_time.unionByName(late.select(F.col("late_tie").alias("event_id"), F.lit(True).alias("late")))
@@ -283,7 +289,7 @@ def resumed(spark: SparkSession, d: str) -> DataFrame:
         )
         return stateful.jumps(rows, "id", "ts", "event_id", "value", 50.0, first_is_zero=False)
 
-    out = stateful.results(drain_anew(make, "resumed", replay.finish))
+    out = stateful.results(drain_anew(make, "resumed", replay.finish, replay.partitions))
     return out.select("id", "ts_us", "previous", F.col("value").alias("temperature"))
 
 
@@ -293,7 +299,7 @@ def hot_items(spark: SparkSession, d: str) -> DataFrame:
     In append mode a window's counts all leave in one batch, so ranking within
     the batch is complete.
     """
-    rows, finish = _events(spark, d, views.PAGE_VIEW)
+    rows, replay = _events(spark, d, views.PAGE_VIEW)
     counts = windows.sliding_count(
         rows.select(views.item_id().alias("item_id"), "ts"),
         "ts", "1 hour", "5 minutes", ["item_id"],
@@ -304,18 +310,18 @@ def hot_items(spark: SparkSession, d: str) -> DataFrame:
     def rank(batch: DataFrame, batch_id: int) -> None:
         write(topn.top_n(batch, [WINDOW_END], "n", 3, ["item_id"]), batch_id)
 
-    drain_batches(counts, "hot-items", rank, finish=finish)
+    drain_batches(counts, "hot-items", rank, finish=replay.finish)
     return spark.read.parquet(path).drop("batch")
 
 
 def two_sinks(spark: SparkSession, d: str) -> DataFrame:
     """One stream, two sinks: page views to one folder, all other events to another."""
-    rows, finish = _events(spark, d)
+    rows, replay = _events(spark, d)
     path = scratch_path(spark, "sinks")
     is_view = F.coalesce(kind(views.PAGE_VIEW), F.lit(False))
     sinks = {side: batch_folders(f"{path}/{side}") for side in ("views", "rest")}
     route = fan_out_routed({"views": is_view, "rest": ~is_view}, sinks)
-    drain_batches(rows.select("event_id", "event_type"), "two-sinks", route, finish=finish)
+    drain_batches(rows.select("event_id", "event_type"), "two-sinks", route, finish=replay.finish)
     parts = [
         spark.read.parquet(f"{path}/{side}").select("event_id", F.lit(side).alias("sink"))
         for side in sinks
@@ -325,12 +331,12 @@ def two_sinks(spark: SparkSession, d: str) -> DataFrame:
 
 def committed_documents(spark: SparkSession, d: str) -> DataFrame:
     """Page views as documents through a sink that commits each batch once."""
-    rows, finish = _events(spark, d, views.PAGE_VIEW)
+    rows, replay = _events(spark, d, views.PAGE_VIEW)
     docs = keyed.documents(rows, ["event_id"], ["user_id", "event_type"])
     path = scratch_path(spark, "committed")
     spark.dataSource.register(committed.CommittedSink)
     writer = docs.writeStream.format("tidemark_committed").option("path", path)
-    drain_writer(writer, "committed-documents", spark, finish)
+    drain_writer(writer, "committed-documents", spark, replay.finish)
     return committed.committed(spark, path, "doc_id string, document string").drop("batch")
 
 

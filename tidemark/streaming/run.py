@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -27,13 +28,49 @@ def start(
 
 Steps = Sequence[Callable[[], None]]
 
+SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
+_starting = threading.Lock()
 
-def _drain(writer: DataStreamWriter, checkpoint: str, steps: Steps) -> None:
+#: A partition of state gets more than this many rows only where the session names no more partitions.
+ROWS_PER_PARTITION = 500_000
+
+
+def state_partitions(spark: SparkSession, rows: int) -> int:
+    """Partitions for the state of a stream over ``rows`` rows.
+
+    In each batch a partition costs a task, its Python workers and a commit, also one without
+    rows. So there are two for a core, more only if the rows need them, and never more than
+    the session names.
+    """
+    wanted = max(2 * spark.sparkContext.defaultParallelism, -(-rows // ROWS_PER_PARTITION))
+    return min(wanted, int(spark.conf.get(SHUFFLE_PARTITIONS)))
+
+
+def _start(spark: SparkSession, writer: DataStreamWriter, partitions: int | None) -> StreamingQuery:
+    """Start a query with a number of partitions of its own; a query copies the session's settings."""
+    if partitions is None:
+        return writer.start()
+    with _starting:
+        session = spark.conf.get(SHUFFLE_PARTITIONS)
+        spark.conf.set(SHUFFLE_PARTITIONS, str(partitions))
+        try:
+            return writer.start()
+        finally:
+            spark.conf.set(SHUFFLE_PARTITIONS, session)
+
+
+def _drain(
+    spark: SparkSession,
+    writer: DataStreamWriter,
+    checkpoint: str,
+    steps: Steps,
+    partitions: int | None = None,
+) -> None:
     writer = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True)
-    writer.start().awaitTermination()
+    _start(spark, writer, partitions).awaitTermination()
     for step in steps:
         step()
-        writer.start().awaitTermination()
+        _start(spark, writer, partitions).awaitTermination()
 
 
 def drain(
@@ -42,35 +79,40 @@ def drain(
     *,
     mode: str = "append",
     finish: Steps = (),
+    partitions: int | None = None,
 ) -> DataFrame:
     """Run a stream over all available input into a table; return the table.
 
     Result and checkpoint live in the shared folder, so a lost executor or a
     restart resumes from the last committed batch. Whenever the input is used up,
-    the next step of ``finish`` may add more, and the stream runs on.
+    the next step of ``finish`` may add more, and the stream runs on. ``partitions``
+    replaces the session's number of shuffle partitions for this stream.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
     writer = (
         df.writeStream.format("parquet").outputMode(mode).option("path", f"{path}/rows")
     )
-    _drain(writer, f"{path}/checkpoint", finish)
+    _drain(spark, writer, f"{path}/checkpoint", finish, partitions)
     return spark.read.schema(df.schema).parquet(f"{path}/rows")
 
 
-def drain_anew(make: Callable[[], DataFrame], label: str, steps: Steps) -> DataFrame:
+def drain_anew(
+    make: Callable[[], DataFrame], label: str, steps: Steps, partitions: int | None = None
+) -> DataFrame:
     """As ``drain``, with a new query for each step, as a restarted program would build it.
 
     ``make`` reads its input anew. What a query leaves, its offsets, its state and the
     committed files of its sink, is in the shared folder, and the next one goes on from it.
     """
     first = make()
-    path = scratch_path(first.sparkSession, label)
+    spark = first.sparkSession
+    path = scratch_path(spark, label)
     for step in steps:
         step()
         writer = make().writeStream.format("parquet").option("path", f"{path}/rows")
-        _drain(writer, f"{path}/checkpoint", ())
-    return first.sparkSession.read.schema(first.schema).parquet(f"{path}/rows")
+        _drain(spark, writer, f"{path}/checkpoint", (), partitions)
+    return spark.read.schema(first.schema).parquet(f"{path}/rows")
 
 
 def drain_batches(
@@ -83,14 +125,15 @@ def drain_batches(
 ) -> None:
     """Run a stream over all available input through a batch function."""
     writer = df.writeStream.foreachBatch(each).outputMode(mode)
-    _drain(writer, scratch_path(df.sparkSession, f"{label}-checkpoint"), finish)
+    spark = df.sparkSession
+    _drain(spark, writer, scratch_path(spark, f"{label}-checkpoint"), finish)
 
 
 def drain_writer(
     writer: DataStreamWriter, label: str, spark: SparkSession, finish: Steps = ()
 ) -> None:
     """Run a stream over all available input into the sink that ``writer`` names."""
-    _drain(writer, scratch_path(spark, f"{label}-checkpoint"), finish)
+    _drain(spark, writer, scratch_path(spark, f"{label}-checkpoint"), finish)
 
 
 #: Files per micro-batch of a replay; None takes what is there.
@@ -109,12 +152,13 @@ class Replay:
     watermark so that what is still open fires, once for waiting rows and once more
     for the deadlines those set. ``present`` keeps them out of results and rows without a
     time in; as it names the event time, Spark cannot apply it before the watermark sees
-    the row.
+    the row. ``partitions`` suits a state that holds the table's rows.
     """
 
     rows: DataFrame
     last_us: int
     finish: Steps
+    partitions: int
 
     def present(self, condition: Column | None = None) -> Column:
         keep = F.lit(True) if condition is None else F.coalesce(condition, F.lit(False))
@@ -126,7 +170,7 @@ def replay_events(spark: SparkSession, directory: str, delay: str | None = None)
     """The events table as a stream; ``delay`` replaces the measured one."""
     table = with_instants(spark.read.parquet(f"{directory}/events.parquet"))
     at = F.unix_micros("ts")
-    first, last = (x or 0 for x in table.agg(F.min(at), F.max(at)).first())
+    first, last, n = (x or 0 for x in table.agg(F.min(at), F.max(at), F.count(F.lit(1))).first())
     spread = (last - first) // 1000 + 1
     # The pattern matches just this name; a stream takes a single file only as one.
     rows = stream_table(
@@ -150,7 +194,7 @@ def replay_events(spark: SparkSession, directory: str, delay: str | None = None)
         return lambda: row.write.mode("append").parquet(path)
 
     both = rows.unionByName(end).withWatermark("ts", delay or f"{spread} milliseconds")
-    return Replay(both, last, (lift(3650), lift(7300)))
+    return Replay(both, last, (lift(3650), lift(7300)), state_partitions(spark, n))
 
 
 def replay_in_order(
@@ -194,8 +238,8 @@ def replay_arrivals(
     markers as in ``replay_events``.
     """
     at, us = F.unix_micros(arrival), F.unix_micros("ts")
-    low, high, first, last = df.agg(F.min(at), F.max(at), F.min(us), F.max(us)).first()
-    low, high, first, last = (x or 0 for x in (low, high, first, last))
+    measured = df.agg(F.min(at), F.max(at), F.min(us), F.max(us), F.count(F.lit(1))).first()
+    low, high, first, last, n = (x or 0 for x in measured)
     number = F.least(
         F.floor((at - low) * slices / F.lit(max(high - low, 1))), F.lit(slices - 1)
     )
@@ -213,4 +257,5 @@ def replay_arrivals(
 
     schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in df.schema])
     rows = watermark(spark.readStream.schema(schema).parquet(path))
-    return Replay(rows, last, (*[add(i) for i in range(slices)], lift(3650), lift(7300)))
+    steps = (*[add(i) for i in range(slices)], lift(3650), lift(7300))
+    return Replay(rows, last, steps, state_partitions(spark, n))
